@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("cooccur",)
+MODULES = ("cooccur", "mix", "quality")
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("cooccur", "mix", "quality")
+MODULES = ("canon", "cooccur", "leaks", "mix", "quality")
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}

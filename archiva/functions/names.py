@@ -52,27 +52,39 @@ def close(a: str, b: str, most: int) -> bool:
 
 
 def distance(a: str, b: str, most: int = 99) -> int:
-    """Optimal string alignment distance, or ``most + 1`` as soon as it must exceed ``most``."""
+    """Optimal string alignment distance, or ``most + 1`` if it is more. Bit-parallel (Hyyrö)."""
     if a == b:
         return 0
-    if abs(len(a) - len(b)) > most:
+    m, n = len(a), len(b)
+    if abs(m - n) > most:
         return most + 1
-    back: list[int] = []
-    prev = list(range(len(b) + 1))
-    for i, x in enumerate(a, 1):
-        row = [i]
-        least = i
-        for j, y in enumerate(b, 1):
-            v = min(prev[j] + 1, row[j - 1] + 1, prev[j - 1] + (x != y))
-            if i > 1 and j > 1 and x == b[j - 2] and a[i - 2] == y:
-                v = min(v, back[j - 2] + 1)
-            row.append(v)
-            if v < least:
-                least = v
-        if least > most:
+    if not m or not n:
+        return max(m, n)
+    at: dict[str, int] = {}
+    bit = 1
+    for c in a:
+        at[c] = at.get(c, 0) | bit
+        bit <<= 1
+    full, top = bit - 1, bit >> 1
+    vp, vn, d0, old, score = full, 0, 0, 0, m
+    for k, c in enumerate(b, 1):
+        pm = at.get(c, 0)
+        swap = (((~d0) & pm) << 1) & old
+        d0 = ((((pm & vp) + vp) ^ vp) | pm | vn | swap) & full
+        hp = vn | (full & ~(d0 | vp))
+        hn = d0 & vp
+        if hp & top:
+            score += 1
+        elif hn & top:
+            score -= 1
+        if score - (n - k) > most:
             return most + 1
-        back, prev = prev, row
-    return prev[-1]
+        hp = ((hp << 1) | 1) & full
+        hn = (hn << 1) & full
+        vp = hn | (full & ~(d0 | hp))
+        vn = hp & d0
+        old = pm
+    return score if score <= most else most + 1
 
 
 @lru_cache(maxsize=100_000)

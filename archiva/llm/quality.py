@@ -12,7 +12,6 @@ import re
 import zlib
 from collections import Counter
 from collections.abc import Iterator, Sequence
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -25,7 +24,9 @@ INSIDE_NAMES = frozenset("de del la las el los y a e da do di o d".split())
 
 MARKER = re.compile(r"^\s*(?:[-–—*•·▪‣>]|\(?\d{1,3}(?:[.)º]|\.º|\.-| -)|[a-z]\))\s*", re.UNICODE)
 WORD = re.compile(r"[^\W\d_]+", re.UNICODE)
-COLUMNS = re.compile(r"\S(?= {2,}\S)|\t")
+PLAIN_WORD = re.compile(r"[«¿¡(\"'\[—–-]*[^\W\d_]+(?:['’.-][^\W\d_]+)*[.,;:!?)\]»\"'…—–-]*")
+RULE = re.compile(r"[\s+|:=\-]{3,}")
+DIGIT = re.compile(r"\d")
 VOWELS = frozenset("aeiouáéíóúàèìòùâêôãõüïy")
 CONSONANTS = re.compile(r"[^aeiouáéíóúàèìòùâêôãõüïy]{5,}")
 
@@ -36,7 +37,6 @@ STATS = {
 }
 
 
-@lru_cache(maxsize=200_000)
 def readable(word: str) -> bool:
     """Whether a word of letters could be spoken: vowels in a likely share and no long run of consonants."""
     w = word.lower()
@@ -49,21 +49,18 @@ def readable(word: str) -> bool:
     return (n < 4 or 0.2 <= v / n <= 0.8) and not CONSONANTS.search(w)
 
 
-def _fields(line: str, mark: str) -> int:
-    """Number of ``mark`` outside double quotes."""
-    if '"' in line:
-        line = re.sub(r'"[^"]*"', "", line)
-    return line.count(mark)
-
-
 def alignment(lines: Sequence[str]) -> tuple[float, list[bool]]:
     """Share of lines divided into the same columns, and which these are."""
     n = len(lines)
     best: list[bool] = [False] * n
     if n < 3:
         return 0.0, best
+    text = "\n".join(lines)
+    bare = [re.sub(r'"[^"]*"', "", x) for x in lines] if '"' in text else lines
     for mark, least in (("\t", 1), ("|", 2), ("¦", 1), ("│", 1), (";", 2), (",", 1)):
-        counts = [_fields(x.rstrip(";. ") if mark == ";" else x, mark) for x in lines]
+        if text.count(mark) < 3:
+            continue
+        counts = [x.rstrip(";. ").count(mark) for x in bare] if mark == ";" else [x.count(mark) for x in bare]
         common = Counter(c for c in counts if c >= least).most_common(1)
         if not common or common[0][1] < 3:
             continue
@@ -71,127 +68,155 @@ def alignment(lines: Sequence[str]) -> tuple[float, list[bool]]:
         rows = [c == k for c in counts]
         if mark == ",":
             # prose has commas too: cells must be short, without the space that follows a comma in writing
-            rows = [r and ", " not in re.sub(r'"[^"]*"', "", x) and len(x) < 60 * (k + 1) for r, x in zip(rows, lines, strict=True)]
+            rows = [r and ", " not in b and len(x) < 60 * (k + 1) for r, b, x in zip(rows, bare, lines, strict=True)]
         elif mark == ";":
-            rows = [r and re.sub(r'"[^"]*"', "", x).count("; ") <= k // 2 for r, x in zip(rows, lines, strict=True)]
+            rows = [r and b.count("; ") <= k // 2 for r, b in zip(rows, bare, strict=True)]
         if sum(rows) > sum(best) and sum(rows) >= 3:
             best = rows
     # columns held apart by blanks: the same starts again and again
-    starts = [[m.end() for m in re.finditer(r"(?<=\S) {2,}(?=\S)", x.rstrip())] + ([len(x) - len(x.lstrip())] if x.startswith("  ") else []) for x in lines]
-    inner = [bool(re.search(r"\S {2,}\S", x)) for x in lines]
-    if sum(inner) >= 3:
-        seen = Counter(s for row in starts for s in row)
-        stops = {s for s, c in seen.items() if c >= max(3, 0.35 * sum(inner))}
-        rows = [any(s in stops for s in row) and (i or bool(row)) for row, i in zip(starts, inner, strict=True)]
-        if sum(i and r for i, r in zip(inner, rows, strict=True)) >= max(3, 0.6 * sum(rows)) and sum(rows) > sum(best):
-            best = rows
-    rule = [bool(re.fullmatch(r"[\s+|:=\-]{3,}", x)) for x in lines]
-    if any(best) and sum(best) >= 3:
-        best = [b or r for b, r in zip(best, rule, strict=True)]
+    if "  " in text:
+        inner = [bool(re.search(r"\S {2,}\S", x)) for x in lines]
+        if sum(inner) >= 3:
+            starts = [[m.end() for m in re.finditer(r"(?<=\S) {2,}(?=\S)", x.rstrip())] + ([len(x) - len(x.lstrip())] if x.startswith("  ") else []) for x in lines]
+            seen = Counter(s for row in starts for s in row)
+            stops = {s for s, c in seen.items() if c >= max(3, 0.35 * sum(inner))}
+            rows = [any(s in stops for s in row) and (i or bool(row)) for row, i in zip(starts, inner, strict=True)]
+            if sum(i and r for i, r in zip(inner, rows, strict=True)) >= max(3, 0.6 * sum(rows)) and sum(rows) > sum(best):
+                best = rows
+    if any(best):
+        best = [b or bool(RULE.fullmatch(x)) for b, x in zip(best, lines, strict=True)]
     return sum(best) / n, best
 
 
 def autocorrelation(x: Sequence[float], most: int = 8) -> float:
     """The highest autocorrelation at lags from 1 to ``most``; 0 where the values hardly vary or are few."""
-    a = np.asarray(x, float)
-    if len(a) < 4 or a.std() < 1e-9:
+    n = len(x)
+    if n < 4 or max(x) == min(x):
         return 0.0
-    a = (a - a.mean()) / a.std()
-    return float(max(np.mean(a[k:] * a[:-k]) for k in range(1, min(most, len(a) - 2) + 1)))
+    a = np.asarray(x, float)
+    a = a - a.mean()
+    lags = min(most, n - 2)
+    r = np.correlate(a, a, "full")[n - 1 : n + lags]
+    return float((r[1:] / (n - np.arange(1, lags + 1))).max() * n / r[0])
+
+
+class Vocabulary:
+    """What is known of a word: whether it is frequent, whether it tells of sentences, whether it can be read."""
 
+    def __init__(self, common: frozenset[str]) -> None:
+        self.common = common
+        self.known: dict[str, tuple[bool, bool, int]] = {}
 
-def measure(text: str | None, common: frozenset[str]) -> dict:
+    def __call__(self, word: str) -> tuple[bool, bool, int]:
+        got = self.known.get(word)
+        if got is None:
+            c = word in self.common
+            got = c, c and word not in INSIDE_NAMES, len(word) if readable(word) else 0
+            if len(self.known) < 300_000:
+                self.known[word] = got
+        return got
+
+
+def measure(text: str | None, common: frozenset[str] | Vocabulary) -> dict:
     """All figures of one text. Null and empty texts have zeros everywhere and count as prose."""
+    known = common if isinstance(common, Vocabulary) else Vocabulary(common)
     text = (text or "").replace("\x00", " ")
-    lines = [x for x in text.split("\n") if x.strip()]
+    lines = [x for x in text.split("\n") if x and not x.isspace()]
     out = dict.fromkeys(STATS, 0.0)
     tokens = text.split()
     out["n_words"] = len(tokens)
     if not lines:
         return out | {"prose_share": 1.0}
-    words = WORD.findall(text.lower())
-    solid = max(1, sum(not c.isspace() for c in text))
-    letters = sum(c.isalpha() for c in text)
-    digits = sum(c.isdigit() for c in text)
-    strong = [w in common and w not in INSIDE_NAMES for w in words]
-    out["mean_word_length"] = float(np.mean([len(w) for w in tokens])) if tokens else 0.0
-    out["symbol_ratio"] = 1 - (letters + digits) / solid
+    by_line = [WORD.findall(x) for x in text.lower().split("\n") if x and not x.isspace()]
+    facts = [[known(w) for w in ws] for ws in by_line]
+    n = max(1, sum(map(len, by_line)))
+    solid = max(1, sum(map(len, tokens)))
+    letters = [sum(map(len, ws)) for ws in by_line]
+    digits = len(DIGIT.findall(text))
+    strong = [sum([f[1] for f in fs]) for fs in facts]
+    good = [sum([f[2] for f in fs]) for fs in facts]
+    out["mean_word_length"] = solid / len(tokens)
+    out["symbol_ratio"] = 1 - (sum(letters) + digits) / solid
     out["digit_ratio"] = digits / solid
-    out["line_end_punct"] = sum(x.rstrip()[-1] in ".!?:;…»\"" for x in lines) / len(lines)
-    out["common_share"] = sum(w in common for w in words) / max(1, len(words))
-    out["sentence_share"] = sum(strong) / max(1, len(words))
-    out["readable_share"] = sum(len(w) for w in words if readable(w)) / solid
-    counts = Counter(x.strip() for x in lines)
-    top, times = counts.most_common(1)[0]
-    same = len(top) * times / max(1, sum(len(x.strip()) for x in lines)) if times > 3 else 0.0
-    packed = len(zlib.compress(text.encode(), 6)) / max(1, len(text.encode()))
+    out["line_end_punct"] = sum([x.rstrip()[-1] in ".!?:;…»\"" for x in lines]) / len(lines)
+    out["common_share"] = sum([f[0] for fs in facts for f in fs]) / n
+    out["sentence_share"] = sum(strong) / n
+    out["readable_share"] = sum(good) / solid
+    size = [len(x.strip()) for x in lines]
+    same = 0.0
+    if len(lines) > 3:
+        top, times = Counter(map(str.strip, lines)).most_common(1)[0]
+        same = len(top) * times / sum(size) if times > 3 else 0.0
+    raw = text.encode(errors="replace")
+    packed = len(zlib.compress(raw, 1)) / len(raw)
     out["repetition"] = max(same, min(1.0, max(0.0, (0.12 - packed) / 0.08)) if len(text) > 300 else 0.0)
     out["delimiter_alignment"], table = alignment(lines)
     out["indent_period"] = autocorrelation([len(x) - len(x.lstrip()) for x in lines])
     out["length_autocorrelation"] = autocorrelation([len(x) for x in lines])
 
-    kinds = label_lines(lines, table, common)
-    size = [len(x.strip()) for x in lines]
+    kinds = label_lines(lines, table, by_line, letters, strong, good)
     total = sum(size)
-    for name in ("prose", "list", "table", "noise"):
-        out[f"{name}_share"] = sum(s for s, k in zip(size, kinds, strict=True) if k == name) / total
+    for s, k in zip(size, kinds, strict=True):
+        out[f"{k}_share"] += s / total
     if out["repetition"] > 0.5:
         out |= {"prose_share": 0.0, "list_share": 0.0, "table_share": 0.0, "noise_share": 1.0}
     return out
 
 
-def is_noise(line: str) -> bool:
+def is_noise(line: str, words: Sequence[str], letters: int, good: int) -> bool:
     """Whether most of a line is symbols, broken letters, numbers without words, or letters that make no words."""
     tokens = line.split()
     solid = sum(map(len, tokens))
     if solid < 4:
         return False
-    words = WORD.findall(line)
-    letters = sum(map(len, words))
     if not letters:
         return True
-    if re.search(r"<[^>]+>\S*<?/?", line) and sum(map(len, re.findall(r"<[^>]*>|\[\[[^\]]*\]\]", line))) > 0.6 * solid:
+    if "<" in line and sum(map(len, re.findall(r"<[^>]*>|\[\[[^\]]*\]\]", line))) > 0.6 * solid:
         return True
-    good = sum(len(w) for w in words if readable(w))
-    single = sum(len(w) == 1 for w in words)
-    if single > 0.5 * len(words) and letters < 0.6 * solid and not MARKER.match(line):
+    # runs of letters and signs too long for words, or letters and signs taking turns
+    if sum([len(t) for t in tokens if len(t) > 25]) > 0.5 * solid:
         return True
-    if single > 0.5 * len(words) and len(words) > 5:
+    if len(tokens) < 3 and letters < 0.7 * solid and not any(map(str.isdigit, line)) and not any(map(PLAIN_WORD.fullmatch, tokens)):
         return True
-    plain = [t for t in tokens if re.fullmatch(r"[«¿¡(\"'\[—–-]*[^\W\d_]+(?:['’.-][^\W\d_]+)*[.,;:!?)\]»\"'…—–-]*", t)]
-    if len(tokens) > 5 and sum(map(len, plain)) < 0.3 * solid and good < 0.75 * solid:
+    single = sum([len(w) == 1 for w in words])
+    if single > 0.5 * len(words) and (len(words) > 5 or (letters < 0.6 * solid and not MARKER.match(line))):
         return True
-    if len(tokens) > 3 and letters < 0.35 * solid and not re.search(r"[\t|;,]", line):
+    if good < 0.5 * letters:
         return True
-    return good < 0.5 * letters
+    if len(tokens) > 5 and good < 0.75 * solid and sum(len(t) for t in tokens if PLAIN_WORD.fullmatch(t)) < 0.3 * solid:
+        return True
+    return len(tokens) > 3 and letters < 0.35 * solid and not re.search(r"[\t|;,]", line)
 
 
-def label_lines(lines: Sequence[str], table: Sequence[bool], common: frozenset[str]) -> list[str]:
-    """prose, list, table or noise for each line; a line between two of another kind follows them."""
+def label_lines(lines: Sequence[str], table: Sequence[bool], by_line: Sequence[Sequence[str]], letters: Sequence[int], strong: Sequence[int], good: Sequence[int]) -> list[str]:
+    """prose, list, table or noise for each line; a line that goes on with an open sentence is prose."""
     kinds: list[str] = []
-    marked = [bool(MARKER.match(x)) for x in lines]
-    strong: list[float] = []
-    for x in lines:
-        words = WORD.findall(MARKER.sub("", x).lower())
-        strong.append(sum(w in common and w not in INSIDE_NAMES for w in words) / max(1, len(words)))
+    n = [max(1, len(w)) for w in by_line]
+    share = [s / k for s, k in zip(strong, n, strict=True)]
+    marked = [False] * len(lines)
     for i, x in enumerate(lines):
         if table[i]:
             kinds.append("table")
             continue
-        if is_noise(x):
+        # most lines are sentences of readable words
+        if share[i] >= 0.1 and n[i] >= 4 and good[i] > 0.8 * letters[i] and letters[i] > 0.75 * (len(x) - x.count(" ")) and x.count(",") + x.count(";") < 4:
+            kinds.append("prose")
+            continue
+        marked[i] = bool(MARKER.match(x))
+        if is_noise(x, by_line[i], letters[i], good[i]):
             # index entries and the like end in numbers and stay lists
-            entry = re.match(r"^\W*[^\W\d_]{3,}[^\d]*[\d\s,.;rv-]*$", x) and readable((WORD.findall(x) or ["b"])[0])
+            entry = re.match(r"^\W*[^\W\d_]{3,}[^\d]*[\d\s,.;rv-]*$", x) and by_line[i] and readable(by_line[i][0])
             kinds.append("list" if entry and len(x) < 90 else "noise")
             continue
-        near = strong[max(0, i - 1) : i + 2] if not marked[i] else [strong[i]]
-        share = max(strong[i], float(np.mean(near)))
-        words = WORD.findall(x)
+        near = share[i]
+        if not marked[i]:
+            around = share[max(0, i - 1) : i + 2]
+            near = max(near, sum(around) / len(around))
         commas = x.count(",") + x.count(";")
-        items = commas >= 4 and len(words) / (commas + 1) < 5.5
-        full = x.rstrip()[-1:] in ".!?"
-        if len(words) >= 4 and (strong[i] >= 0.1 or (share >= 0.1 and not marked[i] and len(words) > 5)):
-            kinds.append("prose" if not (items and strong[i] < 0.08) else "list")
-        elif full and len(words) > 8 and strong[i] > 0.04:
+        items = commas >= 4 and n[i] / (commas + 1) < 5.5
+        if n[i] >= 4 and (share[i] >= 0.1 or (near >= 0.1 and not marked[i] and n[i] > 5)):
+            kinds.append("prose" if not (items and share[i] < 0.08) else "list")
+        elif n[i] > 8 and share[i] > 0.04 and x.rstrip()[-1:] in ".!?":
             kinds.append("prose")
         else:
             kinds.append("list")
@@ -221,8 +246,9 @@ def text_quality(df: DataFrame, text: str, common_words: Sequence[str], key: str
     kt = picked.schema["_k"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = Vocabulary(common)
         for b in batches:
-            rows = [measure(t, common) for t in b.column(1).to_pylist()]
+            rows = [measure(t, known) for t in b.column(1).to_pylist()]
             cols = pd.DataFrame(rows, columns=list(STATS))
             arrays = [pa.array(cols[c], pa.int32() if t == "int" else pa.float64()) for c, t in STATS.items()]
             yield pa.RecordBatch.from_arrays([b.column(0), *arrays, pa.array([kind(r) for r in rows], pa.string())], names=[key, *STATS, "clase"])

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("canon", "cooccur", "leaks", "mix", "quality")
+MODULES = ("canon", "cooccur", "leaks", "mix", "quality", "scans")
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}

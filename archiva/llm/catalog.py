@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("canon", "cooccur", "leaks", "mix", "quality", "scans")
+MODULES = ("canon", "cooccur", "leaks", "mix", "quality", "scans", "variants")
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}

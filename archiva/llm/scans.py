@@ -324,7 +324,7 @@ def header_parts(tokens: Sequence[str], line_of: Sequence[int] | None, hits: Seq
             if s < done or not first:
                 continue
             # a header begins about as one of those known
-            near = [h for h in v.bones if sum(map(str.__eq__, first, h[:4])) >= min(2, len(first))]
+            near = [h for h in v.bones if first[0] == h[0] or sum(map(str.__eq__, first, h[:4])) >= min(2, len(first))]
             if not near:
                 continue
             run = ""

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("packed",)
+MODULES = ("packed", "text", "records", "panel", "graph")
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}

@@ -335,7 +335,7 @@ def signatures(nodes: DataFrame, key: str, group: str, name: str, weight: str, s
     return picked.mapInArrow(run, f"_id {types['_id']}, _group {types['_group']}, _key string, _n bigint")
 
 
-def link(signed: DataFrame) -> DataFrame:
+def link(signed: DataFrame, cut=lambda df: df) -> DataFrame:
     """_group, _key, _root: the canonical form of each signature of each group.
 
     Signatures meet in blocks of one group and surname; a block holds different spellings only, however often each
@@ -357,7 +357,7 @@ def link(signed: DataFrame) -> DataFrame:
     same = F.col("l._group").eqNullSafe(F.col("r._group")) & (F.col("l._block") == F.col("r._block"))
     dense = blocks.alias("l").join(size.alias("r"), same, "left_semi")
     links = dense.groupBy("_group", "_block").applyInArrow(run, f"_group {gt}, _key string, _to string, _p double")
-    to = links.groupBy("_group", "_key").agg(F.max_by("_to", F.struct("_p", "_to")).alias("_root"))
+    to = cut(links.groupBy("_group", "_key").agg(F.max_by("_to", F.struct("_p", "_to")).alias("_root")))
     for _ in range(3):
         same = F.col("l._group").eqNullSafe(F.col("r._group")) & (F.col("l._root") == F.col("r._key"))
         to = to.alias("l").join(to.alias("r"), same, "left").select("l._group", "l._key", F.coalesce("r._root", "l._root").alias("_root"))
@@ -370,11 +370,11 @@ def linked_nodes(nodes: DataFrame, key: str, group: str, name: str, weight: str,
     Rows with several names, or none, are left out; null weights count 1; null groups are a group. ``cut`` may
     checkpoint what is used several times. Only frequent surnames come to the driver, at most 1 / min_share of them.
     """
-    counts = surname_counts(nodes, name, weight)
+    counts = cut(surname_counts(nodes, name, weight))
     total = counts.agg(F.sum("n")).collect()[0][0] or 0
     frequent = counts.where(F.col("n") >= F.lit(min_share * total)).collect()
     signed = cut(signatures(nodes, key, group, name, weight, Surnames.build({r.surname: r.n for r in frequent})))
-    roots = cut(link(signed))
+    roots = link(signed, cut)
     same = F.col("l._group").eqNullSafe(F.col("r._group")) & (F.col("l._key") == F.col("r._key"))
     root = F.coalesce("r._root", "l._key")
     return signed.alias("l").join(roots.alias("r"), same, "left").select(F.col("l._id").alias(key), F.col("l._group").alias(group), F.xxhash64(root).alias("entidad"), root.alias("canonica"))

@@ -17,6 +17,11 @@ def sub(c: Column, pattern: str, to: str = "", flags: str = "") -> Column:
     return F.regexp_replace(c, F.lit(rx(pattern, flags)), F.lit(to))
 
 
+def let(c: Column, f: Callable[[Column], Column]) -> Column:
+    """f(c) with c evaluated once, however often f uses it."""
+    return F.element_at(F.transform(F.array(c), f), 1)
+
+
 def strip(c: Column) -> Column:
     """Without white space of any kind at both ends."""
     return sub(c, r"^\s+|\s+\z")
@@ -35,10 +40,18 @@ def lines(c: Column) -> Column:
 def replace_each(c: Column, pattern: str, to: Callable[[Column], Column], flags: str = "") -> Column:
     """Every match of a pattern (which never matches nothing) replaced by a function of it, without a UDF."""
     p = rx(pattern, flags)
-    found = F.regexp_extract_all(c, F.lit(p), F.lit(0))
-    between = F.split(c, p, -1)
-    tail = F.zip_with(found, F.slice(between, F.lit(2), F.greatest(F.size(between), F.lit(1))), lambda m, b: F.concat(to(m), F.coalesce(b, F.lit(""))))
-    return F.when(F.size(found) > 0, F.concat(F.element_at(between, 1), F.array_join(tail, ""))).otherwise(c)
+
+    def glue(x: Column, found: Column) -> Column:
+        def rest(between: Column) -> Column:
+            tail = F.zip_with(found, F.slice(between, F.lit(2), F.size(found)), lambda m, b: F.concat(to(m), F.coalesce(b, F.lit(""))))
+            return F.concat(F.element_at(between, 1), F.array_join(tail, ""))
+
+        return let(F.split(x, p, -1), rest)
+
+    def whole(x: Column) -> Column:
+        return let(F.regexp_extract_all(x, F.lit(p), F.lit(0)), lambda found: F.when(F.size(found) == 0, x).otherwise(glue(x, found)))
+
+    return let(c, whole)
 
 
 # Marks that the recogniser leaves in its output, in the order in which they are taken out.
@@ -69,9 +82,13 @@ def drop_repeated_sentences(c: Column) -> Column:
     The pattern tries every length at every place, so it runs only on texts in which a piece between full stops ends
     the piece before it or is shorter than the pattern's least; in no other text can it match.
     """
-    parts = F.split(c, rx(r"[.!?]\s*"))
-    again = F.exists(F.sequence(F.lit(1), F.greatest(F.size(parts) - 1, F.lit(1))), lambda i: (F.length(F.get(parts, i)) < 4) & (i < F.size(parts) - 1) | F.endswith(F.get(parts, i - 1), F.get(parts, i)) & (F.get(parts, i) != ""))
-    return F.when(F.size(parts) < 3, c).when(F.coalesce(again, F.lit(True)), sub(c, REPEATED, "$1 ")).otherwise(c)
+
+    def again(parts: Column) -> Column:
+        short = lambda i: (F.length(F.get(parts, i)) < 4) & (i < F.size(parts) - 1)
+        ends = lambda i: F.endswith(F.get(parts, i - 1), F.get(parts, i)) & (F.get(parts, i) != "")
+        return (F.size(parts) > 2) & F.exists(F.sequence(F.lit(1), F.greatest(F.size(parts) - 1, F.lit(1))), lambda i: short(i) | ends(i))
+
+    return let(c, lambda x: F.when(let(F.split(x, rx(r"[.!?]\s*")), again), sub(x, REPEATED, "$1 ")).otherwise(x))
 
 
 def dehyphen(c: Column) -> Column:
@@ -96,10 +113,12 @@ def normalize_office(c: Column) -> Column:
     """Garbled forms of the label of the notary's office, found by what stands around them."""
 
     def to(m: Column) -> Column:
-        head = F.regexp_extract(m, rx(r"^[.—–\-]\s*"), 0)
-        word = F.substr(m, F.length(head) + 1)
-        near = F.levenshtein(F.lower(fold(sub(word, r"[\s:\-–—.*']+"))), F.lit("escribania"))
-        return F.when(near <= 5, F.concat(head, F.lit("Escribanía"))).otherwise(m)
+        def name(head: Column) -> Column:
+            word = F.substr(m, F.length(head) + 1)
+            near = F.levenshtein(F.lower(fold(sub(word, r"[\s:\-–—.*']+"))), F.lit("escribania"))
+            return F.when(near <= 5, F.concat(head, F.lit("Escribanía"))).otherwise(m)
+
+        return let(F.regexp_extract(m, rx(r"^[.—–\-]\s*"), 0), name)
 
     return replace_each(c, OFFICE_CANDIDATE, to)
 
@@ -108,13 +127,17 @@ def normalize_labels(c: Column) -> Column:
     """Labels with slips get their right form; of several within reach the first in the list wins."""
 
     def to(m: Column) -> Column:
-        head = F.regexp_extract(m, rx(r"^(?:[.—–\-]\s*)?"), 0)
-        word = sub(F.substr(m, F.length(head) + 1), r"[\s:;\-–—.]+")
-        out = m
-        for label, most in reversed(LABELS.items()):
-            bare = label.replace("í", "i").lower()
-            out = F.when(F.levenshtein(F.lower(word), F.lit(bare)) <= most, F.concat(head, F.lit(f"{label}:"))).otherwise(out)
-        return out
+        def name(head: Column) -> Column:
+            def pick(word: Column) -> Column:
+                out = m
+                for label, most in reversed(LABELS.items()):
+                    bare = label.replace("í", "i").lower()
+                    out = F.when(F.levenshtein(word, F.lit(bare)) <= most, F.concat(head, F.lit(f"{label}:"))).otherwise(out)
+                return out
+
+            return let(F.lower(sub(F.substr(m, F.length(head) + 1), r"[\s:;\-–—.]+")), pick)
+
+        return let(F.regexp_extract(m, rx(r"^(?:[.—–\-]\s*)?"), 0), name)
 
     c = replace_each(c, LABEL_CANDIDATE, to)
     for label in LABELS:
@@ -127,8 +150,7 @@ def clean_ocr(c: Column) -> Column:
     t = F.coalesce(c, F.lit(""))
     for step in (strip_grounding, dehyphen, join_lines, dehyphen_inline, normalize_office, normalize_labels):
         t = step(t)
-    t = strip(sub(t, r"\n{3,}", "\n\n"))
-    return F.when(blank(c), F.lit("")).otherwise(t)
+    return strip(sub(t, r"\n{3,}", "\n\n"))
 
 
 def header_key(c: Column) -> Column:
@@ -139,10 +161,14 @@ def header_key(c: Column) -> Column:
 def is_running_header(c: Column, header: str = RUNNING_HEADER, most: int = 4) -> Column:
     """Whether a line holds the running header with at most ``most`` slips, anywhere in it."""
     target = "".join(x for x in header.lower() if x.isalnum())
-    n, key = len(target), header_key(c)
-    windows = F.sequence(F.lit(1), F.greatest(F.length(key) - n + 1, F.lit(1)))
-    near = F.exists(windows, lambda i: F.levenshtein(F.substr(key, i, F.lit(n)), F.lit(target), most) >= 0)
-    return F.when(F.length(key) == 0, F.lit(False)).otherwise(F.contains(key, F.lit(target)) | near)
+    n = len(target)
+
+    def near(key: Column) -> Column:
+        windows = F.sequence(F.lit(1), F.greatest(F.length(key) - n + 1, F.lit(1)))
+        hit = F.exists(windows, lambda i: F.levenshtein(F.substr(key, i, F.lit(n)), F.lit(target), most) >= 0)
+        return F.when(F.length(key) < n - most, F.lit(False)).otherwise(F.contains(key, F.lit(target)) | hit)
+
+    return let(header_key(c), near)
 
 
 def drop_running_headers(c: Column, header: str = RUNNING_HEADER) -> Column:
@@ -168,9 +194,13 @@ def clean_page(c: Column) -> Column:
 def is_record_start(c: Column, target: str = "librodelano", most: int = 3, words: int = 10) -> Column:
     """Whether two to five of the first words together are about "Libro del año"; notes never start a record."""
     tokens = F.transform(F.slice(F.filter(F.split(strip(c), rx(r"\s+")), lambda x: x != ""), 1, words), lambda w: F.regexp_replace(F.lower(w), "[^a-z0-9]", ""))
-    sizes = F.filter(F.array(*map(F.lit, (2, 3, 4, 5))), lambda w: w <= F.size(tokens))
-    combos = F.flatten(F.transform(sizes, lambda w: F.transform(F.sequence(F.lit(0), F.size(tokens) - w), lambda i: F.array_join(F.slice(tokens, i + 1, w), ""))))
-    return F.exists(combos, lambda v: F.levenshtein(v, F.lit(target), most) >= 0) & ~c.rlike(rx(r"^\s*Nota", "i"))
+
+    def near(t: Column) -> Column:
+        sizes = F.filter(F.array(*map(F.lit, (2, 3, 4, 5))), lambda w: w <= F.size(t))
+        combos = F.flatten(F.transform(sizes, lambda w: F.transform(F.sequence(F.lit(0), F.size(t) - w), lambda i: F.array_join(F.slice(t, i + 1, w), ""))))
+        return F.exists(combos, lambda v: F.levenshtein(v, F.lit(target), most) >= 0)
+
+    return let(tokens, near) & ~c.rlike(rx(r"^\s*Nota", "i"))
 
 
 def clean_value(c: Column) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("packed", "text", "records", "panel", "graph")
+MODULES = ("packed", "text", "records", "panel", "graph", "layout", "pipeline")
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}

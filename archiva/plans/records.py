@@ -7,7 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from archiva.operators import contracts, parse, sequence
-from archiva.session import table
+from archiva.session import spread, table
 
 
 def boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -33,12 +33,12 @@ def q_volume_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_segment_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records found in the texts by their header lines."""
-    return contracts.segment_by_headers(table(spark, sf_dir, "compilado", "contrato_idx", "texto_completo"), "contrato_idx", "texto_completo")
+    return contracts.segment_by_headers(spread(table(spark, sf_dir, "compilado", "contrato_idx", "texto_completo")), "contrato_idx", "texto_completo")
 
 
 def q_parse_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All fields parsed anew from the whole text."""
-    d = table(spark, sf_dir, "compilado", "contrato_idx", "texto_completo").withColumn("_x", F.regexp_replace("texto_completo", "\n", " "))
+    d = spread(table(spark, sf_dir, "compilado", "contrato_idx", "texto_completo")).withColumn("_x", F.regexp_replace("texto_completo", "\n", " "))
     return parse.parse_text(d.drop("texto_completo"), "_x").drop("_x")
 
 

@@ -7,15 +7,15 @@ from pyspark.sql import functions as F
 
 from archiva.functions import quality as q
 from archiva.functions import text as t
-from archiva.session import table
+from archiva.session import spread, table
 
 
 def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents", "doc_id", "text")
+    return spread(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
 def _texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "compilado", "contrato_idx", "tomo_id", "texto_completo", "asunto")
+    return spread(table(spark, sf_dir, "compilado", "contrato_idx", "tomo_id", "texto_completo", "asunto"))
 
 
 def q_clean_text(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -82,7 +82,7 @@ def q_validate_output(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_similarity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Similarity of the subject as parsed and as cleaned again."""
-    d = _texts(spark, sf_dir).repartition(spark.sparkContext.defaultParallelism)
+    d = _texts(spark, sf_dir)
     return d.select("contrato_idx", q.similarity(F.col("asunto"), t.clean_ocr(F.col("asunto"))).alias("similitud"))
 
 

@@ -1 +1 @@
-
+"""Readers and writers of the archive's files."""

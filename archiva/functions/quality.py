@@ -4,10 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-import pandas as pd
-from pyspark.sql import Column
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType
 
 from archiva.functions.text import blank, lines, strip, sub
 
@@ -86,16 +85,22 @@ def output_metrics(c: Column) -> Column:
     return F.struct(F.length(s).alias("chars"), F.size(lines(s)).alias("lineas"), ratio.alias("ratio_alfa"), is_valid(f, 2).alias("valido"), F.array_join(f, "; ").alias("flags"))
 
 
-@F.pandas_udf(DoubleType())
-def similarity(a: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+def ratio(a: str | None, b: str | None) -> float:
     """Ratcliff-Obershelp similarity; 1 if both texts are blank, 0 if one is."""
     from difflib import SequenceMatcher
 
-    for left, right in a:
-        out = []
-        for x, y in zip(left, right, strict=True):
-            x, y = (x or "").strip(), (y or "").strip()
-            out.append(1.0 if not x and not y else 0.0 if not x or not y else SequenceMatcher(None, x, y).ratio())
-        yield pd.Series(out)
+    x, y = (a or "").strip(), (b or "").strip()
+    return 1.0 if not x and not y else 0.0 if not x or not y else SequenceMatcher(None, x, y).ratio()
 
 
+def with_similarity(df: DataFrame, left: str, right: str, out: str) -> DataFrame:
+    """``df`` with the similarity of two text columns; no built-in function gives this measure."""
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
+    names = df.columns
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            pairs = zip(b.column(names.index(left)).to_pylist(), b.column(names.index(right)).to_pylist(), strict=True)
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array([ratio(x, y) for x, y in pairs], pa.float64())], names=[*names, out])
+
+    return df.mapInArrow(run, f"{schema}, `{out}` double")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from archiva.functions.quality import output_metrics, similarity
+from archiva.functions.quality import output_metrics, with_similarity
 
 
 def pages_with_problems(listed: DataFrame, column: str, images: DataFrame, page: str = "page_num") -> DataFrame:
@@ -24,7 +24,7 @@ def compare(a: DataFrame, b: DataFrame, key: str, text: str = "text", seconds: s
     """A row per page of ``a``: figures of both outputs (v1_, v2_), their similarity and differences."""
     side = lambda d, s: d.select(key, F.col(text).alias(f"{s}_text"), F.col(seconds).alias(f"{s}_tiempo_s"), output_metrics(F.col(text)).alias(f"_{s}")).select(key, f"{s}_text", f"{s}_tiempo_s", *(F.col(f"_{s}.{c}").alias(f"{s}_{c}") for c in ("chars", "lineas", "ratio_alfa", "valido", "flags")))
     j = side(a, "v1").join(side(b, "v2"), key, "left")
-    return j.withColumn("similitud_v1_v2", similarity(F.col("v1_text"), F.col("v2_text"))).withColumns({"delta_chars": F.col("v2_chars") - F.col("v1_chars"), "delta_tiempo": F.col("v2_tiempo_s") - F.col("v1_tiempo_s")}).drop("v1_text", "v2_text")
+    return with_similarity(j, "v1_text", "v2_text", "similitud_v1_v2").withColumns({"delta_chars": F.col("v2_chars") - F.col("v1_chars"), "delta_tiempo": F.col("v2_tiempo_s") - F.col("v1_tiempo_s")}).drop("v1_text", "v2_text")
 
 
 def means(outputs: DataFrame, model: str = "modelo") -> DataFrame:

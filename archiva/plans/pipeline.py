@@ -84,7 +84,9 @@ def q_pipeline(spark, sf_dir: str) -> DataFrame:
 
         return Stub(answer)
 
-    r = run_pipeline(boxes(spark, sf_dir), factory)
+    # the texts have line ends, which the cleaning of boxes takes out
+    d = boxes(spark, sf_dir, "texto_completo").withColumn("ocr_text_clean", F.regexp_replace("ocr_text_clean", "\n", " "))
+    r = run_pipeline(d, factory)
     return r.panel.groupBy("id_status", "tipo_entidad").agg(F.count("*").alias("n"))
 
 

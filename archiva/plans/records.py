@@ -10,11 +10,11 @@ from archiva.operators import contracts, parse, sequence
 from archiva.session import spread, table
 
 
-def boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
+def boxes(spark: SparkSession, sf_dir: str, text: str = "asunto") -> DataFrame:
     """Records as if they were the boxes of their page, in the order of their index."""
-    d = table(spark, sf_dir, "compilado", "tomo_id", "page_inicio", "contrato_idx", "class_origin", "asunto")
+    d = table(spark, sf_dir, "compilado", "tomo_id", "page_inicio", "contrato_idx", "class_origin", text)
     rank = F.row_number().over(W.partitionBy("tomo_id", "page_inicio").orderBy("contrato_idx"))
-    return d.select(F.col("tomo_id").alias("tomo"), F.col("page_inicio").alias("page_num"), rank.alias("sort_idx"), F.col("class_origin").alias("class_name"), F.col("asunto").alias("ocr_text_clean"), "contrato_idx")
+    return d.select(F.col("tomo_id").alias("tomo"), F.col("page_inicio").alias("page_num"), rank.alias("sort_idx"), F.col("class_origin").alias("class_name"), F.col(text).alias("ocr_text_clean"), "contrato_idx")
 
 
 def q_group_contracts(spark: SparkSession, sf_dir: str) -> DataFrame:

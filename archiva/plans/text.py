@@ -82,8 +82,8 @@ def q_validate_output(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_similarity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Similarity of the subject as parsed and as cleaned again."""
-    d = _texts(spark, sf_dir)
-    return d.select("contrato_idx", q.similarity(F.col("asunto"), t.clean_ocr(F.col("asunto"))).alias("similitud"))
+    d = _texts(spark, sf_dir).select("contrato_idx", "asunto", t.clean_ocr(F.col("asunto")).alias("_c"))
+    return q.with_similarity(d, "asunto", "_c", "similitud").select("contrato_idx", "similitud")
 
 
 def q_record_starts(spark: SparkSession, sf_dir: str) -> DataFrame:

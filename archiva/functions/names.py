@@ -4,7 +4,23 @@ from __future__ import annotations
 
 import re
 import unicodedata
-from functools import lru_cache
+from collections.abc import Callable
+
+
+def remember(f: Callable, most: int = 200_000) -> Callable:
+    """f with a memory of its results; unlike functools.lru_cache it can be sent to executors by value."""
+    known: dict = {}
+
+    def with_memory(x):
+        got = known.get(x)
+        if got is None:
+            got = f(x)
+            if len(known) < most:
+                known[x] = got
+        return got
+
+    return with_memory
+
 
 # Spanish given names of the early modern period.
 GIVEN = """agustín alonso álvaro ambrosio ana andrés antón antonio baltasar bartolomé beatriz benito bernardo blas
@@ -87,7 +103,7 @@ def distance(a: str, b: str, most: int = 99) -> int:
     return score if score <= most else most + 1
 
 
-@lru_cache(maxsize=100_000)
+@remember
 def is_given(token: str) -> bool:
     """Whether a word can be a given name: listed, familiar, diminutive, abbreviated or misspelt by one letter."""
     if any(c in token for c in ".ºª"):

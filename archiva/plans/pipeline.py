@@ -34,7 +34,7 @@ def run_pipeline(
 ) -> Result:
     """Boxes with text, grouped into records, parsed, renumbered, lost ones recovered, entities extracted, panel and network.
 
-    ``cut`` materialises the records before and after the extraction. With ``resegment_first`` buried records are looked
+    ``cut`` materialises the records after each step. With ``resegment_first`` buried records are looked
     for before lost numbers become rows, which else hide the gaps.
     """
     d = boxes.where(F.col("tomo").isin(volumes)) if volumes else boxes
@@ -49,9 +49,10 @@ def run_pipeline(
     def repair(x: DataFrame) -> DataFrame:
         return renumber(sequence.repair(x, group))
 
-    for step in ((recover, repair) if resegment_first else (repair, recover)):
-        records = step(records)
+    # windows and joins of one step are not planned again in the next
     records = cut(records)
+    for step in ((recover, repair) if resegment_first else (repair, recover)):
+        records = cut(step(records))
     blank = {c: F.lit("") for c in ("tipo", "personas", "naos", "lugares", "atributos")}
     records = records.withColumns(blank) if skip_entities else cut(extract_entities(records, "pos", "asunto", extractor, most_entities))
     kept, _ = panel.split_headers(records)

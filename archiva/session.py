@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import os
+import pickle
 
+from pyspark import cloudpickle
+from pyspark.core.broadcast import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -50,3 +53,16 @@ def checkpoint(df: DataFrame) -> DataFrame:
         at = df.sparkSession.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
         sc.setCheckpointDir(at or df.sparkSession.conf.get("spark.sql.warehouse.dir").removeprefix("file:") + "/checkpoints")
     return df.checkpoint()
+
+
+def share(spark: SparkSession, value: object) -> Broadcast:
+    """A broadcast of any object, its classes by value, so that executors need no copy of the package."""
+    return spark.sparkContext.broadcast(cloudpickle.dumps(value))
+
+
+def shared_value(shared: Broadcast) -> object:
+    """What share() sent; read once per worker, so what it remembers lasts from task to task."""
+    got = shared.__dict__.get("_object")
+    if got is None:
+        got = shared.__dict__["_object"] = pickle.loads(shared.value)
+    return got

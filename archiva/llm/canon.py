@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from archiva.functions.names import distance, fold
 from archiva.operators.packed import not_a_name
+from archiva.session import share, shared_value
 
 #: A form is frequent if it has this share of the values of its domain; so there are at most 1 / MIN_SHARE of them.
 MIN_SHARE = 0.0005
@@ -305,13 +306,13 @@ def map_values(df: DataFrame, domain: str, value: str, gazetteers: Mapping[str,
     """
     if sum(len(g.entries) for g in gazetteers.values()) > 1_000_000:
         raise ValueError("the reference list is too long to hold in every task")
-    shared = df.sparkSession.sparkContext.broadcast(dict(gazetteers))
+    shared = share(df.sparkSession, dict(gazetteers))
     keep = [c for c in df.columns if c not in (out,)]
     picked = df.select(*keep)
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in picked.schema.fields)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lists = shared.value
+        lists = shared_value(shared)
         for b in batches:
             kinds, values = b.column(keep.index(domain)).to_pylist(), b.column(keep.index(value)).to_pylist()
             ids = [lists[k].match(v) if k in lists else 0 for k, v in zip(kinds, values, strict=True)]

@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from archiva.functions.names import distance, fold
+from archiva.session import share, shared_value
 
 #: What has at least this share of its kind (words, lines by text) belongs to the vocabulary; so each kind has at most
 #: 1 / share entries times the items of a text, whatever the size of the corpus.
@@ -569,11 +570,11 @@ def find_damage(df: DataFrame, key: str, fields: Sequence[str], v: Vocabulary) -
     """
     picked = df.select(F.col(key).alias("_k"), *(F.col(c).cast("string").alias(f"_f{i}") for i, c in enumerate(fields)))
     kt = picked.schema["_k"].dataType.simpleString()
-    shared = df.sparkSession.sparkContext.broadcast(v)
+    shared = share(df.sparkSession, v)
     names = list(fields)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        voc = shared.value
+        voc = shared_value(shared)
         for b in batches:
             at, campo, rows = [], [], []
             for i, c in enumerate(names):
@@ -596,10 +597,10 @@ def repair_texts(df: DataFrame, key: str, text: str, v: Vocabulary) -> DataFrame
     """``key`` and ``text`` repaired, a row per row."""
     picked = df.select(F.col(key).alias("_k"), F.col(text).cast("string").alias("_t"))
     kt = picked.schema["_k"].dataType.simpleString()
-    shared = df.sparkSession.sparkContext.broadcast(v)
+    shared = share(df.sparkSession, v)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([repair(t, shared.value) for t in b.column(1).to_pylist()], pa.string())], names=[key, text])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([repair(t, shared_value(shared)) for t in b.column(1).to_pylist()], pa.string())], names=[key, text])
 
     return picked.mapInArrow(run, f"`{key}` {kt}, `{text}` string")

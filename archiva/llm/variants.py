@@ -13,7 +13,6 @@ import re
 from collections import Counter, defaultdict
 from collections.abc import Iterable, Iterator, Mapping
 from dataclasses import dataclass, field
-from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -22,6 +21,7 @@ from pyspark.sql import functions as F
 from archiva.functions import names
 from archiva.functions.names import distance, fold
 from archiva.operators.packed import scan
+from archiva.session import share, shared_value
 
 #: A surname of this share of all surnames is frequent; so there are at most 1 / MIN_SHARE frequent ones.
 MIN_SHARE = 2e-5
@@ -48,7 +48,7 @@ def subsequence(part: str, word: str) -> bool:
     return all(c in rest for c in part)
 
 
-@lru_cache(maxsize=200_000)
+@names.remember
 def given(token: str) -> tuple[str, ...]:
     """The given names a token may stand for, () if it is none. Several only for initials and abbreviations."""
     raised = "º" in token or "ª" in token
@@ -320,10 +320,10 @@ def signatures(nodes: DataFrame, key: str, group: str, name: str, weight: str, s
     """_id, _group, _key, _n of the rows that name exactly one person or company."""
     picked = nodes.select(F.col(key).alias("_id"), F.col(group).alias("_group"), F.col(name).cast("string").alias("_v"), F.coalesce(F.col(weight).cast("bigint"), F.lit(1)).alias("_n"))
     types = {f.name: f.dataType.simpleString() for f in picked.schema.fields}
-    shared = nodes.sparkSession.sparkContext.broadcast(surnames)
+    shared = share(nodes.sparkSession, surnames)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = shared.value
+        known = shared_value(shared)
         for b in batches:
             rows, keys = [], []
             for i, n in _single(b.column(2)):

@@ -218,6 +218,13 @@ def split_list(c: Column) -> Column:
     return F.filter(F.transform(F.split(F.coalesce(c, F.lit("")), ";"), strip), lambda x: x != "")
 
 
+def literal_list(c: Column) -> Column:
+    """A list written as "['a', 'b']" or JSON as values joined by "; ", without blanks and "..."; other texts stay."""
+    items = F.from_json(c, "array<string>", {"allowSingleQuotes": "true"})
+    kept = F.filter(F.transform(items, strip), lambda x: (x != "") & (x != "..."))
+    return F.when(blank(c), F.lit("")).when(strip(c).startswith("[") & items.isNotNull(), F.array_join(kept, "; ")).otherwise(strip(c))
+
+
 def roman(c: Column) -> Column:
     """The number that Roman digits stand for; null if there is any other character."""
     value = F.create_map(*[F.lit(x) for kv in {"I": 1, "V": 5, "X": 10, "L": 50, "C": 100, "D": 500, "M": 1000}.items() for x in kv])

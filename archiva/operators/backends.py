@@ -35,6 +35,34 @@ class Stub:
         return [self.answer(x) for x in inputs]
 
 
+class Http:
+    """A model behind a web address: one JSON request per input, the answer taken out of the reply."""
+
+    def __init__(self, url: str, body: Callable[[object], dict], read: Callable[[dict], str | None], check: str | None = None, seconds: float = 300.0) -> None:
+        self.url, self.body, self.read, self.check, self.seconds = url, body, read, check, seconds
+
+    def available(self) -> bool:
+        """Whether the check address answers within five seconds."""
+        from urllib.request import urlopen
+
+        try:
+            with urlopen(self.check or self.url, timeout=5) as r:
+                return r.status < 400
+        except OSError:
+            return False
+
+    def run(self, inputs: Sequence) -> list[str | None]:
+        import json
+        from urllib.request import Request, urlopen
+
+        out = []
+        for x in inputs:
+            ask = Request(self.url, json.dumps(self.body(x)).encode(), {"Content-Type": "application/json"})
+            with urlopen(ask, timeout=self.seconds) as r:
+                out.append(self.read(json.load(r)))
+        return out
+
+
 def infer(df: DataFrame, inputs: str, factory: Callable[[], Backend], out: str, tries: int = 2) -> DataFrame:
     """``df`` with the backend's answer to ``inputs``; null inputs are not sent, an error after ``tries`` gives null."""
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)

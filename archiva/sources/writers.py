@@ -72,3 +72,15 @@ def append_parts(df: DataFrame, path: str, pos: str, size: int = 500) -> None:
 def profiles(df: DataFrame, path: str) -> None:
     """The registry of preparation profiles, replaced as a whole."""
     df.coalesce(1).write.mode("overwrite").json(path)
+
+
+def run_summary(folder: str) -> list[tuple[str, int]]:
+    """Files of a run on the driver's disk and their sizes in bytes, by name."""
+    from pathlib import Path
+
+    return sorted((p.name, p.stat().st_size) for p in Path(folder).iterdir() if p.is_file())
+
+
+def parts_wide(df: DataFrame, key: str, pos: str, value: str, most: int) -> DataFrame:
+    """Parts of each key side by side as col_0 to col_(most - 1), for looking at them; later parts are left out."""
+    return df.groupBy(key).pivot(pos, list(range(most))).agg(F.first(value)).select(key, *(F.col(str(i)).alias(f"col_{i}") for i in range(most)))

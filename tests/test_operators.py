@@ -20,7 +20,7 @@ def one(spark, col, value, kind="string"):
     (t.dehyphen, "pala-\n bra", "palabra"), (t.dehyphen_inline, "a-b-c", "ab-c"), (t.join_lines, " a \n\n b ", "a b"), (t.normalize_labels, ". Foiio: 23", ". Folio: 23"), (t.normalize_labels, ". Asnnto: X", ". Asunto: X"),
     (t.drop_repeated_sentences, "Fin de hoja. Fin de hoja. Fin de hoja. Otra.", "Fin de hoja. Otra."), (t.drop_repeated_sentences, "Uno. Dos. Tres.", "Uno. Dos. Tres."), (t.clean_ocr, None, ""), (t.clean_ocr, "  \n ", ""),
     (t.clean_ocr, "# Tit\n**negra** <|ref|>x<|/ref|> pala-\nbra", "Tit negra x palabra"), (t.clean_value, " .— Hola  tú ;", "Hola tú"), (t.volume_code, "Tomo_XVI", "16"), (t.volume_code, "Tomo_01", "01"), (t.volume_code, "foo", "00"),
-    (t.split_list, " a ;;b; ", ["a", "b"]), (t.split_list, None, []), (t.safe_name, "Tomo I/2", "Tomo_I_2"), (t.is_record_start, "56. Libro del año: 1500", True), (t.is_record_start, "56 Iibro dei año", True), (t.is_record_start, "Nota: Libro del año", False),
+    (t.literal_list, "['a', '', \"b's\", '...']", "a; b's"), (t.literal_list, " suelto ", "suelto"), (t.literal_list, None, ""), (t.split_list, " a ;;b; ", ["a", "b"]), (t.split_list, None, []), (t.safe_name, "Tomo I/2", "Tomo_I_2"), (t.is_record_start, "56. Libro del año: 1500", True), (t.is_record_start, "56 Iibro dei año", True), (t.is_record_start, "Nota: Libro del año", False),
     (t.is_running_header, "12 CATÁLOGO DE LOS F0NDOS AMERICAN0S", True), (t.is_running_header, "otra línea", False), (t.drop_repeated_lines, "una línea bastante larga\n\nuna línea bastante larga\nx\nx", "una línea bastante larga\n\nx\nx"), (t.roman, "XIV", 14), (t.roman, "ZZ", None),
 ])
 def test_text(spark, f, text, want):
@@ -175,6 +175,34 @@ def test_backends(spark):
     assert one(spark, lambda c: backends.choose_attempt(c, "first"), ["1" * 24, "2" * 24], "array<string>") == "1" * 24
 
 
+def test_http():
+    import threading
+    from http.server import BaseHTTPRequestHandler, HTTPServer
+
+    class Echo(BaseHTTPRequestHandler):
+        def do_GET(self):
+            self.send_response(200)
+            self.end_headers()
+
+        def do_POST(self):
+            data = self.rfile.read(int(self.headers["Content-Length"]))
+            self.send_response(200)
+            self.end_headers()
+            self.wfile.write(data)
+
+        def log_message(self, *a):
+            pass
+
+    server = HTTPServer(("127.0.0.1", 0), Echo)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    model = backends.Http(f"http://127.0.0.1:{server.server_port}", lambda x: {"p": x}, lambda r: r["p"])
+    assert model.available()
+    assert model.run(["a", "ñ"]) == ["a", "ñ"]
+    server.shutdown()
+    server.server_close()
+    assert not model.available()
+
+
 def test_layout(spark):
     df = spark.createDataFrame([(50, 3, 40, 2)], "x1 int, y1 int, x2 int, y2 int").withColumns({"image_width": F.lit(60), "image_height": F.lit(9)})
     r = layout.clamp(df).collect()[0]

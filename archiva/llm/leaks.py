@@ -1,13 +1,14 @@
 """Held-out passages that turn up in a corpus, whole or in part.
 
 The n-grams of the normalised passages are a broadcast hash table; a window slides over the words of each document
-and looks them up. A pair of document and passage with enough hits is verified by a local alignment of the words,
-which forgives misread, added, lost and changed words. A running stretch counts if it is long enough, if enough of
+and looks them up. Where hits run along, the words of the passage that could agree at all are counted; where these
+would satisfy the rule, a local alignment of the words decides, which forgives misread, added, lost and changed words. A running stretch counts if it is long enough, if enough of
 its words agree, and if the words that tell this passage from the others of its build agree as well.
 """
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator, Sequence
@@ -23,6 +24,10 @@ from archiva.session import share, shared_value
 
 #: The test passages are held by every task; beyond this many characters they are refused rather than broadcast.
 MAX_PASSAGE_CHARS = 50_000_000
+#: Places of added words that the search allows for in the shortest stretch, beside all words the rule lets change.
+ADDED = 4
+# Fixed value: more words than a text has, to keep passage and shift in one number.
+SHIFTS = 1 << 32
 
 BREAK = re.compile(r"(?<=[^\W\d_])[-‐‑–¬­]\s*\n\s*(?=[^\W\d_])")
 TOKEN = re.compile(r"[^\W_]+(?:[.,]\d{3})*", re.UNICODE)
@@ -71,17 +76,20 @@ class Index:
     passages: list[np.ndarray]
     vocabulary: dict[str, int]
     keys: np.ndarray
-    places: list[list[tuple[int, int]]]
+    starts: np.ndarray
+    places: np.ndarray
     rare: np.ndarray
     deletes: dict[str, list[str]]
     n: int
     common_df: int
+    flat: np.ndarray
+    first: np.ndarray
+    sizes: np.ndarray
     fuzzy: dict[str, int] = field(default_factory=dict)
 
     @classmethod
-    def build(cls, items: Sequence[tuple[int, str]], n: int = 3, common_share: float = 0.08, max_items: int = 6) -> Index:
-        """``common_share``: a word of more passages than this share tells nothing of one; ``max_items``: so many
-        passages may share an n-gram that is to count as a hit."""
+    def build(cls, items: Sequence[tuple[int, str]], n: int = 2, common_share: float = 0.08) -> Index:
+        """``common_share``: a word of more passages than this share tells nothing of one. All n-grams are kept, however many passages share them."""
         texts = [words(t) for _, t in items]
         vocabulary: dict[str, int] = {}
         for t in texts:
@@ -93,7 +101,6 @@ class Index:
         for i, p in enumerate(passages):
             for j in range(len(p) - n + 1):
                 grams[tuple(p[j : j + n].tolist())].append((i, j))
-        grams = {g: at for g, at in grams.items() if len({i for i, _ in at}) <= max_items}
         if (len(vocabulary) + 1) ** n >= 1 << 62:
             raise ValueError("the passages have too many different words for n-grams of this length")
         limit = max(3, common_share * len(items))
@@ -106,13 +113,18 @@ class Index:
         base = len(vocabulary) + 1
         keyed = sorted((sum(c * base**k for k, c in enumerate(reversed(g))), at) for g, at in grams.items())
         keys = np.array([k for k, _ in keyed], np.int64)
-        return cls([i for i, _ in items], passages, vocabulary, keys, [at for _, at in keyed], rare, dict(deletes), n, int(limit))
-
-    def hits(self, codes: np.ndarray) -> Iterator[tuple[int, int, int]]:
-        """Window, passage and place in it of every n-gram of the codes that is in the index."""
+        starts = np.cumsum([0, *(len(at) for _, at in keyed)])
+        places = np.array([x for _, at in keyed for x in at], np.int64).reshape(-1, 2)
+        sizes = np.array([len(p) for p in passages], np.int64)
+        flat = np.concatenate([np.zeros(0, np.int64), *passages])
+        return cls([i for i, _ in items], passages, vocabulary, keys, starts, places, rare, dict(deletes), n, int(limit), flat, np.cumsum(sizes) - sizes, sizes)
+
+    def hits(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Passage of every n-gram of the codes that is in the index, and its distance from its place in the passage."""
+        none = np.zeros(0, np.int64)
         width = len(codes) - self.n + 1
         if width < 1 or not len(self.keys):
-            return
+            return none, none
         key = np.zeros(width, np.int64)
         for k in range(self.n):
             key = key * (len(self.vocabulary) + 1) + codes[k : k + width]
@@ -120,9 +132,10 @@ class Index:
         known = self.keys[at] == key
         if codes.min() < 0:  # a word that no passage has
             known &= np.lib.stride_tricks.sliding_window_view(codes, self.n).min(axis=1) >= 0
-        for w in np.flatnonzero(known).tolist():
-            for i, j in self.places[at[w]]:
-                yield w, i, j
+        w = np.flatnonzero(known)
+        first, count = self.starts[at[w]], self.starts[at[w] + 1] - self.starts[at[w]]
+        each = np.repeat(first - np.cumsum(count) + count, count) + np.arange(count.sum())
+        return self.places[each, 0], np.repeat(w, count) - self.places[each, 1]
 
     def code(self, word: str) -> int:
         """Number of a word; misread words get that of the passage word one letter away; others -1."""
@@ -177,46 +190,108 @@ def align(doc: np.ndarray, passage: np.ndarray, miss: float = 0.9, gap: float =
     return [(int(i), end_i, int(j), end_j, hit)]
 
 
-def matches(text: str | None, index: Index, min_hits: int = 5) -> Iterator[tuple[int, int, float, float, int, int]]:
-    """For each passage with hits in a text: its number, words of the stretch, share of them that agree, the same
-    among telling words, and where in the words of the text the stretch lies."""
+@dataclass(frozen=True)
+class Rule:
+    """When a stretch counts: words, share of them that agree, the same among telling words."""
+
+    min_words: int = 20
+    min_share: float = 0.7
+    min_telling: float = 0.6
+
+    def accepts(self, span: int, share: float, telling: float) -> bool:
+        return span >= self.min_words and share >= self.min_share and telling >= self.min_telling
+
+    def seeds(self, n: int) -> tuple[int, int]:
+        """So many n-grams agree at least in the shortest stretch that counts, and the band of shifts they lie in.
+
+        Of min_words words the least share agrees; each other word and each place of added words divides what agrees
+        once more, and a run of r words has r - n + 1 n-grams. ADDED places of added words are allowed for. Each lost
+        or added word moves the shift by one.
+        """
+        agree = math.ceil(self.min_words * self.min_share - 1e-9)
+        other = self.min_words - agree
+        return max(1, agree - (n - 1) * (other + ADDED + 1)), other + ADDED
+
+    def possible(self, could: np.ndarray, tell: np.ndarray) -> bool:
+        """Whether some stretch of a passage would count if all words agreed that could."""
+        w = self.min_words
+        share = np.concatenate([[0.0], np.cumsum(could - self.min_share)])
+        if len(share) <= w:
+            return False
+        # ends of stretches with share enough, then all their starts
+        end = np.flatnonzero(share[w:] - np.minimum.accumulate(share)[:-w] > -1e-6) + w
+        told = np.concatenate([[0.0], np.cumsum(np.where(tell, could - self.min_telling, 0.0))])
+        n = np.concatenate([[0], np.cumsum(tell)])
+        start = np.arange(len(share))
+        ok = (share[end][:, None] - share > -1e-6) & (told[end][:, None] - told > -1e-6) & (end[:, None] - start >= w)
+        return bool((ok & (n[end][:, None] > n)).any()) if self.min_telling > 0 else bool(ok.any())
+
+
+def runs(index: Index, codes: np.ndarray, rule: Rule) -> list[tuple[int, int, int]]:
+    """Passage, least and highest shift of hits that run along in a text."""
+    passage, shift = index.hits(codes)
+    least, band = rule.seeds(index.n)
+    if len(passage) < least:
+        return []
+    key = np.sort(passage * SHIFTS + shift + SHIFTS // 2)
+    dense = np.flatnonzero(key[least - 1 :] - key[: len(key) - least + 1] <= band)
+    if not len(dense):
+        return []
+    # dense places that share hits or lie in one band are one
+    cut = np.flatnonzero(key[dense[1:]] - key[dense[:-1] + least - 1] > band)
+    lo = key[dense[np.concatenate([[0], cut + 1])]]
+    hi = key[dense[np.concatenate([cut, [len(dense) - 1]])] + least - 1]
+    return [(int(a // SHIFTS), int(a % SHIFTS - SHIFTS // 2), int(b % SHIFTS - SHIFTS // 2)) for a, b in zip(lo, hi, strict=True)]
+
+
+def possible(index: Index, codes: np.ndarray, rule: Rule) -> list[tuple[int, int, int]]:
+    """Those of runs() where some stretch would count if all words of the passage agreed that stand in the text near them."""
+    found = runs(index, codes, rule)
+    if not found:
+        return []
+    band = rule.seeds(index.n)[1]
+    number, lo, hi = np.array(found).T
+    size = index.sizes[number]
+    at = np.cumsum(size) - size
+    j = np.arange(size.sum()) - np.repeat(at, size)
+    word = index.flat[np.repeat(index.first[number], size) + j]
+    known = np.flatnonzero(codes >= 0)
+    key = np.append(np.sort(codes[known] * SHIFTS + known), np.iinfo(np.int64).max)
+    low = word * SHIFTS + np.maximum(0, j + np.repeat(lo - band, size))
+    could = key[np.searchsorted(key, low)] <= word * SHIFTS + j + np.repeat(hi + band, size)
+    # the share alone first, for all at once; each run lies lower than those before, so none takes the start of another
+    gain = np.concatenate([[0.0], np.cumsum(could - rule.min_share)])
+    whole = size + 1
+    start = np.cumsum(whole) - whole
+    each = np.arange(whole.sum()) - np.repeat(start, whole) + np.repeat(at, whole)
+    drop = gain[each] - np.repeat(np.arange(len(size)), whole) * float(4 * len(j) + 4)
+    w = rule.min_words
+    if len(drop) <= w:
+        return []
+    good = np.flatnonzero(drop[w:] - np.minimum.accumulate(drop)[:-w] > -1e-6) + w
+    some = np.unique(np.searchsorted(start, good, "right") - 1)
+    return [found[r] for r in some.tolist() if rule.possible(could[at[r] : at[r] + size[r]], index.rare[word[at[r] : at[r] + size[r]]])]
+
+
+def matches(text: str | None, index: Index, rule: Rule) -> Iterator[tuple[int, int, float, float, int, int]]:
+    """For each place of a text where a stretch of a passage may count: number of the passage, words of the stretch,
+    share of them that agree, the same among telling words, and where in the words of the text the stretch lies."""
     codes = np.array([index.code(w) for w in tokens(text or "")], np.int64)
-    n = index.n
-    hits: dict[int, list[tuple[int, int]]] = defaultdict(list)
-    for k, i, j in index.hits(codes):
-        hits[i].append((k, j))
-    for i, at in hits.items():
-        if len(at) < min_hits:
-            continue
-        # in a running stretch the distance between text and passage hardly changes
-        shift = sorted(k - j for k, j in at)
-        if all(shift[k + min_hits - 1] - shift[k] > 2 * min_hits for k in range(len(shift) - min_hits + 1)):
-            continue
+    for i, first, last in possible(index, codes, rule):
         p = index.passages[i]
-        # the text around the hits; hits far apart are separate places
-        at.sort()
-        start = 0
-        places: list[tuple[int, int]] = []
-        for e in range(1, len(at) + 1):
-            if e == len(at) or at[e][0] - at[e - 1][0] > 2 * len(p):
-                if e - start >= min_hits:
-                    part = at[start:e]
-                    lo = min(k - j for k, j in part) - len(p) // 4
-                    hi = max(k - j for k, j in part) + len(p) + len(p) // 4
-                    places.append((max(0, lo), min(len(codes), hi)))
-                start = e
-        for lo, hi in places:
-            for a, b, c, d, hit in align(codes[lo:hi], p):
-                span = d - c
-                tell = index.rare[p[c:d]]
-                yield i, span, float(hit[c:d].mean()), float(hit[c:d][tell].mean()) if tell.any() else 0.0, lo + a, lo + b
+        lo, hi = max(0, first - len(p) // 4), min(len(codes), last + len(p) + len(p) // 4)
+        for a, b, c, d, hit in align(codes[lo:hi], p):
+            span = d - c
+            tell = index.rare[p[c:d]]
+            yield i, span, float(hit[c:d].mean()), float(hit[c:d][tell].mean()) if tell.any() else 0.0, lo + a, lo + b
 
 
 def leaked(text: str | None, index: Index, min_words: int, min_share: float, min_telling: float) -> list[tuple[int, int, float, int, int]]:
     """Item, words, share and place of the longest stretch of each passage that leaked into a text."""
     best: dict[int, tuple[int, float, int, int]] = {}
-    for i, span, share, telling, lo, hi in matches(text, index):
-        if span >= min_words and share >= min_share and telling >= min_telling and span > best.get(i, (0,))[0]:
+    rule = Rule(min_words, min_share, min_telling)
+    for i, span, share, telling, lo, hi in matches(text, index, rule):
+        if rule.accepts(span, share, telling) and span > best.get(i, (0,))[0]:
             best[i] = (span, share, lo, hi)
     return [(index.ids[i], *b) for i, b in sorted(best.items())]
 
@@ -229,7 +304,7 @@ def build_index(items: Sequence[tuple[int, str]], n: int) -> Index:
 
 
 def clean_leaks(
-    docs: DataFrame, text: str, key: str, items: Sequence[tuple[int, str]], min_words: int = 20, min_share: float = 0.7, min_telling: float = 0.6, n: int = 3
+    docs: DataFrame, text: str, key: str, items: Sequence[tuple[int, str]], min_words: int = 20, min_share: float = 0.7, min_telling: float = 0.6, n: int = 2
 ) -> DataFrame:
     """``key``, ``text`` without leaked stretches and n_removed (words taken out), a row per row of ``docs``.
 
@@ -273,7 +348,7 @@ def without(text: str, gone: set[int]) -> str:
 
 
 def find_leaks(
-    docs: DataFrame, text: str, key: str, items: Sequence[tuple[int, str]], min_words: int = 20, min_share: float = 0.7, min_telling: float = 0.6, n: int = 3
+    docs: DataFrame, text: str, key: str, items: Sequence[tuple[int, str]], min_words: int = 20, min_share: float = 0.7, min_telling: float = 0.6, n: int = 2
 ) -> DataFrame:
     """Pairs (``key``, item_id) with n_words (of the stretch), share, desde, hasta (words of the text, hasta exclusive).
 

@@ -45,6 +45,24 @@ def test_leaks(spark, change, leak):
     assert got == ({(k, k) for k, _ in ITEMS[:3]} if leak else set())
 
 
+@pytest.mark.parametrize("n", [20, 24, 28])
+def test_scattered_changes(spark, n):
+    docs = []
+    for k, t in ITEMS[:8]:
+        w = t.split()[10 : 10 + n]
+        docs.append((k, f"{FILLER} {' '.join('xyxyxy' if i % 3 == 2 and i < 18 else x for i, x in enumerate(w))} {FILLER}"))
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    assert {(r.doc_id, r.item_id) for r in find_leaks(df, "text", "doc_id", ITEMS).collect()} == {(k, k) for k, _ in ITEMS[:8]}
+
+
+def test_shared_passages(spark):
+    # more items than six with the same passage, in words no other item has
+    passage = " ".join(w[::-1] for w in VOCABULARY[:60])
+    items = [(k, passage) for k in range(9)] + [(100 + k, " ".join(random.choice(VOCABULARY) for _ in range(60))) for k in range(120)]
+    df = spark.createDataFrame([(1, f"{FILLER} {passage} {FILLER}")], "doc_id long, text string")
+    assert {r.item_id for r in find_leaks(df, "text", "doc_id", items).collect()} == set(range(9))
+
+
 def test_clean(spark):
     stretch = " ".join(ITEMS[0][1].split()[5:45])
     df = spark.createDataFrame([(1, f"{FILLER} {stretch} {FILLER}", 7), (2, FILLER, 7), (3, None, 7)], "doc_id long, text string, n_removed int")

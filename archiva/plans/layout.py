@@ -39,6 +39,13 @@ def q_page_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
     return layout.page_fallback(pages, b).groupBy("class_name").agg(F.count("*").alias("n"), F.sum("x2").alias("x2"))
 
 
+def q_page_fallback_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with the boxes of all classes."""
+    pages = table(spark, sf_dir, "orders", F.col("o_orderkey").alias("image_path")).withColumns({"image_width": F.lit(100), "image_height": F.lit(80)})
+    b = _boxes(spark, sf_dir).withColumn("class_name", F.lit("contrato"))
+    return layout.page_fallback(pages, b).groupBy("class_name").agg(F.count("*").alias("n"), F.sum("x2").alias("x2"))
+
+
 def q_percent_boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = _boxes(spark, sf_dir).select("image_path", F.col("x1").alias("x0"), F.col("y1").alias("y0"), F.col("x2").alias("x1"), F.col("y2").alias("y1"), F.col("image_width").alias("img_width"), F.col("image_height").alias("img_height"))
     p = layout.to_percent(d)
@@ -131,6 +138,15 @@ def q_ab_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compare.compare(a, b, "pagina").select("pagina", "v1_chars", "v2_chars", "v1_lineas", "v2_lineas", "v1_valido", "v2_valido", "delta_chars", "delta_tiempo")
 
 
+def q_ab_compare_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All texts against their joined lines, with their similarity."""
+    from archiva.functions.text import join_lines
+
+    a = spread(table(spark, sf_dir, "documents", F.col("doc_id").alias("pagina"), "text")).withColumn("tiempo_s", F.lit(1.0))
+    b = a.select("pagina", join_lines(F.col("text")).alias("text"), F.lit(2.0).alias("tiempo_s"))
+    return compare.compare(a, b, "pagina").select("pagina", "v1_chars", "v2_chars", "v1_lineas", "v2_lineas", "v1_valido", "v2_valido", "similitud_v1_v2", "delta_chars", "delta_tiempo")
+
+
 def q_type_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "compilado", "asunto").select(entities.record_type(F.col("asunto")).alias("regla")).groupBy("regla").agg(F.count("*").alias("n"))
 
@@ -170,7 +186,7 @@ def q_upcoming(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        q_box_rank, q_clamp, q_page_fallback, q_percent_boxes, q_label_tasks, q_obb_augment, q_gaps, q_segments, q_pixel_stats, q_tomo_summary, q_histogram_long, q_profile_distance, q_best_profile, q_sample_pages, q_ab_compare,
+        q_box_rank, q_clamp, q_page_fallback, q_page_fallback_all, q_percent_boxes, q_label_tasks, q_obb_augment, q_gaps, q_segments, q_pixel_stats, q_tomo_summary, q_histogram_long, q_profile_distance, q_best_profile, q_sample_pages, q_ab_compare, q_ab_compare_all,
         q_type_rules, q_gazetteer, q_persons_rules, q_entities_normalize, q_resume, q_upcoming,
     )
 }
@@ -208,3 +224,4 @@ SQL = {
 }
 _RULES = "CASE {} ELSE 'otros' END".format(" ".join(f"WHEN regexp_matches(coalesce(asunto, ''), '(?i){p}') THEN '{n}'" for n, p in entities.TYPES))
 SQL["q_type_rules"] = f"SELECT {_RULES} AS regla, count(*) AS n FROM compilado GROUP BY 1"
+SQL["q_page_fallback_all"] = SQL["q_page_fallback"].replace("(SELECT * FROM b WHERE class_id = 1) b", "b")

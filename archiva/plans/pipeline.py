@@ -72,7 +72,10 @@ def renumber(df: DataFrame) -> DataFrame:
 
 
 def q_pipeline(spark, sf_dir: str) -> DataFrame:
-    """The whole flow over the records of the catalogue taken for boxes, with a rule for a model."""
+    """The whole flow over the records of the catalogue taken for boxes, with a rule for a model.
+
+    n: rows of the panel by kind, persons and edges of the network; suma: their weighted degree and weight.
+    """
     from archiva.plans.records import boxes
 
     def factory() -> Backend:
@@ -80,7 +83,7 @@ def q_pipeline(spark, sf_dir: str) -> DataFrame:
         import re
 
         def answer(text: object) -> str:
-            found = re.findall(r"(?:[A-ZÁÉÍÓÚ]\w+ )(?:de |del )?[A-ZÁÉÍÓÚ]\w+", str(text))[:4]
+            found = re.findall(r"(?:[A-ZÁÉÍÓÚ]\w+ )(?:de |del )?[A-ZÁÉÍÓÚ]\w+", str(text))
             return "La respuesta: " + json.dumps({"tipo": "Otros", "personas": found, "naos": [], "lugares": [], "atributos": {found[0]: "otorgante"} if found else {}}, ensure_ascii=False)
 
         return Stub(answer)
@@ -88,7 +91,14 @@ def q_pipeline(spark, sf_dir: str) -> DataFrame:
     # the texts have line ends, which the cleaning of boxes takes out
     d = boxes(spark, sf_dir, "texto_completo").withColumn("ocr_text_clean", F.regexp_replace("ocr_text_clean", "\n", " "))
     r = run_pipeline(d, factory)
-    return r.panel.groupBy("id_status", "tipo_entidad").agg(F.count("*").alias("n"))
+    none = F.lit(None).cast("string")
+    panel_n = r.panel.groupBy("id_status", "tipo_entidad").agg(F.count("*").alias("n"), F.lit(None).cast("bigint").alias("suma"))
+    nodes_n = r.nodes.agg(F.count("*").alias("n"), F.sum("grado_ponderado").alias("suma"))
+    edges_n = r.edges.agg(F.count("*").alias("n"), F.sum("peso").alias("suma"))
+    out = panel_n.select(F.lit("panel").alias("parte"), "id_status", "tipo_entidad", "n", "suma")
+    for name, d in (("nodos", nodes_n), ("aristas", edges_n)):
+        out = out.unionByName(d.select(F.lit(name).alias("parte"), none.alias("id_status"), none.alias("tipo_entidad"), "n", "suma"))
+    return out
 
 
 def q_upsert(spark, sf_dir: str) -> DataFrame:

@@ -296,6 +296,45 @@ def leaked(text: str | None, index: Index, min_words: int, min_share: float, min
     return [(index.ids[i], *b) for i, b in sorted(best.items())]
 
 
+def all_leaked(text: str | None, index: Index, rule: Rule) -> set[int]:
+    """Numbers of the words of a text that stand in any stretch that counts.
+
+    Words found are taken out and the rest is searched again, each side of a place by itself, until none counts.
+    """
+    codes = np.array([index.code(w) for w in tokens(text or "")], np.int64)
+    gone: set[int] = set()
+    band = rule.seeds(index.n)[1]
+    while True:
+        before = len(gone)
+        for i, first, last in possible(index, codes, rule):
+            p = index.passages[i]
+            parts = [(max(0, first - len(p) // 4), min(len(codes), last + len(p) + len(p) // 4))]
+            while parts:
+                lo, hi = parts.pop()
+                part = codes[lo:hi]
+                if not rule.possible(could_agree(part, p, first - band - lo, last + band - lo), index.rare[p]):
+                    continue
+                for a, b, c, d, hit in align(part, p):
+                    tell = index.rare[p[c:d]]
+                    if rule.accepts(d - c, float(hit[c:d].mean()), float(hit[c:d][tell].mean()) if tell.any() else 0.0):
+                        gone.update(range(lo + a, lo + b))
+                    # what is left on both sides, whether or not this one counts
+                    parts += [(lo, lo + a), (lo + b, hi)]
+        if len(gone) == before:
+            return gone
+        codes[list(gone)] = -1  # a word that no passage has
+
+
+def could_agree(codes: np.ndarray, passage: np.ndarray, lo: int, hi: int) -> np.ndarray:
+    """Which words of a passage stand in the text at a shift from lo to hi."""
+    m = len(passage)
+    a, b = max(0, lo), min(len(codes), hi + m)
+    part = np.full(m + hi - lo, -2, np.int64)
+    if b > a:
+        part[a - lo : b - lo] = codes[a:b]
+    return (np.lib.stride_tricks.sliding_window_view(part, hi - lo + 1) == passage[:, None]).any(axis=1)
+
+
 def build_index(items: Sequence[tuple[int, str]], n: int) -> Index:
     """The index of the passages, which every task holds, so their size is checked."""
     if sum(len(t or "") for _, t in items) > MAX_PASSAGE_CHARS:
@@ -306,11 +345,12 @@ def build_index(items: Sequence[tuple[int, str]], n: int) -> Index:
 def clean_leaks(
     docs: DataFrame, text: str, key: str, items: Sequence[tuple[int, str]], min_words: int = 20, min_share: float = 0.7, min_telling: float = 0.6, n: int = 2
 ) -> DataFrame:
-    """``key``, ``text`` without leaked stretches and n_removed (words taken out), a row per row of ``docs``.
+    """``key``, ``text`` without any leaked stretch and n_removed (words taken out), a row per row of ``docs``.
 
     Texts without a leak come back as they are, null included.
     """
     shared = share(docs.sparkSession, build_index(items, n))
+    rule = Rule(min_words, min_share, min_telling)
     picked = docs.select(F.col(key).alias("_k"), F.col(text).cast("string").alias("_t"))
     kt = picked.schema["_k"].dataType.simpleString()
 
@@ -319,10 +359,7 @@ def clean_leaks(
         for b in batches:
             texts, removed = [], []
             for t in b.column(1).to_pylist():
-                spans = leaked(t, ix, min_words, min_share, min_telling)
-                gone: set[int] = set()
-                for *_, lo, hi in spans:
-                    gone.update(range(lo, hi))
+                gone = all_leaked(t, ix, rule)
                 texts.append(without(t, gone) if gone else t)
                 removed.append(len(gone))
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(texts, pa.string()), pa.array(removed, pa.int32())], names=[key, text, "n_removed"])

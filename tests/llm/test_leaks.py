@@ -70,6 +70,17 @@ def test_clean(spark):
     assert got == {1: (f"{FILLER} {FILLER}", 40), 2: (FILLER, 0), 3: (None, 0)}
 
 
+def test_clean_takes_every_copy(spark):
+    w = ITEMS[0][1].split()
+    whole, one, two = " ".join(w), " ".join(w[:25]), " ".join(w[30:58])
+    far = " ".join([FILLER] * 4)
+    texts = {1: (f"mar {whole} {far} {whole} sol", 120), 2: (f"mar {one} {FILLER} {two} sol", 53), 3: (f"mar {whole} uno {whole} sol {one}", 145)}
+    df = spark.createDataFrame([(k, t) for k, (t, _) in texts.items()], "doc_id long, text string")
+    out = clean_leaks(df, "text", "doc_id", ITEMS)
+    assert {r.doc_id: r.n_removed for r in out.collect()} == {k: n for k, (_, n) in texts.items()}
+    assert find_leaks(out, "text", "doc_id", ITEMS).count() == 0
+
+
 def test_edges(spark):
     df = spark.createDataFrame([(1, "x")], "doc_id long, text string")
     assert find_leaks(df.limit(0), "text", "doc_id", ITEMS).count() == 0

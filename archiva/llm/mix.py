@@ -6,7 +6,7 @@ import base64
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Where the public tokenizers lie on each machine.
@@ -58,6 +58,26 @@ def plan(sizes: DataFrame, targets: DataFrame, source: str = "source", share: st
     return p.crossJoin(mix).withColumn("actual", F.when(F.col("_mix") > 0, F.col("mixed") / F.col("_mix")).otherwise(F.lit(0.0))).drop("_mix")
 
 
+def n_copies(rate: Column, key: str, seed: int = 17) -> Column:
+    """How many copies of a row mix() makes."""
+    u = F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(1 << 30)).cast("double") / F.lit(float(1 << 30))
+    return F.floor(rate).cast("int") + (u < rate - F.floor(rate)).cast("int")
+
+
+def realised(docs: DataFrame, p: DataFrame, key: str, source: str = "source", tokens: str = "n_tokens", seed: int = 17) -> DataFrame:
+    """``p``, a plan(), with what the mix holds: mixed (tokens of the copies mix() makes) and actual (share of them);
+    the expected ones as planned_mixed and planned.
+
+    ``docs``: key, source and tokens, a row per document. Copies are not made but counted, combined map-side.
+    """
+    r = p.select(F.col("source").alias("_source"), F.col("rate").alias("_rate")).distinct()
+    j = docs.join(F.broadcast(r), docs[source] == F.col("_source"))
+    held = j.groupBy(F.col("_source").alias("source")).agg(F.sum(n_copies(F.col("_rate"), key, seed) * F.col(tokens)).alias("mixed"))
+    q = p.withColumnsRenamed({"mixed": "planned_mixed", "actual": "planned"}).join(held, "source", "left").withColumn("mixed", F.coalesce("mixed", F.lit(0)))
+    total = q.agg(F.sum("mixed").alias("_mix"))
+    return q.crossJoin(total).withColumn("actual", F.when(F.col("_mix") > 0, F.col("mixed") / F.col("_mix")).otherwise(F.lit(0.0))).drop("_mix")
+
+
 def mix(docs: DataFrame, rates: DataFrame, key: str, source: str = "source", seed: int = 17) -> DataFrame:
     """Each row of ``docs`` floor(rate) times and once more with probability rate - floor(rate); column ``copia`` from 1.
 
@@ -66,7 +86,6 @@ def mix(docs: DataFrame, rates: DataFrame, key: str, source: str = "source", see
     """
     r = rates.select(F.col("source").alias("_source"), F.col("rate").alias("_rate"))
     j = docs.join(F.broadcast(r), docs[source] == F.col("_source"))
-    u = F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(1 << 30)).cast("double") / F.lit(float(1 << 30))
-    n = F.floor("_rate").cast("int") + (u < F.col("_rate") - F.floor("_rate")).cast("int")
+    n = n_copies(F.col("_rate"), key, seed)
     copies = F.when(n > 0, F.sequence(F.lit(1), n)).otherwise(F.array().cast("array<int>"))
     return j.withColumn("copia", F.explode(copies)).drop("_source", "_rate")

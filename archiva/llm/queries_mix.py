@@ -25,8 +25,12 @@ def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p7_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Target shares, rates and the shares reached."""
-    return _plan(spark, sf_dir)
+    """Target shares, rates, planned shares and those of the copies that p7_mix makes."""
+    # a number and a count a document: the corpus is tokenised once for the plan and for the mix
+    docs = checkpoint(_tokens(spark, sf_dir, "doc_id", "source"))
+    sizes = docs.groupBy("source").agg(F.sum("n_tokens").alias("n_tokens"))
+    p = checkpoint(m.plan(sizes, table(spark, sf_dir, "mezcla_objetivo")))
+    return m.realised(docs, p, "doc_id")
 
 
 def p7_mix(spark: SparkSession, sf_dir: str) -> DataFrame:

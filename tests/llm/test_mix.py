@@ -3,7 +3,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from archiva.llm.mix import count_tokens, mix, plan
+from archiva.llm.mix import count_tokens, mix, plan, realised
 
 
 def test_tokens(spark):
@@ -48,6 +48,21 @@ def test_mix(spark):
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, mix(docs.repartition(7), rates, "doc_id").collect()))
 
 
+def test_realised(spark):
+    # one long document holds most of its source, so the draw moves the share away from the plan
+    docs = spark.createDataFrame([(k, "a" if k < 4 else "b", 1000 if k == 0 else 10) for k in range(104)], "doc_id long, source string, n_tokens long")
+    targets = spark.createDataFrame([("a", 0.4, 3), ("b", 0.6, 3), ("c", 0.0, 1)], "source string, peso double, max_rep int")
+    p = plan(docs.groupBy("source").agg(F.sum("n_tokens").alias("n_tokens")), targets)
+    got = {r.source: r for r in realised(docs, p, "doc_id").collect()}
+    held = Counter()
+    for r in mix(docs, p.select("source", "rate"), "doc_id").collect():
+        held[r.source] += r.n_tokens
+    assert {k: r.mixed for k, r in got.items()} == {k: held[k] for k in "abc"}
+    assert got["a"].actual == pytest.approx(held["a"] / sum(held.values()))
+    assert got["a"].planned_mixed == pytest.approx(0.4 * 2030)
+    assert abs(got["a"].actual - got["a"].planned) > 0.05
+
+
 def test_query(spark, sf):
     from archiva.llm.queries_mix import p7_found, p7_mix, p7_plan
 

@@ -9,6 +9,8 @@ from archiva.llm.cooccur import together
 from archiva.plans import packed
 from archiva.session import spread, table
 
+# Fixed value: the chi-squared quantile of one degree of freedom at 0.001.
+SIGNIFICANT = 10.83
 CONTRACT = ["tomo_id", "id_num", "_single"]
 
 
@@ -31,8 +33,9 @@ def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p5_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All pairs that occur together twice or more, with counts, lift and log-likelihood ratio."""
-    return _pairs(spark, sf_dir, 2)
+    """All pairs that occur together, with counts, lift, log-likelihood ratio and whether it is significant."""
+    p = _pairs(spark, sf_dir, 1)
+    return p.withColumn("significativo", (F.col("lift") > 1) & (F.col("llr") >= SIGNIFICANT))
 
 
 QUERIES = {"p5_found": p5_found, "p5_pairs": p5_pairs}

@@ -59,4 +59,7 @@ def test_query(spark, sf):
 
     assert p5_found(spark, sf).columns == ["run_id", "persona_a", "persona_b"]
     pairs = p5_pairs(spark, sf)
+    once = pairs.where("n_ab = 1")
+    assert once.count() > 0 and once.where("n_a = 1").count() > 0
+    assert pairs.where(F.col("significativo") != ((F.col("lift") > 1) & (F.col("llr") >= 10.83))).count() == 0
     assert pairs.where(F.col("item_a") >= F.col("item_b")).count() == 0

@@ -1,9 +1,9 @@
 """Figures of each text and whether it is prose, a list, a table or noise.
 
-Layout is measured first: how many lines carry the same delimiter at the same count or column (vertical alignment),
-whether indentation comes back at a period, and the autocorrelation of line lengths. Together with word, symbol,
-punctuation and common-word ratios each line is taken for one of the four kinds; a text belongs to the kind that has
-most of its characters, if prose has less than half.
+Layout is measured first: how many lines carry the same delimiter at the same count or column (vertical alignment).
+Together with counts of words, letters, marks and common words each line is taken for one of the four kinds; a text
+belongs to the kind that has most of its characters, if prose has less than half. Whether indentation comes back at a
+period, the autocorrelation of line lengths, symbol_ratio and line_end_punct are reported and decide nothing.
 """
 
 from __future__ import annotations

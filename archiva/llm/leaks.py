@@ -1,16 +1,19 @@
 """Held-out passages that turn up in a corpus, whole or in part.
 
-The n-grams of the normalised passages are a broadcast hash table; a window slides over the words of each document
-and looks them up. Where hits run along, the words of the passage that could agree at all are counted; where these
-would satisfy the rule, a local alignment of the words decides, which forgives misread, added, lost and changed words. A running stretch counts if it is long enough, if enough of
-its words agree, and if the words that tell this passage from the others of its build agree as well.
+The n-grams of the normalised passages are a broadcast hash table; a window slides over the words of the documents
+and looks them up, many documents at once. Where hits run along and a telling word of the passage stands among them,
+the words of the passage that could agree at all are counted; where these would satisfy the rule, a local alignment of
+the words decides, which forgives misread, added, lost and changed words. A running stretch counts if it is long
+enough, if enough of its words agree, and if enough of what tells it from sentences built alike does: its names and
+numbers, and words in whose place another passage built alike has a different one. No share of the passages decides what tells,
+so neither equal nor unrelated passages change what is found of one.
 """
 
 from __future__ import annotations
 
 import math
 import re
-from collections import Counter, defaultdict
+from collections import defaultdict
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 
@@ -19,6 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from archiva.functions import names
 from archiva.functions.names import close
 from archiva.session import share, shared_value
 
@@ -26,6 +30,9 @@ from archiva.session import share, shared_value
 MAX_PASSAGE_CHARS = 50_000_000
 #: Places of added words that the search allows for in the shortest stretch, beside all words the rule lets change.
 ADDED = 4
+#: So many shifts are aligned at once, and so many words of texts are searched at once.
+WIDE = 256
+CHUNK = 50_000
 # Fixed value: more words than a text has, to keep passage and shift in one number.
 SHIFTS = 1 << 32
 
@@ -41,7 +48,10 @@ PLAIN = str.maketrans("áàâäãåéèêëíìîïóòôöõúùûüñçýÿ",
 
 def prepared(text: str) -> str:
     """A text without line-end hyphens and with signs read for letters set right."""
-    text = BREAK.sub("", text or "").replace("@", "a").replace("¡o", "p").replace("\\/", "v").replace("|", "l")
+    text = text or ""
+    if "\n" in text:
+        text = BREAK.sub("", text)
+    text = text.replace("@", "a").replace("¡o", "p").replace("\\/", "v").replace("|", "l")
     if "!" in text:
         text = re.sub(r"(?<=\w)!(?=\w)", "i", text)
     if "(" in text:
@@ -68,74 +78,146 @@ def words(text: str) -> list[str]:
     return [normal(t) for t in tokens(text)]
 
 
+def spelled(text: str | None) -> tuple[list[str], np.ndarray]:
+    """Words as words() gives them, and how much each tells as a name or number.
+
+    A number tells 1. A word with a capital that no beginning of a sentence asks for, and that the text does not write
+    small elsewhere, is of a name; the words of one name, particles between them left out, tell 1 together.
+    """
+    bare = prepared(text)
+    found = [(m[0], m.start(), m.end()) for m in TOKEN.finditer(bare)]
+    small = {w for w, _, _ in found if w[0].islower()}
+    weight = np.zeros(len(found))
+    name: list[int] = []
+    last, opens = 0, True
+    for k, (w, a, b) in enumerate([*found, (".", len(bare), len(bare))]):
+        between = bare[last:a]
+        opens |= any(c in ".?!¿¡:" for c in between)
+        part = w[0].isupper() and not opens and w.lower() not in small
+        joins = (between.isspace() and (part or w in names.PARTICLES)) or (between.strip() in ("", ",") and w == "alias")
+        if name and not joins:
+            weight[name] = 1 / len(name)
+            name = []
+        if w[0].isdigit():
+            weight[k] = 1.0
+        elif part:
+            name.append(k)
+        opens, last = False, b
+    return [normal(w.lower()) for w, _, _ in found], weight
+
+
+def rolled(codes: np.ndarray, n: int, base: int) -> np.ndarray:
+    """A number for each n-gram of the codes."""
+    width = len(codes) - n + 1
+    key = np.zeros(max(0, width), np.int64)
+    for k in range(n if width > 0 else 0):
+        key = key * base + codes[k : k + width]
+    return key
+
+
+@dataclass
+class Postings:
+    """Sorted keys and, for each, the passages and places where it stands."""
+
+    keys: np.ndarray
+    starts: np.ndarray
+    passages: np.ndarray
+    places: np.ndarray
+
+    @classmethod
+    def build(cls, keys: np.ndarray, passages: np.ndarray, places: np.ndarray) -> Postings:
+        order = np.argsort(keys, kind="stable")
+        different, first = np.unique(keys[order], return_index=True)
+        return cls(different, np.append(first, len(keys)).astype(np.int64), passages[order], places[order])
+
+    def find(self, keys: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Passage, place in it and ``at`` of each time one of ``keys``, which stands at ``at``, is known."""
+        none = np.zeros(0, np.int64)
+        if not len(self.keys) or not len(keys):
+            return none, none, none
+        k = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        known = self.keys[k] == keys
+        k, at = k[known], at[known]
+        first, count = self.starts[k], self.starts[k + 1] - self.starts[k]
+        each = np.repeat(first - np.cumsum(count) + count, count) + np.arange(count.sum())
+        return self.passages[each], self.places[each], np.repeat(at, count)
+
+
 @dataclass
 class Index:
-    """The passages, their n-grams and the words that many of them share."""
+    """The passages, how much each of their words tells, and where their n-grams and telling words stand."""
 
     ids: list[int]
     passages: list[np.ndarray]
+    tells: list[np.ndarray]
     vocabulary: dict[str, int]
-    keys: np.ndarray
-    starts: np.ndarray
-    places: np.ndarray
-    rare: np.ndarray
     deletes: dict[str, list[str]]
     n: int
-    common_df: int
+    grams: Postings
+    telling: Postings
     flat: np.ndarray
+    weights: np.ndarray
+    any_tell: np.ndarray
     first: np.ndarray
     sizes: np.ndarray
     fuzzy: dict[str, int] = field(default_factory=dict)
 
     @classmethod
-    def build(cls, items: Sequence[tuple[int, str]], n: int = 2, common_share: float = 0.08) -> Index:
-        """``common_share``: a word of more passages than this share tells nothing of one. All n-grams are kept, however many passages share them."""
-        texts = [words(t) for _, t in items]
+    def build(cls, items: Sequence[tuple[int, str]], n: int = 2) -> Index:
+        """All n-grams are kept, however many passages share them; equal passages stay apart."""
+        split = [spelled(t) for _, t in items]
         vocabulary: dict[str, int] = {}
-        for t in texts:
+        for t, _ in split:
             for w in t:
                 vocabulary.setdefault(w, len(vocabulary))
-        passages = [np.array([vocabulary[w] for w in t], np.int64) for t in texts]
-        df = Counter(w for p in passages for w in set(p.tolist()))
-        grams: dict[tuple, list[tuple[int, int]]] = defaultdict(list)
-        for i, p in enumerate(passages):
-            for j in range(len(p) - n + 1):
-                grams[tuple(p[j : j + n].tolist())].append((i, j))
+        passages = [np.array([vocabulary[w] for w in t], np.int64) for t, _ in split]
         if (len(vocabulary) + 1) ** n >= 1 << 62:
             raise ValueError("the passages have too many different words for n-grams of this length")
-        limit = max(3, common_share * len(items))
-        rare = np.array([df[k] <= limit for k in range(len(vocabulary))], bool) if vocabulary else np.zeros(0, bool)
+        tells = [weight if weight.any() else np.ones(len(weight)) for _, weight in split]
         deletes: dict[str, list[str]] = defaultdict(list)
         for w in vocabulary:
             if len(w) > 3 and not w.isdigit():
                 for d in {w[:k] + w[k + 1 :] for k in range(len(w))} | {w}:
                     deletes[d].append(w)
-        base = len(vocabulary) + 1
-        keyed = sorted((sum(c * base**k for k, c in enumerate(reversed(g))), at) for g, at in grams.items())
-        keys = np.array([k for k, _ in keyed], np.int64)
-        starts = np.cumsum([0, *(len(at) for _, at in keyed)])
-        places = np.array([x for _, at in keyed for x in at], np.int64).reshape(-1, 2)
         sizes = np.array([len(p) for p in passages], np.int64)
         flat = np.concatenate([np.zeros(0, np.int64), *passages])
-        return cls([i for i, _ in items], passages, vocabulary, keys, starts, places, rare, dict(deletes), n, int(limit), flat, np.cumsum(sizes) - sizes, sizes)
-
-    def hits(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Passage of every n-gram of the codes that is in the index, and its distance from its place in the passage."""
-        none = np.zeros(0, np.int64)
-        width = len(codes) - self.n + 1
-        if width < 1 or not len(self.keys):
-            return none, none
-        key = np.zeros(width, np.int64)
-        for k in range(self.n):
-            key = key * (len(self.vocabulary) + 1) + codes[k : k + width]
-        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-        known = self.keys[at] == key
-        if codes.min() < 0:  # a word that no passage has
-            known &= np.lib.stride_tricks.sliding_window_view(codes, self.n).min(axis=1) >= 0
-        w = np.flatnonzero(known)
-        first, count = self.starts[at[w]], self.starts[at[w] + 1] - self.starts[at[w]]
-        each = np.repeat(first - np.cumsum(count) + count, count) + np.arange(count.sum())
-        return self.places[each, 0], np.repeat(w, count) - self.places[each, 1]
+        number = np.repeat(np.arange(len(sizes)), sizes)
+        place = np.arange(len(flat)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        keys, whole = rolled(flat, n, len(vocabulary) + 1), place + n <= np.repeat(sizes, sizes)
+        grams = Postings.build(keys[whole[: len(keys)]], number[: len(keys)][whole[: len(keys)]], place[: len(keys)][whole[: len(keys)]])
+        weights = np.concatenate([np.zeros(0), *tells])
+        tell = weights > 0
+        return cls([i for i, _ in items], passages, tells, vocabulary, dict(deletes), n, grams, Postings.build(flat[tell], number[tell], place[tell]), flat, weights, np.bincount(flat, tell, len(vocabulary)) > 0, np.cumsum(sizes) - sizes, sizes)
+
+    def hits(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Passage and place in it of every n-gram of the codes that is in the index, and where in the codes it stands."""
+        keys = rolled(codes, self.n, len(self.vocabulary) + 1)
+        bad = np.concatenate([[0], np.cumsum(codes < 0)])  # words that no passage has
+        at = np.flatnonzero(bad[self.n : self.n + len(keys)] == bad[: len(keys)])
+        return self.grams.find(keys[at], at)
+
+    def known_of(self, codes: np.ndarray, text_of: np.ndarray) -> np.ndarray:
+        """For each text and passage how much it tells that the text has, each place of the passage once."""
+        at = np.flatnonzero(codes >= 0)
+        at = at[self.any_tell[codes[at]]]
+        pair = np.unique(text_of[at] * len(self.any_tell) + codes[at])
+        each, text = pair % len(self.any_tell), pair // len(self.any_tell)
+        n, texts = len(self.sizes), int(text_of.max(initial=-1)) + 1
+        p, where, spot = self.telling.find(each, np.arange(len(each)))
+        return np.bincount(text[spot] * n + p, self.weights[self.first[p] + where], texts * n).reshape(texts, n)
+
+    def told(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The same of every telling word."""
+        at = np.flatnonzero(codes >= 0)
+        at = at[self.any_tell[codes[at]]]
+        return self.telling.find(codes[at], at)
+
+    def code_all(self, found: Sequence[str]) -> np.ndarray:
+        """Numbers of the words of a text."""
+        got = list(map(self.fuzzy.get, found))
+        if None in got:
+            got = [self.code(w) if k is None else k for k, w in zip(got, found, strict=True)]
+        return np.array(got, np.int64)
 
     def code(self, word: str) -> int:
         """Number of a word; misread words get that of the passage word one letter away; others -1."""
@@ -160,8 +242,8 @@ class Index:
 
 
 def align(doc: np.ndarray, passage: np.ndarray, miss: float = 0.9, gap: float = 0.7) -> list[tuple[int, int, int, int, np.ndarray]]:
-    """The best local alignment: doc start, doc end, passage start, passage end (ends exclusive) and which words of the
-    passage agree. One element, or none if no word agrees."""
+    """The best local alignment: doc start, doc end, passage start, passage end (ends exclusive) and for each word of
+    the passage the word of the doc that agrees with it, or -1. One element, or none if no word agrees."""
     n, m = len(doc), len(passage)
     score = np.zeros((n + 1, m + 1))
     equal = doc[:, None] == passage[None, :]
@@ -177,29 +259,28 @@ def align(doc: np.ndarray, passage: np.ndarray, miss: float = 0.9, gap: float =
     if score[i, j] <= 0:
         return []
     end_i, end_j = int(i), int(j)
-    hit = np.zeros(m, bool)
+    agrees = np.full(m, -1, np.int64)
     while i > 0 and j > 0 and score[i, j] > 1e-9:
         s = score[i, j]
         if abs(s - (score[i - 1, j - 1] + step[i - 1, j - 1])) < 1e-6:
-            hit[j - 1] |= bool(equal[i - 1, j - 1])
+            if equal[i - 1, j - 1]:
+                agrees[j - 1] = i - 1
             i, j = i - 1, j - 1
         elif abs(s - (score[i - 1, j] - gap)) < 1e-6:
             i -= 1
         else:
             j -= 1
-    return [(int(i), end_i, int(j), end_j, hit)]
+    return [(int(i), end_i, int(j), end_j, agrees)]
 
 
 @dataclass(frozen=True)
 class Rule:
-    """When a stretch counts: words, share of them that agree, the same among telling words."""
+    """When a stretch counts: words, share of them that agree, share of its names and numbers that do and how many."""
 
     min_words: int = 20
     min_share: float = 0.7
     min_telling: float = 0.6
-
-    def accepts(self, span: int, share: float, telling: float) -> bool:
-        return span >= self.min_words and share >= self.min_share and telling >= self.min_telling
+    min_told: float = 2.0
 
     def seeds(self, n: int) -> tuple[int, int]:
         """So many n-grams agree at least in the shortest stretch that counts, and the band of shifts they lie in.
@@ -212,45 +293,86 @@ class Rule:
         other = self.min_words - agree
         return max(1, agree - (n - 1) * (other + ADDED + 1)), other + ADDED
 
-    def possible(self, could: np.ndarray, tell: np.ndarray) -> bool:
-        """Whether some stretch of a passage would count if all words agreed that could."""
+    def told(self, tell: np.ndarray) -> float:
+        """How much must agree of what tells; no more than a passage with few names and numbers can give."""
+        return min(self.min_told, float(tell.sum()) * self.min_telling)
+
+    def longest(self, agrees: np.ndarray, tell: np.ndarray, block: int = 512) -> tuple[int, int] | None:
+        """The longest stretch that counts, the first of several: start and end (exclusive) among the words. ``tell``: how much each tells."""
         w = self.min_words
-        share = np.concatenate([[0.0], np.cumsum(could - self.min_share)])
+        share = np.concatenate([[0.0], np.cumsum(agrees - self.min_share)])
         if len(share) <= w:
-            return False
+            return None
         # ends of stretches with share enough, then all their starts
-        end = np.flatnonzero(share[w:] - np.minimum.accumulate(share)[:-w] > -1e-6) + w
-        told = np.concatenate([[0.0], np.cumsum(np.where(tell, could - self.min_telling, 0.0))])
-        n = np.concatenate([[0], np.cumsum(tell)])
+        ends = np.flatnonzero(share[w:] - np.minimum.accumulate(share)[:-w] > -1e-6) + w
+        told = np.concatenate([[0.0], np.cumsum(tell * (agrees - self.min_telling))])
+        sure = np.concatenate([[0.0], np.cumsum(tell * agrees)])
+        least = self.told(tell)
         start = np.arange(len(share))
-        ok = (share[end][:, None] - share > -1e-6) & (told[end][:, None] - told > -1e-6) & (end[:, None] - start >= w)
-        return bool((ok & (n[end][:, None] > n)).any()) if self.min_telling > 0 else bool(ok.any())
+        best: tuple[int, int] | None = None
+        for k in range(0, len(ends), block):
+            end = ends[k : k + block]
+            ok = (share[end][:, None] - share > -1e-6) & (told[end][:, None] - told > -1e-6) & (end[:, None] - start >= w)
+            if self.min_telling > 0:
+                ok &= sure[end][:, None] - sure > least - 1e-6
+            some = np.flatnonzero(ok.any(axis=1))
+            if len(some):
+                a = ok[some].argmax(axis=1)
+                i = int((end[some] - a).argmax())
+                if best is None or end[some[i]] - a[i] > best[1] - best[0]:
+                    best = int(a[i]), int(end[some[i]])
+        return best
+
 
+def runs(index: Index, codes: np.ndarray, rule: Rule, text_of: np.ndarray) -> np.ndarray:
+    """Rows of passage, least and highest shift of hits that run along, with names and numbers enough among them.
 
-def runs(index: Index, codes: np.ndarray, rule: Rule) -> list[tuple[int, int, int]]:
-    """Passage, least and highest shift of hits that run along in a text."""
-    passage, shift = index.hits(codes)
+    ``text_of``: number of the text of each code. Of a text that has too few of the names and numbers of a passage, no
+    hit is looked at; else those count that lie within the band of shifts. Wide rows are cut into rows that overlap by a
+    band, so that what is aligned at once stays small.
+    """
+    none = np.zeros((0, 3), np.int64)
     least, band = rule.seeds(index.n)
+    passage, place, at = index.hits(codes)
     if len(passage) < least:
-        return []
-    key = np.sort(passage * SHIFTS + shift + SHIFTS // 2)
+        return none
+    if rule.min_telling > 0:
+        need = np.array([rule.told(t) for t in index.tells]) - 1e-6
+        enough = index.known_of(codes, text_of) > need
+        near = enough[text_of[at], passage]
+        passage, place, at = passage[near], place[near], at[near]
+        p, where, spot = index.told(codes)
+        near = enough[text_of[spot], p]
+        p, where, spot = p[near], where[near], spot[near]
+        tell = p * SHIFTS + spot - where + SHIFTS // 2
+        order = np.argsort(tell)
+        tell, sure = tell[order], np.concatenate([[0.0], np.cumsum(index.weights[index.first[p] + where][order])])
+    key = np.sort(passage * SHIFTS + at - place + SHIFTS // 2)
+    if rule.min_telling > 0:
+        key = key[sure[np.searchsorted(tell, key + band, "right")] - sure[np.searchsorted(tell, key - band)] > need[key // SHIFTS]]
+    if len(key) < least:
+        return none
     dense = np.flatnonzero(key[least - 1 :] - key[: len(key) - least + 1] <= band)
     if not len(dense):
-        return []
+        return none
     # dense places that share hits or lie in one band are one
     cut = np.flatnonzero(key[dense[1:]] - key[dense[:-1] + least - 1] > band)
     lo = key[dense[np.concatenate([[0], cut + 1])]]
     hi = key[dense[np.concatenate([cut, [len(dense) - 1]])] + least - 1]
-    return [(int(a // SHIFTS), int(a % SHIFTS - SHIFTS // 2), int(b % SHIFTS - SHIFTS // 2)) for a, b in zip(lo, hi, strict=True)]
+    times = (hi - lo) // WIDE + 1
+    at = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+    low = np.repeat(lo, times) + at * WIDE
+    high = np.minimum(np.repeat(hi, times), low + WIDE + band)
+    return np.stack([low // SHIFTS, low % SHIFTS - SHIFTS // 2, high - low // SHIFTS * SHIFTS - SHIFTS // 2], axis=1)
 
 
-def possible(index: Index, codes: np.ndarray, rule: Rule) -> list[tuple[int, int, int]]:
+def possible(index: Index, codes: np.ndarray, rule: Rule, text_of: np.ndarray | None = None) -> list[tuple[int, int, int]]:
     """Those of runs() where some stretch would count if all words of the passage agreed that stand in the text near them."""
-    found = runs(index, codes, rule)
-    if not found:
+    found = runs(index, codes, rule, np.zeros(len(codes), np.int64) if text_of is None else text_of)
+    if not len(found):
         return []
     band = rule.seeds(index.n)[1]
-    number, lo, hi = np.array(found).T
+    number, lo, hi = found.T
     size = index.sizes[number]
     at = np.cumsum(size) - size
     j = np.arange(size.sum()) - np.repeat(at, size)
@@ -270,59 +392,33 @@ def possible(index: Index, codes: np.ndarray, rule: Rule) -> list[tuple[int, int
         return []
     good = np.flatnonzero(drop[w:] - np.minimum.accumulate(drop)[:-w] > -1e-6) + w
     some = np.unique(np.searchsorted(start, good, "right") - 1)
-    return [found[r] for r in some.tolist() if rule.possible(could[at[r] : at[r] + size[r]], index.rare[word[at[r] : at[r] + size[r]]])]
-
-
-def matches(text: str | None, index: Index, rule: Rule) -> Iterator[tuple[int, int, float, float, int, int]]:
-    """For each place of a text where a stretch of a passage may count: number of the passage, words of the stretch,
-    share of them that agree, the same among telling words, and where in the words of the text the stretch lies."""
-    codes = np.array([index.code(w) for w in tokens(text or "")], np.int64)
-    for i, first, last in possible(index, codes, rule):
-        p = index.passages[i]
-        lo, hi = max(0, first - len(p) // 4), min(len(codes), last + len(p) + len(p) // 4)
-        for a, b, c, d, hit in align(codes[lo:hi], p):
-            span = d - c
-            tell = index.rare[p[c:d]]
-            yield i, span, float(hit[c:d].mean()), float(hit[c:d][tell].mean()) if tell.any() else 0.0, lo + a, lo + b
-
-
-def leaked(text: str | None, index: Index, min_words: int, min_share: float, min_telling: float) -> list[tuple[int, int, float, int, int]]:
-    """Item, words, share and place of the longest stretch of each passage that leaked into a text."""
-    best: dict[int, tuple[int, float, int, int]] = {}
-    rule = Rule(min_words, min_share, min_telling)
-    for i, span, share, telling, lo, hi in matches(text, index, rule):
-        if rule.accepts(span, share, telling) and span > best.get(i, (0,))[0]:
-            best[i] = (span, share, lo, hi)
-    return [(index.ids[i], *b) for i, b in sorted(best.items())]
+    return [tuple(found[r].tolist()) for r in some.tolist() if rule.longest(could[at[r] : at[r] + size[r]], index.tells[number[r]])]
 
 
-def all_leaked(text: str | None, index: Index, rule: Rule) -> set[int]:
-    """Numbers of the words of a text that stand in any stretch that counts.
+def stretches(codes: np.ndarray, index: Index, rule: Rule, place: tuple[int, int, int]) -> Iterator[tuple[int, int, float, int, int]]:
+    """All stretches of a passage that count at a place: passage, words, share, and where they lie in the codes.
 
-    Words found are taken out and the rest is searched again, each side of a place by itself, until none counts.
+    What is left on both sides of an alignment is aligned again, until no stretch could count.
     """
-    codes = np.array([index.code(w) for w in tokens(text or "")], np.int64)
-    gone: set[int] = set()
+    i, first, last = place
+    p, tell = index.passages[i], index.tells[i]
     band = rule.seeds(index.n)[1]
-    while True:
-        before = len(gone)
-        for i, first, last in possible(index, codes, rule):
-            p = index.passages[i]
-            parts = [(max(0, first - len(p) // 4), min(len(codes), last + len(p) + len(p) // 4))]
-            while parts:
-                lo, hi = parts.pop()
-                part = codes[lo:hi]
-                if not rule.possible(could_agree(part, p, first - band - lo, last + band - lo), index.rare[p]):
-                    continue
-                for a, b, c, d, hit in align(part, p):
-                    tell = index.rare[p[c:d]]
-                    if rule.accepts(d - c, float(hit[c:d].mean()), float(hit[c:d][tell].mean()) if tell.any() else 0.0):
-                        gone.update(range(lo + a, lo + b))
-                    # what is left on both sides, whether or not this one counts
-                    parts += [(lo, lo + a), (lo + b, hi)]
-        if len(gone) == before:
-            return gone
-        codes[list(gone)] = -1  # a word that no passage has
+    parts = [(max(0, first - len(p) // 4), min(len(codes), last + len(p) + len(p) // 4))]
+    while parts:
+        lo, hi = parts.pop()
+        part = codes[lo:hi]
+        if hi - lo < 1 or not rule.longest(could_agree(part, p, first - band - lo, last + band - lo), tell):
+            continue
+        for a, b, c, d, agrees in align(part, p):
+            got = rule.longest(agrees[c:d] >= 0, tell[c:d])
+            if got:
+                s, e = c + got[0], c + got[1]
+                hit = agrees[s:e][agrees[s:e] >= 0]
+                from_, to = lo + int(hit[0]), lo + int(hit[-1]) + 1
+                yield i, e - s, len(hit) / (e - s), from_, to
+                a, b = from_ - lo, to - lo
+            # what is left on both sides, whether or not this one counts
+            parts += [(lo, lo + a), (lo + b, hi)]
 
 
 def could_agree(codes: np.ndarray, passage: np.ndarray, lo: int, hi: int) -> np.ndarray:
@@ -335,6 +431,83 @@ def could_agree(codes: np.ndarray, passage: np.ndarray, lo: int, hi: int) -> np.
     return (np.lib.stride_tricks.sliding_window_view(part, hi - lo + 1) == passage[:, None]).any(axis=1)
 
 
+def scan(texts: Sequence[str | None], index: Index, rule: Rule) -> Iterator[tuple[int, np.ndarray, list[tuple[int, int, int]]]]:
+    """Number and codes of each text with a place where a stretch may count, and these places.
+
+    Texts are searched together, CHUNK words at a time, held apart so that no run reaches from one into another. Longer
+    ones are cut into windows that overlap by more than a stretch can span.
+    """
+    gap = int(index.sizes.max(initial=0)) + 2 * rule.seeds(index.n)[1] + index.n
+    coded = ((k, index.code_all(tokens(t))) for k, t in enumerate(texts) if t)
+    waiting: list[tuple[int, np.ndarray, int, int]] = []
+    held: dict[int, tuple[np.ndarray, list]] = {}
+    size = 0
+
+    def search() -> None:
+        parts, start = [], []
+        at = 0
+        text_of = np.repeat(np.arange(len(waiting)), [b - a + gap for _, _, a, b in waiting])
+        for _, codes, a, b in waiting:
+            start.append(at)
+            parts += [codes[a:b], np.full(gap, -1, np.int64)]
+            at += b - a + gap
+        for i, lo, hi in possible(index, np.concatenate(parts), rule, text_of):
+            # shifts may lie before the first word of their text, but by less than the gap
+            w = int(np.searchsorted(start, lo + index.sizes[i] + rule.seeds(index.n)[1], "right")) - 1
+            k, codes, a, _ = waiting[w]
+            held.setdefault(k, (codes, []))[1].append((i, lo - start[w] + a, hi - start[w] + a))
+
+    for k, codes in coded:
+        step = CHUNK - 2 * gap if 4 * gap < CHUNK else 4 * gap
+        for a in range(0, max(1, len(codes)), step):
+            waiting.append((k, codes, a, min(len(codes), a + step + 2 * gap)))
+            size += waiting[-1][3] - a
+            if size >= CHUNK:
+                search()
+                waiting, size = [], 0
+            if a + step + 2 * gap >= len(codes):
+                break
+        if not waiting:
+            yield from ((n, c, p) for n, (c, p) in sorted(held.items()))
+            held = {}
+    if waiting:
+        search()
+    yield from ((n, c, p) for n, (c, p) in sorted(held.items()))
+
+
+def leaked(texts: Sequence[str | None], index: Index, rule: Rule) -> Iterator[tuple[int, int, int, float, int, int]]:
+    """Number of the text, item, words, share and place of the longest stretch of each passage that leaked into it."""
+    for k, codes, places in scan(texts, index, rule):
+        best: dict[int, tuple[int, float, int, int]] = {}
+        for place in places:
+            for i, n, *rest in stretches(codes, index, rule, place):
+                if n > best.get(i, (0,))[0]:
+                    best[i] = (n, *rest)
+        yield from ((k, index.ids[i], *b) for i, b in sorted(best.items()))
+
+
+def all_leaked(texts: Sequence[str | None], index: Index, rule: Rule) -> dict[int, set[int]]:
+    """By number of the text: numbers of its words that stand in any stretch that counts.
+
+    Words found are taken out and the rest is searched again, until none counts.
+    """
+    gone: dict[int, set[int]] = {}
+    for k, codes, places in scan(texts, index, rule):
+        codes, found = codes.copy(), set()
+        while places:
+            before = len(found)
+            for place in places:
+                for _, _, _, lo, hi in stretches(codes, index, rule, place):
+                    found.update(range(lo, hi))
+            if len(found) == before:
+                break
+            codes[list(found)] = -1  # a word that no passage has
+            places = possible(index, codes, rule)
+        if found:
+            gone[k] = found
+    return gone
+
+
 def build_index(items: Sequence[tuple[int, str]], n: int) -> Index:
     """The index of the passages, which every task holds, so their size is checked."""
     if sum(len(t or "") for _, t in items) > MAX_PASSAGE_CHARS:
@@ -342,6 +515,14 @@ def build_index(items: Sequence[tuple[int, str]], n: int) -> Index:
     return Index.build([(i, t) for i, t in items if t], n)
 
 
+def collect_items(items: DataFrame, key: str, text: str) -> list[tuple[int, str]]:
+    """The passages as a list; refused before they are collected where they are too long for a broadcast."""
+    size = items.agg(F.coalesce(F.sum(F.length(text)), F.lit(0)).alias("n")).collect()[0].n
+    if size > MAX_PASSAGE_CHARS:
+        raise ValueError("too many passages to hold in every task; scan them in parts")
+    return [(r[0], r[1]) for r in items.select(key, text).collect()]
+
+
 def clean_leaks(
     docs: DataFrame, text: str, key: str, items: Sequence[tuple[int, str]], min_words: int = 20, min_share: float = 0.7, min_telling: float = 0.6, n: int = 2
 ) -> DataFrame:
@@ -357,11 +538,11 @@ def clean_leaks(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ix = shared_value(shared)
         for b in batches:
-            texts, removed = [], []
-            for t in b.column(1).to_pylist():
-                gone = all_leaked(t, ix, rule)
-                texts.append(without(t, gone) if gone else t)
-                removed.append(len(gone))
+            texts = b.column(1).to_pylist()
+            gone = all_leaked(texts, ix, rule)
+            removed = [len(gone.get(k, ())) for k in range(len(texts))]
+            for k, g in gone.items():
+                texts[k] = without(texts[k], g)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(texts, pa.string()), pa.array(removed, pa.int32())], names=[key, text, "n_removed"])
 
     return picked.mapInArrow(run, f"`{key}` {kt}, `{text}` string, n_removed int")
@@ -397,17 +578,14 @@ def find_leaks(
     picked = docs.select(F.col(key).alias("_k"), F.col(text).cast("string").alias("_t"))
     kt = picked.schema["_k"].dataType.simpleString()
     shared = share(docs.sparkSession, index)
+    rule = Rule(min_words, min_share, min_telling)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ix = shared_value(shared)
         for b in batches:
-            at, rows = [], []
-            for k, t in enumerate(b.column(1).to_pylist()):
-                found = leaked(t, ix, min_words, min_share, min_telling)
-                at += [k] * len(found)
-                rows += found
+            rows = list(leaked(b.column(1).to_pylist(), ix, rule))
             if rows:
-                item, span, share, lo, hi = zip(*rows, strict=True)
+                at, item, span, share, lo, hi = zip(*rows, strict=True)
                 yield pa.RecordBatch.from_arrays(
                     [b.column(0).take(pa.array(at)), pa.array(item, pa.int64()), pa.array(span, pa.int32()), pa.array(share, pa.float64()), pa.array(lo, pa.int32()), pa.array(hi, pa.int32())],
                     names=[key, "item_id", "n_words", "share", "desde", "hasta"],

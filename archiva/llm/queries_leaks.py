@@ -5,13 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from archiva.llm.leaks import clean_leaks, find_leaks
+from archiva.llm.leaks import clean_leaks, collect_items, find_leaks
 from archiva.session import spread, table
 
 
 def _items(spark: SparkSession, sf_dir: str) -> list[tuple[int, str]]:
     """The test items, a table that does not grow."""
-    return [(r[0], r[1]) for r in table(spark, sf_dir, "eval_items", "item_id", "pasaje").collect()]
+    return collect_items(table(spark, sf_dir, "eval_items", "item_id", "pasaje"), "item_id", "pasaje")
 
 
 def p6_spans(spark: SparkSession, sf_dir: str) -> DataFrame:

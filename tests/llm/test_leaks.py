@@ -27,9 +27,9 @@ def test_align_against_brute_force():
         if s.max() <= 0:
             assert got == []
             continue
-        lo, hi, c, d, hit = got[0]
+        lo, hi, c, d, at = got[0]
         assert s[hi, d] == pytest.approx(s.max())
-        assert all(b[j] in a[lo:hi] for j in np.flatnonzero(hit))
+        assert all(lo <= at[j] < hi and b[j] == a[at[j]] for j in np.flatnonzero(at >= 0))
 
 
 @pytest.mark.parametrize(("change", "leak"), [
@@ -56,11 +56,45 @@ def test_scattered_changes(spark, n):
 
 
 def test_shared_passages(spark):
-    # more items than six with the same passage, in words no other item has
+    """Equal passages are all found, and neither they nor unrelated ones change what is found."""
     passage = " ".join(w[::-1] for w in VOCABULARY[:60])
-    items = [(k, passage) for k in range(9)] + [(100 + k, " ".join(random.choice(VOCABULARY) for _ in range(60))) for k in range(120)]
+    same = [(k, passage) for k in range(16)]
+    other = [(1000 + k, " ".join(random.choice(VOCABULARY) for _ in range(60))) for k in range(1600)]
     df = spark.createDataFrame([(1, f"{FILLER} {passage} {FILLER}")], "doc_id long, text string")
-    assert {r.item_id for r in find_leaks(df, "text", "doc_id", items).collect()} == set(range(9))
+    for items in (same[:1], same, same[:4] + other[:20], same + other):
+        want = {i for i, t in items if t == passage}
+        assert {r.item_id for r in find_leaks(df, "text", "doc_id", items).collect()} == want
+
+
+ALIKE = "Juró el {}, puesta la mano en el arca, que {} nunca pisó la villa de {} antes del {} de marzo de {}, y lo firmó en {} delante de todos."
+PEOPLE = [("herrero", "Ana de Soto", "Rada Mansa", 4, 1501, "Cabo Largo"), ("sastre", "Luis Oliva", "Puerto Claro", 17, 1533, "Isla Seca"), ("paje", "Juan Ruano", "Rada Mansa", 9, 1560, "Villa Honda")]
+
+
+def test_sentences_built_alike(spark):
+    """Names and numbers tell a passage from sentences built alike, beside any number of other passages."""
+    items = [(k, ALIKE.format(*x)) for k, x in enumerate(PEOPLE)]
+    docs = [(k, f"{FILLER}. {t} {FILLER}") for k, t in items] + [(9, f"{FILLER}. {ALIKE.format('cura', 'Eva Mar', 'Rada Mansa', 5, 1590, 'Punta Alta')} {FILLER}")]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    for some in (items, items[:1], items + [(50 + k, ALIKE.format(*x)) for k in range(30) for x in PEOPLE]):
+        got = {(r.doc_id, r.item_id) for r in find_leaks(df, "text", "doc_id", some).collect()}
+        assert got == {(k, i) for k, t in items for i, u in some if t == u}
+
+
+def test_best_stretch_within_an_alignment(spark):
+    """A good stretch counts although what lies beyond it agrees too little."""
+    w = ITEMS[3][1].split()
+    text = " ".join(w[:22] + [x if k % 3 == 0 else "otra" for k, x in enumerate(w[22:])])
+    df = spark.createDataFrame([(3, text)], "doc_id long, text string")
+    assert [r.item_id for r in find_leaks(df, "text", "doc_id", ITEMS).collect()] == [3]
+
+
+def test_long_text(spark):
+    """A text longer than what is searched at once, with a passage across the cut and at the end."""
+    w = ITEMS[0][1].split()
+    filler = ["mar", "sol", "dos"] * 20_000
+    text = " ".join(filler[:49_970] + w + filler[:90_000] + ITEMS[1][1].split())
+    df = spark.createDataFrame([(1, text), (2, " ".join(filler))], "doc_id long, text string")
+    assert {(r.doc_id, r.item_id) for r in find_leaks(df, "text", "doc_id", ITEMS).collect()} == {(1, 0), (1, 1)}
 
 
 def test_clean(spark):

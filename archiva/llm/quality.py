@@ -1,9 +1,11 @@
 """Figures of each text and whether it is prose, a list, a table or noise.
 
-Layout is measured first: how many lines carry the same delimiter at the same count or column (vertical alignment).
-Together with counts of words, letters, marks and common words each line is taken for one of the four kinds; a text
-belongs to the kind that has most of its characters, if prose has less than half. Whether indentation comes back at a
-period, the autocorrelation of line lengths, symbol_ratio and line_end_punct are reported and decide nothing.
+Layout is measured first: how many lines carry the same delimiter at the same count or column (vertical alignment),
+whether indentation comes back at a period, and the autocorrelation of line lengths. With counts of words, letters,
+marks and common words each line is taken for one of the four kinds, which gives each kind a share of the characters.
+Layout, symbols, line ends, word length and sentences then say how large the share of prose must be for the text to be
+prose (TILT), and which of the other kinds it is (LEAN): rows that come back point to lists and tables, sentences and
+closed lines to prose, symbols and endless words to noise.
 """
 
 from __future__ import annotations
@@ -25,6 +27,7 @@ INSIDE_NAMES = frozenset("de del la las el los y a e da do di o d".split())
 MARKER = re.compile(r"^\s*(?:[-–—*•·▪‣>]|\(?\d{1,3}(?:[.)º]|\.º|\.-| -)|[a-z]\))\s*", re.UNICODE)
 WORD = re.compile(r"[^\W\d_]+", re.UNICODE)
 PLAIN_WORD = re.compile(r"[«¿¡(\"'\[—–-]*[^\W\d_]+(?:['’.-][^\W\d_]+)*[.,;:!?)\]»\"'…—–-]*")
+SMALL = re.compile(r"(?<![^\W_])[^\W\d_A-ZÁÉÍÓÚÜÑÇ][^\W\d_]*", re.UNICODE)
 RULE = re.compile(r"[\s+|:=\-]{3,}")
 DIGIT = re.compile(r"\d")
 VOWELS = frozenset("aeiouáéíóúàèìòùâêôãõüïy")
@@ -33,10 +36,20 @@ CONSONANTS = re.compile(r"[^aeiouáéíóúàèìòùâêôãõüïy]{5,}")
 STATS = {
     "n_words": "int", "mean_word_length": "double", "symbol_ratio": "double", "digit_ratio": "double", "line_end_punct": "double", "common_share": "double",
     "sentence_share": "double", "readable_share": "double", "repetition": "double", "delimiter_alignment": "double", "indent_period": "double",
-    "length_autocorrelation": "double", "prose_share": "double", "list_share": "double", "table_share": "double", "noise_share": "double",
+    "length_autocorrelation": "double", "entry_starts": "double", "prose_share": "double", "list_share": "double", "table_share": "double", "noise_share": "double",
 }
 
 
+#: How far each figure, from 0 to 1, moves the share of prose that a text must have, which is a half where all are at rest.
+TILT = {"layout": 0.3, "delimiter_alignment": 0.2, "symbols": 0.3, "closed_lines": -0.1, "sentences": -0.1}
+#: What each figure, from 0 to 1, adds to the share of a kind.
+LEAN = {
+    "lista": {"list_share": 1.0, "indent": 0.3, "closed_lines": -0.05},
+    "tabla": {"table_share": 1.0, "delimiter_alignment": 0.1, "lengths": 0.2},
+    "ruido": {"noise_share": 1.0, "symbols": 0.3, "endless": 0.2},
+}
+
+
 def readable(word: str) -> bool:
     """Whether a word of letters could be spoken: vowels in a likely share and no long run of consonants."""
     w = word.lower()
@@ -153,8 +166,9 @@ def measure(text: str | None, common: frozenset[str] | Vocabulary) -> dict:
     out["delimiter_alignment"], table = alignment(lines)
     out["indent_period"] = autocorrelation([len(x) - len(x.lstrip()) for x in lines])
     out["length_autocorrelation"] = autocorrelation([len(x) for x in lines])
+    out["entry_starts"] = sum([x.lstrip()[0].isupper() or x.lstrip()[0].isdigit() or bool(MARKER.match(x)) for x in lines]) / len(lines)
 
-    kinds = label_lines(lines, table, by_line, letters, strong, good)
+    kinds = label_lines(lines, table, by_line, letters, strong, good, [sum([f[0] for f in fs]) for fs in facts])
     total = sum(size)
     for s, k in zip(size, kinds, strict=True):
         out[f"{k}_share"] += s / total
@@ -188,7 +202,15 @@ def is_noise(line: str, words: Sequence[str], letters: int, good: int) -> bool:
     return len(tokens) > 3 and letters < 0.35 * solid and not re.search(r"[\t|;,]", line)
 
 
-def label_lines(lines: Sequence[str], table: Sequence[bool], by_line: Sequence[Sequence[str]], letters: Sequence[int], strong: Sequence[int], good: Sequence[int]) -> list[str]:
+def wordless(line: str, words: Sequence[str], common: int) -> bool:
+    """Whether a line runs on like a sentence, in small letters, but with hardly a frequent word of any language."""
+    n = len(words)
+    if n < 8 or common >= 0.1 * n or line.count(",") + line.count(";") > 0.2 * n:
+        return False
+    return len(SMALL.findall(line)) >= 0.7 * n
+
+
+def label_lines(lines: Sequence[str], table: Sequence[bool], by_line: Sequence[Sequence[str]], letters: Sequence[int], strong: Sequence[int], good: Sequence[int], common: Sequence[int]) -> list[str]:
     """prose, list, table or noise for each line; a line that goes on with an open sentence is prose."""
     kinds: list[str] = []
     n = [max(1, len(w)) for w in by_line]
@@ -198,6 +220,9 @@ def label_lines(lines: Sequence[str], table: Sequence[bool], by_line: Sequence[S
         if table[i]:
             kinds.append("table")
             continue
+        if wordless(x, by_line[i], common[i]):
+            kinds.append("noise")
+            continue
         # most lines are sentences of readable words
         if share[i] >= 0.1 and n[i] >= 4 and good[i] > 0.8 * letters[i] and letters[i] > 0.75 * (len(x) - x.count(" ")) and x.count(",") + x.count(";") < 4:
             kinds.append("prose")
@@ -218,6 +243,8 @@ def label_lines(lines: Sequence[str], table: Sequence[bool], by_line: Sequence[S
             kinds.append("prose" if not (items and share[i] < 0.08) else "list")
         elif n[i] > 8 and share[i] > 0.04 and x.rstrip()[-1:] in ".!?":
             kinds.append("prose")
+        elif n[i] > 20 and share[i] > 0.04 and common[i] >= 0.25 * n[i] and commas < 0.1 * n[i]:
+            kinds.append("prose")  # sentences without marks
         else:
             kinds.append("list")
     # wrapped prose has lines that look like entries: a line goes on with the sentence the line before left open
@@ -227,12 +254,25 @@ def label_lines(lines: Sequence[str], table: Sequence[bool], by_line: Sequence[S
     return kinds
 
 
+def signs(m: dict) -> dict[str, float]:
+    """The figures as kind() weighs them, each from 0 to 1, with the shares."""
+    part = lambda x, low, high: min(1.0, max(0.0, (x - low) / (high - low)))
+    # lines of wrapped prose may have any rhythm, but they do not all begin as entries do
+    rows = part(m["entry_starts"], 0.6, 0.9)
+    indent, lengths = rows * part(m["indent_period"], 0.1, 0.6), rows * part(m["length_autocorrelation"], 0.3, 0.9)
+    return m | {
+        "indent": indent, "lengths": lengths, "layout": max(indent, lengths), "symbols": part(m["symbol_ratio"], 0.08, 0.4), "closed_lines": part(m["line_end_punct"], 0.3, 0.9),
+        "sentences": part(m["sentence_share"], 0.08, 0.2), "endless": part(m["mean_word_length"], 9.0, 25.0),
+    }
+
+
 def kind(m: dict) -> str:
     """prosa, lista, tabla or ruido."""
-    if m["prose_share"] >= 0.5:
+    s = signs(m)
+    if m["prose_share"] >= 0.5 + sum(w * s[k] for k, w in TILT.items()):
         return "prosa"
-    shares = {"lista": m["list_share"], "tabla": m["table_share"], "ruido": m["noise_share"]}
-    return max(shares, key=lambda k: shares[k])
+    score = {k: sum(w * s[x] for x, w in lean.items()) for k, lean in LEAN.items()}
+    return max(score, key=lambda k: score[k])
 
 
 def text_quality(df: DataFrame, text: str, common_words: Sequence[str], key: str) -> DataFrame:

@@ -18,6 +18,7 @@ CASES = {
     ],
     "ruido": [
         "@#~ %& {}|= ^^ ~~ ]]" * 9, "xkcd wrtz bbnm ghjk" * 20, "SIN TEXTO\n" * 30, "sello " * 200, "<caja>[[1, 2, 3, 4]]</caja>\n" * 3 + "<caja>[[9, 2, 3, 4]]</caja>", " ".join(PROSE.replace(" ", "")), "Â·Ã¡Â·Â·\nÂ¬Â¬Â¬" * 5,
+        "Dradra surpefin vipe babaquel goltenviquel notagol drata. Cuvicu finmiru tenpel tendra ba bagol virufinta gollo. " * 3,
     ],
 }
 
@@ -29,6 +30,29 @@ def test_kind(want, text):
     assert sum(m[f"{k}_share"] for k in ("prose", "list", "table", "noise")) == pytest.approx(1)
 
 
+ENTRIES = "CABO ALTO\n{0}Ana de Soto\n{0}Luis Mar\nISLA SECA\n{0}Eva Ruano\n{0}Juan Oliva\n" * 3
+RECORDS = PROSE + "Ana Soto y Luis\nIsla Seca\nEva Ruano y Ana\nCabo Alto\nJuan Oliva y Eva\nVilla Rey\n"
+
+
+def test_layout_decides():
+    """Texts of the same shares: indentation that comes back, lengths that do, and closed lines tell them apart."""
+    m = measure(ENTRIES.format("   "), COMMON)
+    assert m["indent_period"] > 0.6
+    edge = m | {"prose_share": 0.55, "list_share": 0.45, "line_end_punct": 0.1, "sentence_share": 0.1}
+    assert (kind(edge), kind(edge | {"indent_period": 0.0, "length_autocorrelation": 0.0})) == ("lista", "prosa")
+    r = measure(RECORDS, COMMON)
+    assert r["length_autocorrelation"] != 0
+    rows = edge | {"indent_period": 0.0, "length_autocorrelation": 0.8}
+    assert (kind(rows), kind(rows | {"length_autocorrelation": 0.0}), kind(rows | {"entry_starts": 0.3})) == ("lista", "prosa", "prosa")
+    low = edge | {"indent_period": 0.0, "length_autocorrelation": 0.0, "prose_share": 0.45, "list_share": 0.55}
+    assert (kind(low), kind(low | {"line_end_punct": 0.9})) == ("lista", "prosa")
+    assert kind(low | {"prose_share": 0.55, "symbol_ratio": 0.4}) != "prosa"
+    tie = edge | {"prose_share": 0.1, "list_share": 0.45, "table_share": 0.45, "length_autocorrelation": 0.0}
+    assert (kind(tie | {"indent_period": 0.6}), kind(tie | {"indent_period": 0.0, "delimiter_alignment": 1.0})) == ("lista", "tabla")
+    noisy = tie | {"table_share": 0.0, "noise_share": 0.45, "indent_period": 0.0}
+    assert (kind(noisy), kind(noisy | {"mean_word_length": 30.0})) == ("lista", "ruido")
+
+
 def test_figures():
     m = measure("uno dos, tres.\ncuatro 55", COMMON)
     assert (m["n_words"], m["mean_word_length"], m["line_end_punct"]) == (5, pytest.approx(4.0), 0.5)

@@ -2,9 +2,10 @@
 
 An automaton over all names and aliases finds what is embedded in a value; the longest mentions that do not overlap
 win, and a value is settled if only words like "villa de" or "su oficio" remain. The others go to token-set
-similarity: the edit distance of the words in given and sorted order, on the plain letters and on a skeleton in which
-spellings of one sound fall together. Forms that are frequent in the data themselves and not close to an entry are
-names of their own, so their misspellings are not drawn to the list.
+similarity: words are paired with the words of an entry in any order, each pair costs its edits (on the plain letters,
+or one more on a skeleton in which spellings of one sound fall together), words left over cost their letters. Distinct
+values are matched once and joined back. A form that occurs about as often as the entry it resembles is no misspelling
+of it but a name of its own; both are counted in the data, so it is their ratio that decides and not the size of it.
 """
 
 from __future__ import annotations
@@ -18,12 +19,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from archiva.functions.names import distance, fold
+from archiva.functions.names import PARTICLES, distance, fold, remember
 from archiva.operators.packed import not_a_name
 from archiva.session import share, shared_value
 
-#: A form is frequent if it has this share of the values of its domain; so there are at most 1 / MIN_SHARE of them.
-MIN_SHARE = 0.0005
+#: A form is a name of its own from this share of the occurrences of the entry it resembles, which count PRIOR more.
+OWN_RATIO = 0.25
+PRIOR = 5
+#: Least similarity of the words of a value and those of an entry.
+LEAST = 0.66
 
 # Words around a name that are no part of it, by domain.
 AFFIXES = {
@@ -52,6 +56,9 @@ def skeleton(text: str) -> str:
     return re.sub(r"(.)\1+", r"\1", t)
 
 
+sound = remember(skeleton)
+
+
 def expand(text: str) -> str:
     """Abbreviated words written out, where a full stop or a raised letter shows that they are short."""
 
@@ -75,9 +82,39 @@ class Entry:
     ids: list[tuple[int, str]]  # (id, jurisdiction), several where one name lies in several jurisdictions
     form: str
     tight: str
-    ordered: str
     bones: str
-    count: int = 0
+    words: list[str]
+
+    @classmethod
+    def of(cls, ids: Iterable[tuple[int, str]], form: str) -> Entry:
+        return cls(sorted(set(ids)), form, form.replace(" ", ""), skeleton(form), form.split())
+
+
+def word_cost(a: str, b: str, most: int) -> int:
+    """Edits between two words, or one more than those between their sounds; ``most + 1`` if they are more."""
+    d = distance(a, b, most)
+    if d > 1 and abs(len(a) - len(b)) < 5:
+        d = min(d, 1 + distance(sound(a), sound(b), 1))
+    return min(d, most + 1)
+
+
+def set_cost(value: Sequence[str], entry: Sequence[str], most: int) -> int:
+    """What tells two sets of words apart: edits of the words paired, letters of those left over."""
+    left, right = Counter(value), Counter(entry)
+    left, right = list((left - right).elements()), list((right - left).elements())
+    if not left and not right:
+        return 0
+    total = 0
+    pairs = sorted((word_cost(a, b, most), i, j) for i, a in enumerate(left) for j, b in enumerate(right)) if len(left) * len(right) < 50 else []
+    used_l: set[int] = set()
+    used_r: set[int] = set()
+    for c, i, j in pairs:
+        if c <= most and i not in used_l and j not in used_r:
+            used_l.add(i)
+            used_r.add(j)
+            total += c
+    rest = [w for i, w in enumerate(left) if i not in used_l] + [w for j, w in enumerate(right) if j not in used_r]
+    return min(most + 1, total + sum(1 if w in PARTICLES else len(w) for w in rest))
 
 
 @dataclass
@@ -87,9 +124,7 @@ class Gazetteer:
     domain: str
     entries: list[Entry] = field(default_factory=list)
     jurisdictions: list[str] = field(default_factory=list)
-    own: list[Entry] = field(default_factory=list)
     grams: dict[str, list[int]] = field(default_factory=dict)
-    cache: dict[str, int] = field(default_factory=dict)
     automaton: object = None
 
     @classmethod
@@ -101,21 +136,20 @@ class Gazetteer:
                 if n and plain(n):
                     by[plain(n)].append((i, plain(where or "")))
         g = cls(domain)
-        g.entries = [Entry(sorted(set(ids)), f, f.replace(" ", ""), "".join(sorted(f.split())), skeleton(f)) for f, ids in sorted(by.items())]
+        g.entries = [Entry.of(ids, f) for f, ids in sorted(by.items())]
         g.jurisdictions = sorted({w for ids in by.values() for _, w in ids if w}, key=len, reverse=True)
         g._index()
         return g
 
     def _index(self) -> None:
         grams: dict[str, list[int]] = defaultdict(list)
-        for k, e in enumerate([*self.entries, *self.own]):
+        for k, e in enumerate(self.entries):
             for s in {e.tight[i : i + 2] for i in range(len(e.tight) - 1)} | {e.bones[i : i + 2] + "_" for i in range(len(e.bones) - 1)}:
                 grams[s].append(k)
         self.grams = dict(grams)
-        self.cache = {}
 
     def __getstate__(self) -> dict:
-        return self.__dict__ | {"automaton": None, "cache": {}}
+        return self.__dict__ | {"automaton": None}
 
     def cut_jurisdiction(self, text: str) -> tuple[str, str]:
         """The value without the jurisdiction added to it, and the jurisdiction."""
@@ -179,36 +213,32 @@ class Gazetteer:
             rest = re.sub(rx, " ", rest).strip()
         return k if rest.strip(" ,.") == "@" else None
 
-    def nearest(self, core: str) -> tuple[int, int, int]:
-        """Of the closest entry: distance, number, length compared; own forms have numbers behind the entries."""
-        tight, bones = core.replace(" ", ""), skeleton(core)
-        ordered = "".join(sorted(core.split()))
+    def nearest(self, core: str, most: int = 2) -> tuple[int, int]:
+        """Cost and number of the entry with the most similar set of words, or (99, -1) if none is similar enough.
+
+        Words run together or divided at the wrong place count as one word each. The first name wins a tie.
+        """
+        tight, bones, words = core.replace(" ", ""), skeleton(core), core.split()
         letters: Counter[int] = Counter()
         for s in {tight[i : i + 2] for i in range(len(tight) - 1)}:
             letters.update(self.grams.get(s, ()))
         sounds: Counter[int] = Counter()
         for s in {bones[i : i + 2] + "_" for i in range(len(bones) - 1)}:
             sounds.update(self.grams.get(s, ()))
-        best = (99, -1, 0)
-        n, known = len(tight), len(self.entries)
-        short = range(known + len(self.own)) if n < 6 else ()  # so few letters that two edits may leave no pair
-        for k in letters.keys() | sounds.keys() | set(short):
-            e = self.entries[k] if k < known else self.own[k - known]
+        best = (99, -1)
+        short = range(len(self.entries)) if len(tight) < 6 else ()  # so few letters that two edits may leave no pair
+        for k in sorted(letters.keys() | sounds.keys() | set(short)):
+            e = self.entries[k]
             # two edits spoil at most six pairs of letters, one edit of the skeleton three
             near = letters[k] + 6 >= len(set(zip(e.tight, e.tight[1:], strict=False)))
             heard = sounds[k] + 3 >= len(set(zip(e.bones, e.bones[1:], strict=False)))
-            if not near and not heard:
+            if (not near and not heard) or abs(len(e.tight) - len(tight)) > 2 + most:
                 continue
-            d = distance(tight, e.tight, 2) if near else 3
-            if d > 1 and ordered != tight and near:
-                d = min(d, distance(ordered, e.ordered, 2))
-            if d > 1 and heard:
-                s = distance(bones, e.bones, 1)
-                if s <= 1 and abs(len(e.tight) - n) < 5:
-                    d = min(d, s + 1)
-            # an own form wins a tie against an entry, else the first name does
-            if d <= 2 and (d < best[0] or (d == best[0] and ((k >= known > best[1]) or (k < best[1] < known)))):
-                best = (d, k, len(e.tight))
+            c = word_cost(tight, e.tight, most)
+            if c and len(words) + len(e.words) > 2:
+                c = min(c, set_cost(words, e.words, most))
+            if c < best[0] and c <= most and 1 - c / len(e.tight) >= LEAST:
+                best = c, k
         return best
 
     def shortened(self, text: str) -> int | None:
@@ -223,99 +253,66 @@ class Gazetteer:
                 hits.append(k)
         return hits[0] if len(hits) == 1 else None
 
-    def limit(self, size: int) -> int:
-        """How many edits a name of so many letters may have."""
-        return 0 if size < 4 else 2
-
-    def learn(self, counts: Mapping[str, int]) -> None:
-        """Take frequent forms of the data that are no spelling of an entry for names of their own."""
-        self.own = []
-        self._index()
-        for e in self.entries:
-            e.count = counts.get(e.form, 0)
-        total: Counter[int] = Counter()
-        for e in self.entries:
-            for i, _ in e.ids:
-                total[i] += e.count
-        fresh = []
-        for f, n in sorted(counts.items()):
-            if self.embedded(f) is not None or not_a_name(f):
-                continue
-            f, _ = self.cut_jurisdiction(f)
-            if self.shortened(f) is not None or any(self.embedded(c) is not None for c in self.cores(f)) or f in {x.form for x in fresh}:
-                continue
-            d, k, size = min((self.nearest(c) for c in self.cores(f)), default=(99, -1, 0))
-            if k < 0 or d > self.limit(size) or (d > 1 and d >= 0.2 * size and n >= 0.25 * max(total[i] for i, _ in self.entries[k].ids)):
-                fresh.append(Entry([], f, f.replace(" ", ""), "".join(sorted(f.split())), skeleton(f), n))
-        self.own = fresh
-        self._index()
-
-    def match(self, value: str | None) -> int:
-        """The id of the entry that a value means, or 0."""
-        if value is None or not value.strip():
-            return 0
-        got = self.cache.get(value)
-        if got is None:
-            got = self._match(value)
-            if len(self.cache) < 500_000:
-                self.cache[value] = got
-        return got
-
-    def _match(self, value: str) -> int:
-        text = plain(value)
-        if not_a_name(value) or not text:
-            return 0
-        text, where = self.cut_jurisdiction(text)
-        k = self.embedded(text)
+    def find(self, value: str | None) -> tuple[str, int, int, int]:
+        """Of a value: its form, the first id under the name it means or -1, what tells them apart (0 if nothing), and the id."""
+        if value is None or not value.strip() or not_a_name(value) or not plain(value):
+            return "", -1, 0, 0
+        text, where = self.cut_jurisdiction(plain(value))
+        cost, k = 0, self.embedded(text)
         if k is None:
             k = next((s for c in [text, *self.cores(text)] if (s := self.shortened(c)) is not None), None)
         if k is None:
             options = []
             for i, core in enumerate(self.cores(text)):
                 k = self.embedded(core)
-                options.append((0, i, k, 99) if k is not None else (lambda d, k, s, i=i: (d, i, k, s))(*self.nearest(core)))
-            d, _, k, size = min(options)
-            if k < 0 or k >= len(self.entries) or d > self.limit(size):
-                return 0
+                cost, k = (0, k) if k is not None else self.nearest(core)
+                options.append((cost, i, k))
+            cost, _, k = min(options)
+        if k < 0:
+            return text, -1, 0, 0
         ids = self.entries[k].ids
-        return next((i for i, w in ids if w == where), ids[0][0])
-
-
-def frequent_forms(df: DataFrame, domain: str, value: str, min_share: float = MIN_SHARE) -> DataFrame:
-    """forma, n, dominio: folded values with at least ``min_share`` of the values of their domain."""
-    folded = df.select(F.col(domain).alias("dominio"), F.col(value).alias("_v")).where(F.length(F.trim("_v")) > 0)
-    n = folded.groupBy("dominio", "_v").agg(F.count("*").alias("n"))
-    schema = "dominio string, forma string, n bigint"
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            forms = [plain(v) for v in b.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0).cast(pa.string()), pa.array(forms, pa.string()), b.column(2)], names=["dominio", "forma", "n"])
+        return text, ids[0][0], cost, next((i for i, w in ids if w == where), ids[0][0])
 
-    by = n.mapInArrow(run, schema).groupBy("dominio", "forma").agg(F.sum("n").alias("n"))
-    total = by.groupBy("dominio").agg(F.sum("n").alias("_total"))
-    return by.join(F.broadcast(total), "dominio").where(F.col("n") >= F.lit(min_share) * F.col("_total")).drop("_total")
+    def match(self, value: str | None) -> int:
+        """The id of the entry that a value means by itself, or 0."""
+        return self.find(value)[3]
 
 
-def map_values(df: DataFrame, domain: str, value: str, gazetteers: Mapping[str, Gazetteer], out: str = "ref_id") -> DataFrame:
+def map_values(df: DataFrame, domain: str, value: str, gazetteers: Mapping[str, Gazetteer], out: str = "ref_id", cut=lambda df: df, own_ratio: float = OWN_RATIO, prior: int = PRIOR) -> DataFrame:
     """``df`` with ``out``: the id of the entry of the row's domain that ``value`` means, or 0.
 
-    Null, blank and nameless values, unknown domains and values without a close entry have 0; a tie between entries
+    Null, blank and nameless values, unknown domains and values without a similar entry have 0; a tie between entries
     goes to the first name in alphabetical order, and of one name in several jurisdictions without one being given,
-    the lowest id. Narrow: the lists are broadcast, they are reference tables of bounded size.
+    the lowest id. A form that is not an entry's but similar to it is a name of its own, and has 0, if it occurs at
+    least ``own_ratio`` times as often as the entry and ``prior`` more; so has what is nearer to such a form, or as near
+    and the form is the more frequent one. Each distinct value is matched once; the lists are broadcast, they are
+    reference tables of bounded size. ``cut`` may checkpoint the distinct values, which are used several times.
     """
     if sum(len(g.entries) for g in gazetteers.values()) > 1_000_000:
         raise ValueError("the reference list is too long to hold in every task")
     shared = share(df.sparkSession, dict(gazetteers))
-    keep = [c for c in df.columns if c not in (out,)]
-    picked = df.select(*keep)
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in picked.schema.fields)
+    distinct = df.select(F.col(domain).cast("string").alias("_dom"), F.col(value).cast("string").alias("_val")).where(F.col("_val").isNotNull()).groupBy("_dom", "_val").agg(F.count("*").alias("_n"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lists = shared_value(shared)
         for b in batches:
-            kinds, values = b.column(keep.index(domain)).to_pylist(), b.column(keep.index(value)).to_pylist()
-            ids = [lists[k].match(v) if k in lists else 0 for k, v in zip(kinds, values, strict=True)]
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(ids, pa.int64())], names=[*keep, out])
-
-    return picked.mapInArrow(run, f"{schema}, `{out}` bigint")
+            kinds, values = b.column(0).to_pylist(), b.column(1).to_pylist()
+            found = [lists[k].find(v) if k in lists else ("", -1, 0, 0) for k, v in zip(kinds, values, strict=True)]
+            form, entry, cost, ids = ([f[i] for f in found] for i in range(4))
+            yield pa.RecordBatch.from_arrays(
+                [*b.columns, pa.array(form, pa.string()), pa.array(entry, pa.int64()), pa.array(cost, pa.int32()), pa.array(ids, pa.int64())], names=["_dom", "_val", "_n", "_form", "_entry", "_cost", "_id"]
+            )
+
+    met = cut(distinct.mapInArrow(run, "_dom string, _val string, _n bigint, _form string, _entry bigint, _cost int, _id bigint").where(F.col("_entry") >= 0))
+    seen = met.where(F.col("_cost") == 0).groupBy("_dom", "_entry").agg(F.sum("_n").alias("_seen"))
+    forms = met.where(F.col("_cost") > 0).groupBy("_dom", "_entry", "_form").agg(F.sum("_n").alias("_times"), F.min("_cost").alias("_cost"))
+    forms = forms.join(seen, ["_dom", "_entry"], "left").withColumn("_seen", F.coalesce("_seen", F.lit(0)))
+    forms = forms.withColumn("_own", F.col("_times") >= F.lit(own_ratio) * (F.col("_seen") + F.lit(prior)))
+    own = forms.where("_own").select("_dom", "_entry", F.col("_form").alias("_other"), F.col("_times").alias("_often"))
+    off = F.levenshtein("_form", "_other")
+    lost = forms.where(~F.col("_own")).join(own, ["_dom", "_entry"]).where((off < F.col("_cost")) | ((off == F.col("_cost")) & (F.col("_often") > F.col("_seen"))))
+    refused = forms.where("_own").select("_dom", "_entry", "_form").unionByName(lost.select("_dom", "_entry", "_form")).distinct()
+    kept = met.join(refused, ["_dom", "_entry", "_form"], "left_anti").select("_dom", "_val", "_id")
+    rows = df.select(*(F.col(f"`{c}`") for c in df.columns if c != out))
+    on = (F.col(f"l.`{domain}`").cast("string") == F.col("r._dom")) & (F.col(f"l.`{value}`").cast("string") == F.col("r._val"))
+    return rows.alias("l").join(kept.alias("r"), on, "left").select("l.*", F.coalesce("r._id", F.lit(0)).cast("bigint").alias(out))

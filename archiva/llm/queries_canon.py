@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from archiva.llm.canon import Gazetteer, frequent_forms, map_values
+from archiva.llm.canon import Gazetteer, map_values
 from archiva.plans import packed
-from archiva.session import spread, table
+from archiva.session import checkpoint, spread, table
 
 
 def _typed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,25 +23,19 @@ def _typed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return places.unionByName(long.select("x.campo", "fila", F.lit(1).alias("pos"), "x.valor", "x.dominio"))
 
 
-def _lists(spark: SparkSession, sf_dir: str, typed: DataFrame) -> dict[str, Gazetteer]:
-    """Both reference lists, tables that do not grow, with the frequent forms of the data."""
+def _lists(spark: SparkSession, sf_dir: str) -> dict[str, Gazetteer]:
+    """Both reference lists, tables that do not grow."""
     places = table(spark, sf_dir, "lugares_ref", "lugar_id", "lugar", "otro_nombre", "jurisdiccion").collect()
     trades = table(spark, sf_dir, "ocupaciones_ref", "ocupacion_id", "ocupacion").collect()
-    lists = {
+    return {
         "lugar": Gazetteer.build("lugar", [(r[0], (r[1], r[2]), r[3]) for r in places]),
         "ocupacion": Gazetteer.build("ocupacion", [(r[0], (r[1],), None) for r in trades]),
     }
-    # at most 1 / MIN_SHARE forms of each domain, by definition
-    forms = frequent_forms(typed, "dominio", "valor").collect()
-    for name, g in lists.items():
-        g.learn({r.forma: r.n for r in forms if r.dominio == name})
-    return lists
 
 
 def p3_mapped(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every typed value with its entry."""
-    typed = _typed(spark, sf_dir)
-    return map_values(typed, "dominio", "valor", _lists(spark, sf_dir, typed))
+    return map_values(_typed(spark, sf_dir), "dominio", "valor", _lists(spark, sf_dir), cut=checkpoint)
 
 
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,10 +1,10 @@
 """Scanned pages made readable: running headers and page numbers, divided words, misread letters.
 
-A first pass counts, over all texts, the words, the words beside numbers and the lines that come back; what is
-frequent there is the vocabulary. Then each text is labelled by a semi-Markov model: its units are lines where the
-scan has lines and words where it was put on one line, its states header, page break and body, its features layout
-(a line by itself, ornaments, capitals) and the vocabulary (header words in order, words that want a number). The
-best path is decoded, body parts are joined over what was taken out, and their words are mended.
+A first pass counts, over all texts, the words, the words beside numbers and, by volume, the lines that come back; that
+is the vocabulary. Then each text is labelled by a linear conditional model over segments: its states are header, page
+break and body, its features layout (a line by itself, ornaments, capitals) and the vocabulary (header words in order,
+words that want a number), its moves what stands before a segment. Weights and moves are fitted on a bounded sample of
+the corpus. The best path is decoded, body parts are joined over what was taken out, and their words are mended.
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ from collections import Counter
 from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass, field
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -21,10 +22,15 @@ from pyspark.sql import functions as F
 from archiva.functions.names import distance, fold
 from archiva.session import share, shared_value
 
-#: What has at least this share of its kind (words, lines by text) belongs to the vocabulary; so each kind has at most
-#: 1 / share entries times the items of a text, whatever the size of the corpus.
-MIN_SHARE = 1e-5
-MIN_LINE_SHARE = 1e-3
+#: A word belongs to the vocabulary from so many occurrences, whatever the size of the corpus.
+MIN_COUNT = 5
+#: A line may be a header from so many texts of one volume and this share of them, or from these of all texts.
+MIN_LINES, MIN_LINE_SHARE = 5, 0.01
+MIN_LINES_ALL, MIN_LINE_SHARE_ALL = 3, 1e-3
+#: Common words are as many as a language has, names are not among them; more than this is refused rather than broadcast.
+MAX_WORDS = 2_000_000
+#: So many texts, the first by hash, are labelled to fit the model.
+SAMPLE = 1000
 
 # What scans show in place of a letter.
 CONFUSIONS = [
@@ -62,9 +68,9 @@ def core(token: str) -> str:
 
 @dataclass
 class Vocabulary:
-    """What the first pass found frequent."""
+    """What the first pass found."""
 
-    lower: dict[str, int] = field(default_factory=dict)  # words by lower case: in all
+    lower: dict[str, int] = field(default_factory=dict)  # common words by lower case: in all
     small: dict[str, int] = field(default_factory=dict)  # of these, with a small first letter
     label: dict[str, int] = field(default_factory=dict)  # words of labels, as often as they stand in one
     before: dict[str, float] = field(default_factory=dict)  # share of a word's occurrences followed by a number
@@ -73,78 +79,23 @@ class Vocabulary:
     bones: list[str] = field(default_factory=list)  # the letters of each header
     header_words: dict[str, tuple[bool, int]] = field(default_factory=dict)
     acts: dict[str, tuple[int, str]] = field(default_factory=dict)
-
-    @classmethod
-    def build(cls, counts: Mapping[tuple[str, str], int], texts: int, words: int, min_share: float = MIN_SHARE, min_line_share: float = MIN_LINE_SHARE) -> Vocabulary:
-        v = cls()
-        for (kind, key), n in counts.items():
-            if kind != "w":
-                continue
-            w = core(key)
-            if not w:
-                continue
-            low = w.lower()
-            v.lower[low] = v.lower.get(low, 0) + n
-            if w[0].islower():
-                v.small[low] = v.small.get(low, 0) + n
-        for (kind, key), n in counts.items():
-            if kind == "l":
-                v.label[key.lower()] = n
-        for kind, into in (("p", v.before), ("n", v.after)):
-            for (k, key), n in counts.items():
-                if k == kind:
-                    into[key] = n / max(n, counts.get(("w", key), n))
-        least = max(3, min_line_share * texts)
-        lines = sorted(((n, key) for (kind, key), n in counts.items() if kind == "h" and n >= least), reverse=True)
-        for n, key in lines:
-            parts = key.split()
-            # what the sentences of many texts share comes at any place of a line, a header is always a line by itself
-            rarest = min((counts.get(("w", w), 0) or n for w in parts), default=0)
-            bones = letters("".join(parts))
-            if n >= 0.3 * rarest and not any(bones == c or c.startswith(bones) or distance(bones, c, 8) <= 0.2 * len(c) for c in v.bones):
-                v.headers.append(parts)
-                v.bones.append(bones)
-        for w in (w for h in v.headers for w in h):
+    model: Model | None = None
+    most: int = 1  # how often the most frequent word occurs; what is as rare as a part of a word may be one
+
+    def add_headers(self, lines: Sequence[tuple[int, str]]) -> None:
+        """Take the lines for headers, the most frequent first, without those that are a misread or shorter form of one."""
+        for _, key in sorted(lines, reverse=True):
+            bones = letters(key)
+            if not any(bones == c or c.startswith(bones) or distance(bones, c, 8) <= 0.2 * len(c) for c in self.bones):
+                self.headers.append(key.split())
+                self.bones.append(bones)
+        for w in (w for h in self.headers for w in h):
             bones = letters(w)
             if len(bones) > 4:
-                v.header_words[bones] = (w.isupper() and v.header_words.get(bones, (True, 0))[0], len(bones))
-        return v
-
-    def form(self, word: str) -> int:
-        """How often a common word occurs with a first letter of this size; 0 for names and unknown words."""
-        n = self.common(word)
-        if not n:
-            return 0
-        small = self.small.get(word.lower(), 0)
-        return n - small if word[0].isupper() else small
+                self.header_words[bones] = (w.isupper() and self.header_words.get(bones, (True, 0))[0], len(bones))
 
-    def act(self, token: str) -> tuple[int, str]:
-        """What a token may be, as a sum of HYPHEN, NUMBER, HEADER and UNKNOWN, and its right form if it is misread."""
-        got = self.acts.get(token)
-        if got is None:
-            flags, right = 0, ""
-            if len(token) > 1 and token[-1] in HYPHENS and token[-2].isalpha():
-                flags |= HYPHEN
-            elif len(token) < 8 and _is_number(token):
-                flags |= NUMBER
-            else:
-                w = core(token)
-                if w.isalpha() and w.lower() not in self.lower:
-                    flags |= UNKNOWN
-                right = self.mend(w) if len(w) > 1 else ""
-                bones = letters(w)
-                if len(bones) > 3:
-                    caps = sum(map(str.isupper, w)) > 0.5 * len(w)
-                    for h, (upper, size) in self.header_words.items():
-                        if (upper and not caps) or abs(size - len(bones)) > 2:
-                            continue
-                        if h == bones or distance(h, bones, 2) <= 1 + (size > 7):
-                            flags |= HEADER
-                            break
-            got = flags, right
-            if len(self.acts) < 500_000:
-                self.acts[token] = got
-        return got
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"acts": {}}
 
     def form(self, word: str) -> int:
         """How often a common word or the word of a label occurs with a first letter of this size; 0 for others.
@@ -169,7 +120,7 @@ class Vocabulary:
                 flags |= NUMBER
             else:
                 w = core(token)
-                if w.isalpha() and w.lower() not in self.lower:
+                if w.isalpha() and 20 * self.lower.get(w.lower(), 0) < self.most:
                     flags |= UNKNOWN
                 right = self.mend(w) if len(w) > 1 else ""
                 bones = letters(w)
@@ -186,35 +137,39 @@ class Vocabulary:
                 self.acts[token] = got
         return got
 
-    def common(self, word: str) -> int:
-        """How often a word occurs, if it is a common word or a label; 0 for names and unknown words."""
-        low = word.lower()
-        n = self.lower.get(low, 0)
-        if not n:
-            return 0
-        if self.small.get(low, 0) >= 0.3 * n or self.label.get(low, 0) >= 0.3 * n:
-            return n
-        return 0
-
     def mend(self, word: str) -> str:
         """The word that a misread one must be, or ''."""
         if not MIN_LETTERS - 1 <= len(word) <= 40 or sum(map(str.isalpha, word)) < max(1, 0.4 * len(word)):
             return ""
-        n = self.lower.get(word.lower(), 0)
-        odd = not word.isalpha()
+        best = self._mended([word], word)
+        if not best and not word.isalpha():
+            # a second misread sign beside the first
+            once = [word[:at] + good + word[at + len(bad) :] for bad, good in CONFUSIONS for at in _places(word, bad)]
+            best = self._mended([w for w in once if sum(map(str.isalpha, w)) > sum(map(str.isalpha, word))], word)
+        return best
+
+    def _mended(self, words: Sequence[str], typed: str) -> str:
+        """The most frequent common word one misreading away from any of ``words``, or ''."""
+        n, odd = self.lower.get(typed.lower(), 0), not typed.isalpha()
         best, most = "", 0
-        for bad, good in CONFUSIONS:
-            at = word.find(bad)
-            while at >= 0:
-                t = word[:at] + good + word[at + len(bad) :]
-                if len(t) >= MIN_LETTERS and t.isalpha() and t[1:].islower():
-                    k = self.form(t)
-                    if k > most and (odd or k >= 8 * n):
-                        best, most = t, k
-                at = word.find(bad, at + 1)
+        for word in words:
+            for bad, good in CONFUSIONS:
+                for at in _places(word, bad):
+                    t = word[:at] + good + word[at + len(bad) :]
+                    if len(t) >= MIN_LETTERS and t.isalpha() and t[1:].islower():
+                        k = self.form(t)
+                        if k > most and (odd or k >= 8 * n):
+                            best, most = t, k
         return best
 
 
+def _places(word: str, part: str) -> Iterator[int]:
+    at = word.find(part)
+    while at >= 0:
+        yield at
+        at = word.find(part, at + 1)
+
+
 def letters(text: str) -> str:
     """Folded letters only, signs read for letters set right."""
     return re.sub(r"[^a-z]", "", fold(text.translate(SIGNS)))
@@ -225,33 +180,41 @@ def stripped(line: str) -> str:
     return re.sub(r"[\s\-—–·]*[0-9IlO]{0,4}[\s\-—–·.]*$", "", line).strip(" -—–·")
 
 
-def count_corpus(df: DataFrame, text: str) -> DataFrame:
-    """kind, key, n over all texts: w words, p words before and n words behind a number, l words of labels, h lines that may be
-    headers (once a text), t texts and s words in all. Combined in each task before the shuffle, so hot words are no skew."""
-    picked = df.select(F.col(text).cast("string").alias("_t"))
+def count_corpus(df: DataFrame, text: str, volume: str | None = None) -> DataFrame:
+    """kind, key, volume, n over all texts: w tokens, c words in lower case, d those with a small first letter, p words before
+    and n words behind a number, l words of labels, h lines that may be headers (once a text) and t texts, both by
+    volume. Combined in each task before the shuffle, so hot words are no skew."""
+    picked = df.select(F.col(text).cast("string").alias("_t"), (F.col(volume) if volume else F.lit(None)).cast("string").alias("_v"))
     labels = re.compile(r"(?:^\S+|\.—)\s([A-ZÁÉÍÓÚÑ][^:.—]{3,40}):")
     beside = re.compile(r"(\S+)\s+[0-9][0-9.]*[.,;]?\s+(?=(\S+))")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def out(c: Counter) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array([k for k, _ in c], pa.string()), pa.array([w for _, w in c], pa.string()), pa.array(list(c.values()), pa.int64())], names=["kind", "key", "n"])
-
         words: Counter[str] = Counter()
-        rest: Counter[tuple[str, str]] = Counter()
+        rest: Counter[tuple[str, str, str | None]] = Counter()
+
+        def out() -> pa.RecordBatch:
+            for token, n in words.items():
+                rest["w", token, None] += n
+                w = core(token)
+                if w.isalpha():
+                    rest["c", w.lower(), None] += n
+                    if w[0].islower():
+                        rest["d", w.lower(), None] += n
+            kind, key, vol = zip(*rest, strict=True) if rest else ((), (), ())
+            return pa.RecordBatch.from_arrays([pa.array(kind, pa.string()), pa.array(key, pa.string()), pa.array(vol, pa.string()), pa.array(list(rest.values()), pa.int64())], names=["kind", "key", "volume", "n"])
+
         for b in batches:
-            for t in b.column(0).to_pylist():
+            for t, vol in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                 if not t:
                     continue
-                tokens = t.split()
-                words.update(tokens)
+                words.update(t.split())
                 for phrase in labels.findall(t):
                     for w in phrase.split():
-                        rest["l", w] += 1
-                rest["t", ""] += 1
-                rest["s", ""] += len(tokens)
+                        rest["l", w.lower(), None] += 1
+                rest["t", "", vol] += 1
                 for p, n in beside.findall(t):
-                    rest["p", p] += 1
-                    rest["n", n] += 1
+                    rest["p", p, None] += 1
+                    rest["n", n, None] += 1
                 if "\n" in t:
                     seen = set()
                     for line in t.split("\n")[1:]:
@@ -261,32 +224,111 @@ def count_corpus(df: DataFrame, text: str) -> DataFrame:
                         if s[:1].isupper() and s.count(" ") >= 2 and line.rstrip()[-1:] not in ".,;" and s[-1:] not in ",;" and len(s) < 120:
                             seen.add(s)
                     for s in seen:
-                        rest["h", s] += 1
+                        rest["h", s, vol] += 1
             if len(words) + len(rest) > 200_000:
-                for w, n in words.items():
-                    rest["w", w] += n
-                yield out(rest)
+                yield out()
                 words, rest = Counter(), Counter()
-        for w, n in words.items():
-            rest["w", w] += n
-        yield out(rest)
+        yield out()
+
+    return picked.mapInArrow(run, "kind string, key string, volume string, n bigint").groupBy("kind", "key", "volume").agg(F.sum("n").alias("n"))
 
-    return picked.mapInArrow(run, "kind string, key string, n bigint").groupBy("kind", "key").agg(F.sum("n").alias("n"))
 
+def learn(df: DataFrame, text: str, volume: str | None = None, cut=lambda df: df, min_count: int = MIN_COUNT, min_lines: int = MIN_LINES, min_line_share: float = MIN_LINE_SHARE, sample: int = SAMPLE) -> Vocabulary:
+    """The vocabulary of a corpus, and the model fitted on ``sample`` of its texts.
 
-def learn(df: DataFrame, text: str, min_share: float = MIN_SHARE, min_line_share: float = MIN_LINE_SHARE) -> Vocabulary:
-    """The vocabulary of a corpus. Only entries above the shares come to the driver, which bounds their number."""
-    counts = count_corpus(df, text)
-    total = F.max(F.when(F.col("kind") == "s", F.col("n")).otherwise(0)).alias("s"), F.max(F.when(F.col("kind") == "t", F.col("n")).otherwise(0)).alias("t")
-    counts = counts.persist()
-    try:
-        s, t = counts.agg(*total).collect()[0]
-        s, t = s or 0, t or 0
-        frequent = (F.col("n") >= F.when(F.col("kind") == "h", F.greatest(F.lit(3.0), F.lit(min_line_share * t))).otherwise(F.greatest(F.lit(2.0), F.lit(min_share * s)))) & F.col("kind").isin("w", "p", "n", "h", "l")
-        rows = counts.where(frequent).collect()
-    finally:
-        counts.unpersist()
-    return Vocabulary.build({(r.kind, r.key): r.n for r in rows}, t, s, min_share, min_line_share)
+    Common words (of ``min_count`` occurrences, a tenth of them written small, or three tenths in labels), words beside
+    numbers and headers come to the driver; their number is that of the words of a language and of the headers of
+    the volumes, and is checked. A line is a header if some volume has it in ``min_lines`` texts and ``min_line_share`` of
+    its texts (or all texts together in a tenth of that share), and if some word of it stands hardly anywhere else; so
+    other volumes take no header away from one. ``cut`` may
+    checkpoint the counts, which are used several times.
+    """
+    counts = cut(count_corpus(df, text, volume))
+    of = lambda kind, name, key="key": counts.where(F.col("kind") == kind).select(F.col("key").alias(key), F.col("n").alias(name))
+    c = of("c", "n").where(F.col("n") >= min_count).join(of("d", "small"), "key", "left").join(of("l", "label"), "key", "left")
+    c = c.select("key", "n", F.coalesce("small", F.lit(0)).alias("small"), F.coalesce("label", F.lit(0)).alias("label"))
+    c = c.where((F.col("small") >= 0.1 * F.col("n")) | (F.col("label") >= 0.3 * F.col("n")))
+    beside = []
+    for kind in ("p", "n"):
+        share = of(kind, "k").where(F.col("k") >= min_count).join(of("w", "n"), "key", "left").select(F.lit(kind).alias("kind"), "key", F.lit(None).cast("string").alias("word"), (F.col("k") / F.greatest("k", F.coalesce("n", "k"))).alias("share"))
+        beside.append(share.where(F.col("share") >= 0.01))
+    in_volume = counts.where(F.col("kind") == "h").select("key", "volume", "n")
+    texts = counts.where(F.col("kind") == "t").select(F.col("volume").alias("_volume"), F.col("n").alias("texts"))
+    often = in_volume.join(texts, F.col("volume").eqNullSafe(F.col("_volume"))).where((F.col("n") >= min_lines) & (F.col("n") >= min_line_share * F.col("texts"))).select("key")
+    lines = in_volume.groupBy("key").agg(F.sum("n").alias("n"))
+    total = texts.agg(F.coalesce(F.sum("texts"), F.lit(0)).alias("texts"))
+    everywhere = lines.crossJoin(total).where((F.col("n") >= MIN_LINES_ALL) & (F.col("n") >= MIN_LINE_SHARE_ALL * F.col("texts"))).select("key")
+    lines = lines.join(often.unionByName(everywhere).distinct(), "key", "left_semi")
+    # what the sentences of many texts share comes at any place of a line, a header is always a line by itself
+    parts = lines.select("key", "n", F.explode(F.split("key", r"\s+")).alias("word")).join(of("w", "times", "word"), "word", "left")
+    heads = parts.groupBy("key", "n").agg(F.min(F.coalesce("times", F.lit(0))).alias("rarest")).where(F.col("n") >= 0.3 * F.col("rarest"))
+    if c.count() > MAX_WORDS or heads.count() > MAX_WORDS // 100:
+        raise ValueError("the texts have more common words or headers than every task can hold; learn from one language or archive at a time")
+    v = Vocabulary()
+    for r in c.collect():
+        v.lower[r.key] = r.n
+        v.small[r.key] = r.small
+        if r.label:
+            v.label[r.key] = r.label
+    for r in beside[0].unionByName(beside[1]).collect():
+        (v.before if r.kind == "p" else v.after)[r.key] = r.share
+    v.most = max(v.lower.values(), default=1)
+    v.add_headers([(r.n, r.key) for r in heads.select("key", "n").collect()])
+    if sample:
+        some = df.select(F.col(text).cast("string").alias("_t")).where(F.length(F.trim("_t")) > 0)
+        v.model = fit([r._t for r in some.orderBy(F.xxhash64("_t"), "_t").limit(sample).collect()], v)
+    return v
+
+
+#: What the model starts from and stays near: weights of the features of a segment.
+START = {
+    "header": 8.0, "likeness": 1.0, "ornate": 3.0, "own line": 4.0, "in a line": -6.0, "ornate in a line": 3.0, "number of the record": -8.0, "plain": 2.5, "wanted": -6.0, "wanted on both sides": -2.0, "full stop": 2.0,
+}
+
+
+@dataclass(frozen=True)
+class Model:
+    """A linear conditional model of segments: weights of features, and of the state before a segment."""
+
+    weights: Mapping[str, float] = field(default_factory=lambda: dict(START))
+    moves: Mapping[tuple[str, str], float] = field(default_factory=dict)
+
+    def score(self, part: Part) -> float:
+        return sum(self.weights[k] * x for k, x in part.features)
+
+    def move(self, before: str, kind: str) -> float:
+        return self.moves.get((before, kind), 0.0)
+
+
+def fit(texts: Sequence[str], v: Vocabulary, rounds: int = 2, hold: float = 300.0, most: float = 2.0) -> Model:
+    """Weights and moves from texts without labels: the texts are decoded, the weights that make the decoded segments
+    most likely are found, and once more. ``hold`` is how firmly weights stay near START, ``most`` the largest move."""
+    model = Model()
+    names = list(START)
+    start = np.array([START[n] for n in names])
+    split = [split_text(t) for t in texts]
+    found = [candidates(tokens, line_of, [v.act(t)[0] for t in tokens], v) for tokens, line_of in split]
+    for _ in range(rounds):
+        rows, taken, before = [], [], []
+        for (tokens, _), parts in zip(split, found, strict=True):
+            path = set(decode(len(tokens), parts, model))
+            ends = {p.end: p.kind for p in path}
+            for p in parts:
+                rows.append([dict(p.features).get(n, 0.0) for n in names])
+                taken.append(p in path)
+                before.append((ends.get(p.start, "inicio" if p.start == 0 else "cuerpo"), p.kind))
+        if not rows:
+            return model
+        x, y, w = np.array(rows), np.array(taken, float), start.copy()
+        for _ in range(8):  # Newton steps
+            p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+            grad = x.T @ (p - y) + hold * (w - start)
+            w = w - np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + hold * np.eye(len(w)), grad)
+        each, hits, kinds, kind_hits = Counter(before), Counter(b for b, t in zip(before, taken, strict=True) if t), Counter(k for _, k in before), Counter(b[1] for b, t in zip(before, taken, strict=True) if t)
+        odds = lambda k, n: np.log((k + 1) / (n - k + 1))
+        moves = {b: float(np.clip(odds(hits[b], n) - odds(kind_hits[b[1]], kinds[b[1]]), -most, most)) * n / (n + 50) for b, n in each.items()}
+        model = Model(dict(zip(names, w.tolist(), strict=True)), moves)
+    return model
 
 
 @dataclass(frozen=True)
@@ -296,7 +338,7 @@ class Part:
     start: int
     end: int
     kind: str
-    score: float
+    features: tuple[tuple[str, float], ...]
 
 
 def _is_number(token: str) -> bool:
@@ -371,7 +413,7 @@ def header_parts(tokens: Sequence[str], line_of: Sequence[int] | None, hits: Seq
                 if e < n and tokens[e] in ORNAMENTS and here(e) and line_of is not None:
                     e += 1
         done = e
-        yield Part(s, e, "encabezado", 8.0 + best[0] / 4.0)
+        yield Part(s, e, "encabezado", (("header", 1.0), ("likeness", best[0] / 4.0)))
 
 
 def _wanted(tokens: Sequence[str], i: int, v: Vocabulary) -> float:
@@ -414,12 +456,14 @@ def page_parts(tokens: Sequence[str], line_of: Sequence[int] | None, hits: Seque
             s, e, ornate = i - 1, i + 2, True
         elif i and re.fullmatch(r"(?i)p[áa@]g\.?|p\.", tokens[i - 1]):
             s, ornate = i - 1, True
-        score = 3.0 if ornate else 0.0
+        has: list[tuple[str, float]] = [("ornate", 1.0)] if ornate else []
         if line_of is not None:
             own = (s == 0 or line_of[s - 1] != line_of[s]) and (e == n or line_of[e] != line_of[e - 1])
-            score += 4.0 if own else -3.0 if ornate else -6.0
-        if i == 0 and not (ornate and n > 1 and e in begins):
-            score -= 8.0 if line_of is not None or not ornate else 0.0  # the number of the record
+            has.append(("own line" if own else "in a line", 1.0))
+            if ornate and not own:
+                has.append(("ornate in a line", 1.0))
+        if i == 0 and not (ornate and n > 1 and e in begins) and (line_of is not None or not ornate):
+            has.append(("number of the record", 1.0))
         if not ornate:
             plain = t.rstrip(".:")
             if len(plain) > 3 or (s and tokens[s - 1][-1] in HYPHENS and tokens[s - 1][:-1].isdigit()):
@@ -433,43 +477,56 @@ def page_parts(tokens: Sequence[str], line_of: Sequence[int] | None, hits: Seque
             elif t.endswith("."):
                 # a full stop does not stand before what is counted
                 counted *= 0.3
-            score += 2.5 - 6.0 * max(wanted, counted) - (2.0 if counted > 0.05 and wanted > 0.05 else 0.0)
+            has += [("plain", 1.0), ("wanted", max(wanted, counted)), ("wanted on both sides", float(counted > 0.05 and wanted > 0.05))]
             if t.endswith(".") and not follows and to < n and tokens[to][:1].islower():
-                score += 2.0
-        if score > 0.5:
-            yield Part(s, e, "pagina", score)
+                has.append(("full stop", 1.0))
+        yield Part(s, e, "pagina", tuple(has))
 
 
-def label(tokens: Sequence[str], line_of: Sequence[int] | None, flags: Sequence[int], v: Vocabulary) -> list[Part]:
-    """The best path through a text: headers and page breaks that do not overlap, the rest body."""
+def candidates(tokens: Sequence[str], line_of: Sequence[int] | None, flags: Sequence[int], v: Vocabulary) -> list[Part]:
+    """All segments of a text that may be a header or a page break, with their features."""
     parts = list(header_parts(tokens, line_of, [i for i, f in enumerate(flags) if f & HEADER], v))
-    parts += page_parts(tokens, line_of, [i for i, f in enumerate(flags) if f & NUMBER], parts, v)
+    return parts + list(page_parts(tokens, line_of, [i for i, f in enumerate(flags) if f & NUMBER], parts, v))
+
+
+def decode(n: int, parts: Sequence[Part], model: Model, least: float = 0.5) -> list[Part]:
+    """The best path through n tokens: segments that do not overlap, the rest body. A segment below ``least`` is body."""
     if not parts:
         return []
-    n = len(tokens)
-    by_end: dict[int, list[Part]] = {}
+    by_end: dict[int, list[tuple[Part, float]]] = {}
     for p in parts:
-        by_end.setdefault(p.end, []).append(p)
-    # Viterbi over positions: body costs nothing, a part brings its score
-    best = [0.0] * (n + 1)
-    step: list[Part | None] = [None] * (n + 1)
+        by_end.setdefault(p.end, []).append((p, model.score(p)))
+    # Viterbi over positions and states: body costs nothing, a segment brings its score and its move
+    best: list[dict[str, float]] = [{"inicio": 0.0}]
+    step: list[dict[str, tuple[Part, str] | str]] = [{}]
     for i in range(1, n + 1):
-        best[i] = best[i - 1]
-        for p in by_end.get(i, ()):
-            if best[p.start] + p.score > best[i]:
-                best[i], step[i] = best[p.start] + p.score, p
+        last = max(best[i - 1], key=lambda k: best[i - 1][k])
+        now: dict[str, float] = {"cuerpo": best[i - 1][last]}
+        how: dict[str, tuple[Part, str] | str] = {"cuerpo": last}
+        for p, score in by_end.get(i, ()):
+            for before, value in best[p.start].items():
+                gain = score + model.move(before, p.kind)
+                if gain > least and value + gain > now.get(p.kind, -1e9):
+                    now[p.kind], how[p.kind] = value + gain, (p, before)
+        best.append(now)
+        step.append(how)
     out: list[Part] = []
-    i = n
+    i, state = n, max(best[n], key=lambda k: best[n][k])
     while i > 0:
-        p = step[i]
-        if p is None:
-            i -= 1
+        came = step[i][state]
+        if isinstance(came, str):
+            i, state = i - 1, came
         else:
-            out.append(p)
-            i = p.start
+            out.append(came[0])
+            i, state = came[0].start, came[1]
     return out[::-1]
 
 
+def label(tokens: Sequence[str], line_of: Sequence[int] | None, flags: Sequence[int], v: Vocabulary) -> list[Part]:
+    """The headers and page breaks on the best path through a text."""
+    return decode(len(tokens), candidates(tokens, line_of, flags, v), v.model or Model())
+
+
 def split_text(text: str) -> tuple[list[str], list[int] | None]:
     """Tokens cut at white space and, where the text has lines, the line of each."""
     tokens = text.split()
@@ -519,8 +576,8 @@ def damage(text: str | None, v: Vocabulary) -> list[tuple[int, str, str]]:
                 x, y = tokens[a], core(tokens[b])
                 if not x.isalpha() or not y.isalpha() or not y[0].islower():
                     continue
-                whole = v.lower.get((x + y).lower(), 0)
-                if whole > 20 * (v.lower.get(x.lower(), 0) + v.lower.get(y.lower(), 0)) and whole > 0:
+                whole, one, two = (v.lower.get(w.lower(), 0) for w in (x + y, x, y))
+                if whole > 20 * min(one, two) + max(one, two):
                     out.append((a + 1, "corte", x.lstrip(EDGE_L) + y))
                     second = b
                     break
@@ -533,34 +590,39 @@ def damage(text: str | None, v: Vocabulary) -> list[tuple[int, str, str]]:
 def repair(text: str | None, v: Vocabulary) -> str | None:
     """The text as continuous paragraphs: without headers and page numbers, words whole and with the right letters.
 
-    Lines are joined; a blank line ends a paragraph. Null stays null.
+    The whole text is labelled at once. Lines are joined; a blank line ends a paragraph, unless a word goes on behind
+    it, or a header or page number stands there and the sentence is open. Null stays null.
     """
     if text is None:
         return None
-    paragraphs = []
-    for block in re.split(r"\n\s*\n", text):
-        tokens, line_of = split_text(block)
-        parts = label(tokens, line_of, [v.act(t)[0] for t in tokens], v)
-        drop = {k for p in parts for k in range(p.start, p.end)}
-        kept = [(k, t) for k, t in enumerate(tokens) if k not in drop]
-        cases = {p - 1: (kind, w) for p, kind, w in damage(block, v) if kind in ("corte", "letra")}
-        words, skip = [], False
-        for a, (k, t) in enumerate(kept):
-            if skip:
-                skip = False
-                continue
-            kind, w = cases.get(k, ("", ""))
-            if kind == "corte" and a + 1 < len(kept):
-                nxt = kept[a + 1][1]
-                words.append((t[:-1] if t[-1] in HYPHENS else t) + nxt)
-                skip = True
-            elif kind == "letra":
-                words.append(t.replace(core(t), w, 1))
-            else:
-                words.append(t)
-        if words:
-            paragraphs.append(" ".join(words))
-    return "\n\n".join(paragraphs)
+    spots = [(m[0], m.start(), m.end()) for m in re.finditer(r"\S+", text)]
+    tokens, line_of = split_text(text)
+    drop = {k for p in label(tokens, line_of, [v.act(t)[0] for t in tokens], v) for k in range(p.start, p.end)}
+    cases = {p - 1: (kind, w) for p, kind, w in damage(text, v) if kind in ("corte", "letra")}
+    out: list[str] = []
+    end, gone, joins = 0, False, False
+    for k, (t, a, b) in enumerate(spots):
+        if k in drop:
+            gone = True
+            continue
+        kind, w = cases.get(k, ("", ""))
+        if kind == "letra":
+            t = t.replace(core(t), w, 1)
+        if joins:
+            out.append(t)
+        elif out:
+            blank = text[end:a].count("\n") > 1 if not gone else bool(re.search(r"\n[^\S\n]*\n", text[end:a]))
+            if blank and not gone:
+                blank = bool(re.search(r"\n[^\S\n]*\n", text[end:a]))
+            open_ = gone and out[-1][-1:] not in ".?!:;»”\")" and not t[:1].isupper()
+            out.append(("\n\n" if blank and not open_ else " ") + t)
+        else:
+            out.append(t)
+        joins = kind == "corte"
+        if joins and t[-1] in HYPHENS:
+            out[-1] = out[-1][:-1]
+        end, gone = b, False
+    return "".join(out)
 
 
 def find_damage(df: DataFrame, key: str, fields: Sequence[str], v: Vocabulary) -> DataFrame:
@@ -593,14 +655,17 @@ def find_damage(df: DataFrame, key: str, fields: Sequence[str], v: Vocabulary) -
     return picked.mapInArrow(run, f"`{key}` {kt}, campo string, pos int, tipo string, palabra string")
 
 
-def repair_texts(df: DataFrame, key: str, text: str, v: Vocabulary) -> DataFrame:
-    """``key`` and ``text`` repaired, a row per row."""
-    picked = df.select(F.col(key).alias("_k"), F.col(text).cast("string").alias("_t"))
+def repair_texts(df: DataFrame, key: str, fields: Sequence[str], v: Vocabulary) -> DataFrame:
+    """``key`` and the ``fields`` repaired, a row per row."""
+    picked = df.select(F.col(key).alias("_k"), *(F.col(c).cast("string").alias(f"_f{i}") for i, c in enumerate(fields)))
     kt = picked.schema["_k"].dataType.simpleString()
     shared = share(df.sparkSession, v)
+    names = list(fields)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        voc = shared_value(shared)
         for b in batches:
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([repair(t, shared_value(shared)) for t in b.column(1).to_pylist()], pa.string())], names=[key, text])
+            fixed = [pa.array([repair(t, voc) for t in b.column(i + 1).to_pylist()], pa.string()) for i in range(len(names))]
+            yield pa.RecordBatch.from_arrays([b.column(0), *fixed], names=[key, *names])
 
-    return picked.mapInArrow(run, f"`{key}` {kt}, `{text}` string")
+    return picked.mapInArrow(run, ", ".join([f"`{key}` {kt}", *(f"`{c}` string" for c in fields)]))

@@ -10,6 +10,7 @@ the corpus. The best path is decoded, body parts are joined over what was taken
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass, field
@@ -40,6 +41,8 @@ CONFUSIONS = [
     ("\\/", "v"), ("\\/", "V"), ("vv", "w"), ("ii", "u"), ("li", "h"), ("ri", "n"), ("nn", "m"), ("G", "C"), ("O", "Q"), ("O", "D"), ("F", "P"), ("P", "F"), ("E", "F"), ("F", "E"), ("i", "l"), ("l", "i"), ("j", "i"), ("S", "5"), ("$", "s"), ("$", "S"), ("€", "e"), ("|", "l"), ("|", "I"), ("B", "8"), ("q", "g"), ("g", "q"), ("fi", "ñ"), ("ñ", "fi"), ("n", "ñ"), ("ó", "6"), ("6", "ó"), ("6", "o"), ("s", "5"), ("z", "2"), ("@", "á"), ("a", "o"), ("o", "a"),
 ]
 
+BY_SIGN = {first: [x for x in CONFUSIONS if x[0][0] == first] for first in {bad[0] for bad, _ in CONFUSIONS}}
+
 #: Shorter words are too easily one another's misreading.
 MIN_LETTERS = 5
 
@@ -78,7 +81,7 @@ class Vocabulary:
     headers: list[list[str]] = field(default_factory=list)
     bones: list[str] = field(default_factory=list)  # the letters of each header
     header_words: dict[str, tuple[bool, int]] = field(default_factory=dict)
-    acts: dict[str, tuple[int, str]] = field(default_factory=dict)
+    acts: dict[str, tuple[int, str, str]] = field(default_factory=dict)
     model: Model | None = None
     most: int = 1  # how often the most frequent word occurs; what is as rare as a part of a word may be one
 
@@ -109,18 +112,20 @@ class Vocabulary:
         small = self.small.get(low, 0)
         return small if small >= 0.1 * n else 0
 
-    def act(self, token: str) -> tuple[int, str]:
-        """What a token may be, as a sum of HYPHEN, NUMBER, HEADER and UNKNOWN, and its right form if it is misread."""
+    def act(self, token: str) -> tuple[int, str, str]:
+        """What a token may be, as a sum of HYPHEN, NUMBER, HEADER and UNKNOWN, its right form if it is misread, and its
+        letters in lower case if it has nothing else."""
         got = self.acts.get(token)
         if got is None:
-            flags, right = 0, ""
+            flags, right, low = 0, "", ""
             if len(token) > 1 and token[-1] in HYPHENS and token[-2].isalpha():
                 flags |= HYPHEN
             elif len(token) < 8 and _is_number(token):
                 flags |= NUMBER
             else:
                 w = core(token)
-                if w.isalpha() and 20 * self.lower.get(w.lower(), 0) < self.most:
+                low = w.lower() if w.isalpha() else ""
+                if low and 20 * self.lower.get(low, 0) < self.most:
                     flags |= UNKNOWN
                 right = self.mend(w) if len(w) > 1 else ""
                 bones = letters(w)
@@ -132,7 +137,7 @@ class Vocabulary:
                         if h == bones or distance(h, bones, 2) <= 1 + (size > 7):
                             flags |= HEADER
                             break
-            got = flags, right
+            got = flags, right, low
             if len(self.acts) < 500_000:
                 self.acts[token] = got
         return got
@@ -144,8 +149,8 @@ class Vocabulary:
         best = self._mended([word], word)
         if not best and not word.isalpha():
             # a second misread sign beside the first
-            once = [word[:at] + good + word[at + len(bad) :] for bad, good in CONFUSIONS for at in _places(word, bad)]
-            best = self._mended([w for w in once if sum(map(str.isalpha, w)) > sum(map(str.isalpha, word))], word)
+            once = [word[:at] + good + word[at + len(bad) :] for at, bad, good in misreadings(word) if not bad.isalpha()]
+            best = self._mended(once, word)
         return best
 
     def _mended(self, words: Sequence[str], typed: str) -> str:
@@ -153,21 +158,18 @@ class Vocabulary:
         n, odd = self.lower.get(typed.lower(), 0), not typed.isalpha()
         best, most = "", 0
         for word in words:
-            for bad, good in CONFUSIONS:
-                for at in _places(word, bad):
-                    t = word[:at] + good + word[at + len(bad) :]
-                    if len(t) >= MIN_LETTERS and t.isalpha() and t[1:].islower():
-                        k = self.form(t)
-                        if k > most and (odd or k >= 8 * n):
-                            best, most = t, k
+            for at, bad, good in misreadings(word):
+                t = word[:at] + good + word[at + len(bad) :]
+                if len(t) >= MIN_LETTERS and t.isalpha() and t[1:].islower():
+                    k = self.form(t)
+                    if k > most and (odd or k >= 8 * n):
+                        best, most = t, k
         return best
 
 
-def _places(word: str, part: str) -> Iterator[int]:
-    at = word.find(part)
-    while at >= 0:
-        yield at
-        at = word.find(part, at + 1)
+def misreadings(word: str) -> list[tuple[int, str, str]]:
+    """Where a word has what may stand for something else, what it is and what it may stand for."""
+    return [(at, bad, good) for at, c in enumerate(word) if c in BY_SIGN for bad, good in BY_SIGN[c] if word.startswith(bad, at)]
 
 
 def letters(text: str) -> str:
@@ -275,8 +277,11 @@ def learn(df: DataFrame, text: str, volume: str | None = None, cut=lambda df: df
     v.most = max(v.lower.values(), default=1)
     v.add_headers([(r.n, r.key) for r in heads.select("key", "n").collect()])
     if sample:
-        some = df.select(F.col(text).cast("string").alias("_t")).where(F.length(F.trim("_t")) > 0)
-        v.model = fit([r._t for r in some.orderBy(F.xxhash64("_t"), "_t").limit(sample).collect()], v)
+        # twice as many as needed by hash, so that no task sends more than its part of them
+        every = total.collect()[0].texts
+        draw = F.pmod(F.xxhash64("_t"), F.lit(1 << 40))
+        some = df.select(F.col(text).cast("string").alias("_t")).where((F.length(F.trim("_t")) > 0) & (draw <= F.lit(int(min(1.0, 2 * sample / max(every, 1)) * (1 << 40)))))
+        v.model = fit([r._t for r in some.orderBy(draw, "_t").limit(sample).collect()], v)
     return v
 
 
@@ -311,7 +316,7 @@ def fit(texts: Sequence[str], v: Vocabulary, rounds: int = 2, hold: float = 300.
     for _ in range(rounds):
         rows, taken, before = [], [], []
         for (tokens, _), parts in zip(split, found, strict=True):
-            path = set(decode(len(tokens), parts, model))
+            path = set(decode(parts, model))
             ends = {p.end: p.kind for p in path}
             for p in parts:
                 rows.append([dict(p.features).get(n, 0.0) for n in names])
@@ -421,7 +426,7 @@ def _wanted(tokens: Sequence[str], i: int, v: Vocabulary) -> float:
     if not i:
         return 0.0
     t = tokens[i - 1]
-    flags, right = v.act(t)
+    flags, right, _ = v.act(t)
     if flags & HEADER:
         return 0.0
     if right:
@@ -434,7 +439,7 @@ def _counted(tokens: Sequence[str], i: int, v: Vocabulary) -> float:
     if i >= len(tokens):
         return 0.0
     t = tokens[i]
-    flags, right = v.act(t)
+    flags, right, _ = v.act(t)
     if flags & HYPHEN:
         return max((x for w, x in v.after.items() if x > 0.5 and w.startswith(t[:-1])), default=0.0)
     if right:
@@ -489,42 +494,36 @@ def candidates(tokens: Sequence[str], line_of: Sequence[int] | None, flags: Sequ
     return parts + list(page_parts(tokens, line_of, [i for i, f in enumerate(flags) if f & NUMBER], parts, v))
 
 
-def decode(n: int, parts: Sequence[Part], model: Model, least: float = 0.5) -> list[Part]:
-    """The best path through n tokens: segments that do not overlap, the rest body. A segment below ``least`` is body."""
-    if not parts:
-        return []
-    by_end: dict[int, list[tuple[Part, float]]] = {}
-    for p in parts:
-        by_end.setdefault(p.end, []).append((p, model.score(p)))
-    # Viterbi over positions and states: body costs nothing, a segment brings its score and its move
-    best: list[dict[str, float]] = [{"inicio": 0.0}]
-    step: list[dict[str, tuple[Part, str] | str]] = [{}]
-    for i in range(1, n + 1):
-        last = max(best[i - 1], key=lambda k: best[i - 1][k])
-        now: dict[str, float] = {"cuerpo": best[i - 1][last]}
-        how: dict[str, tuple[Part, str] | str] = {"cuerpo": last}
-        for p, score in by_end.get(i, ()):
-            for before, value in best[p.start].items():
-                gain = score + model.move(before, p.kind)
-                if gain > least and value + gain > now.get(p.kind, -1e9):
-                    now[p.kind], how[p.kind] = value + gain, (p, before)
-        best.append(now)
-        step.append(how)
+def decode(parts: Sequence[Part], model: Model, least: float = 0.5) -> list[Part]:
+    """The best path through a text: segments that do not overlap, the rest body. A segment below ``least`` is body."""
+    # Viterbi over the ends of segments and their states: body between them costs nothing
+    best: list[tuple[float, Part | None, int]] = [(0.0, None, -1)]  # value, segment, the path before it
+    upto: list[int] = [0]  # the best path among those so far
+    ends: list[int] = [0]
+    at_end: dict[int, list[int]] = {}
+    for p in sorted(parts, key=lambda p: (p.end, p.start)):
+        score = model.score(p)
+        far = upto[bisect_left(ends, p.start) - 1] if p.start else 0
+        options = [(far, "inicio" if p.start == 0 else "cuerpo"), *((k, best[k][1].kind) for k in at_end.get(p.start, ()))]
+        gains = [(best[k][0] + score + model.move(before, p.kind), score + model.move(before, p.kind), k) for k, before in options]
+        gains = [g for g in gains if g[1] > least]
+        if gains:
+            value, _, k = max(gains, key=lambda g: (g[0], -g[2]))
+            best.append((value, p, k))
+            at_end.setdefault(p.end, []).append(len(best) - 1)
+            upto.append(len(best) - 1 if value > best[upto[-1]][0] else upto[-1])
+            ends.append(p.end)
     out: list[Part] = []
-    i, state = n, max(best[n], key=lambda k: best[n][k])
-    while i > 0:
-        came = step[i][state]
-        if isinstance(came, str):
-            i, state = i - 1, came
-        else:
-            out.append(came[0])
-            i, state = came[0].start, came[1]
+    k = upto[-1]
+    while k > 0:
+        _, p, k = best[k]
+        out.append(p)
     return out[::-1]
 
 
 def label(tokens: Sequence[str], line_of: Sequence[int] | None, flags: Sequence[int], v: Vocabulary) -> list[Part]:
     """The headers and page breaks on the best path through a text."""
-    return decode(len(tokens), candidates(tokens, line_of, flags, v), v.model or Model())
+    return decode(candidates(tokens, line_of, flags, v), v.model or Model())
 
 
 def split_text(text: str) -> tuple[list[str], list[int] | None]:
@@ -554,8 +553,12 @@ def damage(text: str | None, v: Vocabulary) -> list[tuple[int, str, str]]:
             gone[k] = 1
     n = len(tokens)
     second = -1
-    for i, (f, right) in enumerate(acts):
-        if (not f and not right) or gone[i] or i == second:
+    # divided without a mark: the halves are rare, the whole is not
+    plain = [a[2] for a in acts]
+    lower = v.lower
+    halves = {i for i, (x, y) in enumerate(zip(plain, plain[1:], strict=False)) if x and y and x + y in lower}
+    for i, (f, right, x) in enumerate(acts):
+        if gone[i] or i == second:
             continue
         if f & HYPHEN:
             t = tokens[i]
@@ -567,22 +570,14 @@ def damage(text: str | None, v: Vocabulary) -> list[tuple[int, str, str]]:
                 if rest and not (t[-1] in "-‐‑–" and rest[:1].isupper() and not first[-1:].isupper()):
                     out.append((i + 1, "corte", first + rest))
                     second = j
-        elif f & UNKNOWN and not right:
-            # divided without a mark: the halves are no words, the whole is one
-            for a in (i, i - 1):
-                b = a + 1
-                if a < 0 or b >= n or gone[a] or gone[b] or a == second or (line_of is not None and line_of[a] == line_of[b]):
-                    continue
-                x, y = tokens[a], core(tokens[b])
-                if not x.isalpha() or not y.isalpha() or not y[0].islower():
-                    continue
-                whole, one, two = (v.lower.get(w.lower(), 0) for w in (x + y, x, y))
-                if whole > 20 * min(one, two) + max(one, two):
-                    out.append((a + 1, "corte", x.lstrip(EDGE_L) + y))
-                    second = b
-                    break
         elif right:
             out.append((i + 1, "letra", right))
+        elif i in halves and not gone[i + 1] and not (line_of is not None and line_of[i] == line_of[i + 1]):
+            y = core(tokens[i + 1])
+            one, two = lower.get(x, 0), lower.get(y.lower(), 0)
+            if tokens[i].isalpha() and y[0].islower() and lower[x + y] > 20 * min(one, two) + max(one, two):
+                out.append((i + 1, "corte", tokens[i] + y))
+                second = i + 1
     out.sort()
     return out
 

@@ -76,9 +76,9 @@ def test_decoded_states(voc):
     parts = label(tokens, line_of, [voc.act(t)[0] for t in tokens], voc)
     assert [(p.start, p.kind) for p in parts] == [(3, "pagina"), (6, "encabezado")]
     found = candidates(tokens, line_of, [voc.act(t)[0] for t in tokens], voc)
-    assert decode(len(tokens), found, Model({**START, "ornate": -9.0, "own line": -9.0, "header": 0.0, "likeness": 0.0})) == []
+    assert decode(found, Model({**START, "ornate": -9.0, "own line": -9.0, "header": 0.0, "likeness": 0.0})) == []
     far = Model(START, {("pagina", "encabezado"): -99.0})
-    assert [p.kind for p in decode(len(tokens), found, far)] == ["encabezado"]
+    assert [p.kind for p in decode(found, far)] == ["encabezado"]
 
 
 def test_fit_moves_weights(corpus, voc):

@@ -575,7 +575,7 @@ def damage(text: str | None, v: Vocabulary) -> list[tuple[int, str, str]]:
         elif i in halves and not gone[i + 1] and not (line_of is not None and line_of[i] == line_of[i + 1]):
             y = core(tokens[i + 1])
             one, two = lower.get(x, 0), lower.get(y.lower(), 0)
-            if tokens[i].isalpha() and y[0].islower() and lower[x + y] > 20 * min(one, two) + max(one, two):
+            if tokens[i].isalpha() and y[0].islower() and lower[x + y.lower()] > 20 * min(one, two) + max(one, two):
                 out.append((i + 1, "corte", tokens[i] + y))
                 second = i + 1
     out.sort()

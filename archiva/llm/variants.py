@@ -23,8 +23,10 @@ from archiva.functions.names import distance, fold
 from archiva.operators.packed import scan
 from archiva.session import share, shared_value
 
-#: A surname of this share of all surnames is frequent; so there are at most 1 / MIN_SHARE frequent ones.
-MIN_SHARE = 2e-5
+#: A surname can be the right form of others from this weight, whatever else is loaded.
+MIN_COUNT = 3
+#: Surnames are as many as people have; more than this is refused rather than broadcast.
+MAX_SURNAMES = 2_000_000
 
 # Titles that stand before a name.
 TITLES = names.HONORIFICS | frozenset("ldo lcdo lic licdo dona br bach fr dr da dna dn sr sra el la los las jurado ilustre señor senor muy mag magnifico honrado".split())
@@ -120,7 +122,7 @@ def parse(text: str) -> Name | None:
     company = names.is_company(re.sub(r"^\s*(?:la|dicha)\s+", "", t, flags=re.I)) or "&" in words or (bool(folded) and len(folded[-1]) > 5 and distance(folded[-1], "compania", 2) <= 2)
     if company:
         s = [f for w, f in zip(words, folded, strict=True) if f not in names.PARTICLES and w not in "&,-" and f not in ("cia", "comp", "dicha") and not (len(f) > 5 and distance(f, "compania", 2) <= 2)]
-        return Name("c", (), tuple(s[:2]), "") if s else None
+        return Name("c", (), tuple(s), "") if s else None
     if "," in words:
         k = words.index(",")
         words = words[k + 1 :] + words[:k]
@@ -158,7 +160,7 @@ def parse(text: str) -> Name | None:
     surnames = tuple(s for s in surnames if len(s) > 1)
     if not surnames:
         return None
-    return Name("p", tuple(givens), surnames[:3], gen)
+    return Name("p", tuple(givens), surnames, gen)
 
 
 @dataclass
@@ -253,56 +255,23 @@ def rank(key: str, name: Name, n: int) -> tuple:
     return sure, len(name.surnames), n, [-ord(c) for c in key]
 
 
-def attach(forms: Iterable[tuple[str, int]]) -> Iterator[tuple[str, str, float]]:
-    """Of the signatures of one block with their frequencies: signature, form it is attached to, posterior.
+def attach(forms: Iterable[tuple[str, int]]) -> Iterator[tuple[str, str, float, int, bool, bool]]:
+    """For each signature of one block, with its frequency, the two forms of the highest posterior: signature, form,
+    posterior, frequency, whether it lacks a surname of the form, and whether it has initials or abbreviations.
 
     Equal posteriors go to the first key in code point order.
     """
-    parsed = [(k, n, Name.of(k)) for k, n in forms]
-    by_given: dict[str, list[tuple[str, int, Name, tuple]]] = defaultdict(list)
-    for k, n, name in parsed:
-        for g in name.givens[0] if name.givens else ("",):
-            by_given[g].append((k, n, name, rank(k, name, n)))
-    for k, n, v in parsed:
-        mine = rank(k, v, n)
-        scores: dict[str, float] = {}
-        forms_by: dict[str, Name] = {}
-        for g in v.givens[0] if v.givens else ("",):
-            for k2, n2, c, other in by_given[g]:
-                if k2 != k and k2 not in scores and other > mine:
-                    p = likelihood(v, c) * n2
-                    if p > 0:
-                        scores[k2], forms_by[k2] = p, c
-        if not scores:
-            continue
-        best = min(scores, key=lambda x: (-scores[x], x))
-        second = max((p for x, p in scores.items() if x != best), default=0.0)
-        if accepted(v, forms_by[best], n, scores[best], second):
-            yield k, best, scores[best]
-
+    parsed = [(k, n, name, rank(k, name, n)) for k, n in forms for name in [Name.of(k)]]
+    for k, n, v, mine in parsed:
+        scores = [(p, k2, c) for k2, n2, c, other in parsed if other > mine and (p := likelihood(v, c) * n2) > 0]
+        for p, k2, c in sorted(scores, key=lambda x: (-x[0], x[1]))[:2]:
+            yield k, k2, p, n, len(v.surnames) < len(c.surnames), any(len(g) > 1 for g in v.givens)
 
-def accepted(v: Name, c: Name, n: int, posterior: float, second: float) -> bool:
-    """Whether the best form explains a spelling better than a person of that very name would."""
-    if len(v.surnames) < len(c.surnames):
-        return second < 0.5 * posterior  # a surname is left out where it is clear who is meant
-    if any(len(g) > 1 for g in v.givens):
-        return True  # initials and abbreviations are never a form of their own
-    return posterior >= 0.02 * n
 
-
-def surname_counts(nodes: DataFrame, name: str, weight: str) -> DataFrame:
-    """surname, n: how often each word stands as a surname, by weight; spellings that hold several names are left out."""
-    picked = nodes.select(F.col(name).cast("string").alias("_v"), F.coalesce(F.col(weight).cast("bigint"), F.lit(1)).alias("_w"))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            total: Counter[str] = Counter()
-            for i, n in _single(b.column(0)):
-                for s in n.surnames:
-                    total[s] += b.column(1)[i].as_py()
-            yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.string()), pa.array(list(total.values()), pa.int64())], names=["surname", "n"])
-
-    return picked.mapInArrow(run, "surname string, n bigint").groupBy("surname").agg(F.sum("n").alias("n"))
+def surname_counts(parsed: DataFrame) -> DataFrame:
+    """surname, n: how often each word stands as a surname, by weight."""
+    word = F.explode(F.split(F.split("_key", "\t").getItem(2), " "))
+    return parsed.select("_n", word.alias("surname")).groupBy("surname").agg(F.sum("_n").alias("n"))
 
 
 def _single(column: pa.Array) -> Iterator[tuple[int, Name]]:
@@ -316,64 +285,93 @@ def _single(column: pa.Array) -> Iterator[tuple[int, Name]]:
             yield i, n
 
 
-def signatures(nodes: DataFrame, key: str, group: str, name: str, weight: str, surnames: Surnames) -> DataFrame:
-    """_id, _group, _key, _n of the rows that name exactly one person or company."""
+def parsed_names(nodes: DataFrame, key: str, group: str, name: str, weight: str) -> DataFrame:
+    """_id, _group, _key, _n of the rows that name exactly one person or company; _key has the parts of the name as typed."""
     picked = nodes.select(F.col(key).alias("_id"), F.col(group).alias("_group"), F.col(name).cast("string").alias("_v"), F.coalesce(F.col(weight).cast("bigint"), F.lit(1)).alias("_n"))
     types = {f.name: f.dataType.simpleString() for f in picked.schema.fields}
-    shared = share(nodes.sparkSession, surnames)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = shared_value(shared)
         for b in batches:
-            rows, keys = [], []
-            for i, n in _single(b.column(2)):
-                rows.append(i)
-                keys.append(Name(n.kind, n.givens, tuple(known.read(s) for s in n.surnames), n.generation).key())
-            t = b.take(pa.array(rows, pa.int64()))
-            yield pa.RecordBatch.from_arrays([t.column(0), t.column(1), pa.array(keys, pa.string()), t.column(3)], names=["_id", "_group", "_key", "_n"])
+            found = list(_single(b.column(2)))
+            t = b.take(pa.array([i for i, _ in found], pa.int64()))
+            yield pa.RecordBatch.from_arrays([t.column(0), t.column(1), pa.array([n.key() for _, n in found], pa.string()), t.column(3)], names=["_id", "_group", "_key", "_n"])
 
     return picked.mapInArrow(run, f"_id {types['_id']}, _group {types['_group']}, _key string, _n bigint")
 
 
+def signatures(parsed: DataFrame, surnames: Surnames) -> DataFrame:
+    """``parsed`` with every surname read as the one it must be."""
+    shared = share(parsed.sparkSession, surnames)
+    types = {f.name: f.dataType.simpleString() for f in parsed.schema.fields}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = shared_value(shared)
+        for b in batches:
+            keys = []
+            for k in b.column(2).to_pylist():
+                kind, givens, words, generation = k.split("\t")
+                keys.append("\t".join([kind, givens, " ".join(map(known.read, words.split())), generation]))
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(keys, pa.string()), b.column(3)], names=b.schema.names)
+
+    return parsed.mapInArrow(run, f"_id {types['_id']}, _group {types['_group']}, _key string, _n bigint")
+
+
 def link(signed: DataFrame, cut=lambda df: df) -> DataFrame:
-    """_group, _key, _root: the canonical form of each signature of each group.
+    """_group, _key, _root: the canonical form of each signature of each group that has another one.
 
-    Signatures meet in blocks of one group and surname; a block holds different spellings only, however often each
-    occurs. What a signature is attached to may itself be attached; three rounds of pointer jumping follow chains of up
-    to eight links, and chains are at most as long as the ranks of forms differ.
+    Signatures meet in blocks of one group, surname and first given name (all it may stand for); a block holds
+    different spellings only, however often each occurs. What a signature is attached to may itself be attached; roots
+    are followed, twice as far each round, until none changes.
     """
     forms = signed.groupBy("_group", "_key").agg(F.sum("_n").alias("_n"))
-    blocks = forms.withColumn("_block", F.explode(F.array_distinct(F.split(F.split("_key", "\t").getItem(2), " "))))
+    parts = F.split("_key", "\t")
+    first = F.split(F.split(parts.getItem(1), r"\|").getItem(0), "/")
+    blocks = forms.withColumn("_surname", F.explode(F.array_distinct(F.split(parts.getItem(2), " ")))).withColumn("_given", F.explode(first))
     gt = signed.schema["_group"].dataType.simpleString()
+    by = ["_group", "_surname", "_given"]
 
     def run(table: pa.Table) -> pa.Table:
         keys, n = table.column("_key").to_pylist(), table.column("_n").to_pylist()
         found = list(attach(sorted(zip(keys, n, strict=True))))
-        first = table.column("_group").combine_chunks().take(pa.array([0] * len(found), pa.int64())) if found else table.column("_group").combine_chunks().slice(0, 0)
-        return pa.table([first, pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.string()), pa.array([f[2] for f in found], pa.float64())], names=["_group", "_key", "_to", "_p"])
-
-    # a surname that occurs in one form only links nothing
-    size = blocks.groupBy("_group", "_block").agg(F.count("*").alias("_size")).where(F.col("_size") > 1)
-    same = F.col("l._group").eqNullSafe(F.col("r._group")) & (F.col("l._block") == F.col("r._block"))
+        groups = table.column("_group").combine_chunks()
+        first = groups.take(pa.array([0] * len(found), pa.int64())) if found else groups.slice(0, 0)
+        cols = list(zip(*found, strict=True)) or [()] * 6
+        kinds = [pa.string(), pa.string(), pa.float64(), pa.int64(), pa.bool_(), pa.bool_()]
+        return pa.table([first, *(pa.array(c, k) for c, k in zip(cols, kinds, strict=True))], names=["_group", "_key", "_to", "_p", "_n", "_short", "_loose"])
+
+    # what occurs in one form only links nothing
+    size = blocks.groupBy(*by).agg(F.count("*").alias("_size")).where(F.col("_size") > 1)
+    same = F.col("l._group").eqNullSafe(F.col("r._group")) & (F.col("l._surname") == F.col("r._surname")) & (F.col("l._given") == F.col("r._given"))
     dense = blocks.alias("l").join(size.alias("r"), same, "left_semi")
-    links = dense.groupBy("_group", "_block").applyInArrow(run, f"_group {gt}, _key string, _to string, _p double")
-    to = cut(links.groupBy("_group", "_key").agg(F.max_by("_to", F.struct("_p", "_to")).alias("_root")))
-    for _ in range(3):
+    found = dense.groupBy(*by).applyInArrow(run, f"_group {gt}, _key string, _to string, _p double, _n bigint, _short boolean, _loose boolean")
+    # of several blocks that a signature is in, the best form and the best of the others
+    ranked = found.groupBy("_group", "_key").agg(F.array_sort(F.collect_set(F.struct((-F.col("_p")).alias("q"), F.col("_to").alias("to"), F.col("_n").alias("n"), F.col("_short").alias("short"), F.col("_loose").alias("loose")))).alias("c"))
+    best, second = F.col("c")[0], F.get(F.col("c"), F.lit(1))
+    p, other = -best["q"], F.coalesce(-second["q"], F.lit(0.0))
+    # a surname is left out where it is clear who is meant; initials are never a form of their own; else the form must
+    # explain a spelling better than a person of that very name would
+    accepted = F.when(best["short"], other < 0.5 * p).when(best["loose"], True).otherwise(p >= 0.02 * best["n"])
+    to = cut(ranked.where(accepted).select("_group", "_key", best["to"].alias("_root")))
+    while True:
         same = F.col("l._group").eqNullSafe(F.col("r._group")) & (F.col("l._root") == F.col("r._key"))
-        to = to.alias("l").join(to.alias("r"), same, "left").select("l._group", "l._key", F.coalesce("r._root", "l._root").alias("_root"))
-    return to
+        far = cut(to.alias("l").join(to.alias("r"), same, "left").select("l._group", "l._key", F.coalesce("r._root", "l._root").alias("_root"), F.col("r._root").isNotNull().alias("_moved")))
+        to = far.drop("_moved")
+        if not far.where("_moved").head(1):
+            return to
 
 
-def linked_nodes(nodes: DataFrame, key: str, group: str, name: str, weight: str, cut=lambda df: df, min_share: float = MIN_SHARE) -> DataFrame:
+def linked_nodes(nodes: DataFrame, key: str, group: str, name: str, weight: str, cut=lambda df: df, min_count: int = MIN_COUNT) -> DataFrame:
     """``key``, ``group``, entidad, canonica: the class of each row that names exactly one person or company.
 
     Rows with several names, or none, are left out; null weights count 1; null groups are a group. ``cut`` may
-    checkpoint what is used several times. Only frequent surnames come to the driver, at most 1 / min_share of them.
+    checkpoint what is used several times. Surnames of ``min_count`` come to the driver; their number is checked.
     """
-    counts = cut(surname_counts(nodes, name, weight))
-    total = counts.agg(F.sum("n")).collect()[0][0] or 0
-    frequent = counts.where(F.col("n") >= F.lit(min_share * total)).collect()
-    signed = cut(signatures(nodes, key, group, name, weight, Surnames.build({r.surname: r.n for r in frequent})))
+    parsed = cut(parsed_names(nodes, key, group, name, weight))
+    counts = surname_counts(parsed).where(F.col("n") >= min_count)
+    frequent = counts.limit(MAX_SURNAMES + 1).collect()
+    if len(frequent) > MAX_SURNAMES:
+        raise ValueError("more surnames than every task can hold; link the groups in parts")
+    signed = cut(signatures(parsed, Surnames.build({r.surname: r.n for r in frequent})))
     roots = link(signed, cut)
     same = F.col("l._group").eqNullSafe(F.col("r._group")) & (F.col("l._key") == F.col("r._key"))
     root = F.coalesce("r._root", "l._key")

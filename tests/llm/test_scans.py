@@ -45,7 +45,7 @@ def test_learn(voc):
     ("Ana de Soto\n— 45 —\nreconoce deber", [(4, "pagina", "")]), ("Ana de Soto reconoce [45] deber", [(5, "pagina", "")]), ("Ana de Soto pág. 45 reconoce", [(4, "pagina", "")]),
     ("la suma de 30 ducados", []), (f"Ana de Soto\n{HEADER} 45\nreconoce deber", [(4, "encabezado", "")]), ("Ana de ARCHlVO DE LA VlLLA ROTA Soto", [(3, "encabezado", "")]),
     (f"Ana de reco- {HEADER} 9 noce deber", [(3, "corte", "reconoce"), (4, "encabezado", "")]), (f"Ana de Soto\n45\n{HEADER}\nreconoce", [(4, "pagina", ""), (5, "encabezado", "")]),
-    ("años 1523-\n1524", []), ("x " * 30_000, []), ("Ana r\nEconoce y r\neConoce deber", [(4, "corte", "reConoce")]),
+    ("años 1523-\n1524", []), ("x " * 30_000, []), ("Ana r\neConoce deber\nr\nEconoce", [(2, "corte", "reConoce")]),
 ])
 def test_damage(voc, text, want):
     assert damage(text, voc) == want

@@ -47,12 +47,41 @@ def key(text):
 
 def test_attach():
     forms = [(key("Domingo Quintaguijo"), 50), (key("Diego Quintaguijo"), 3), (key("D. Quintaguijo"), 2), (key("Ana Quintaguijo Montellana"), 9), (key("Ana Quintaguijo"), 1), (key("Ana Quintaguijo el Mozo"), 4)]
-    got = {k: to for k, to, _ in attach(forms)}
-    assert got == {key("D. Quintaguijo"): key("Domingo Quintaguijo"), key("Ana Quintaguijo"): key("Ana Quintaguijo Montellana")}
+    got = {}
+    for k, to, *_ in attach(forms):
+        got.setdefault(k, []).append(to)
+    assert got == {key("D. Quintaguijo"): [key("Domingo Quintaguijo"), key("Diego Quintaguijo")], key("Ana Quintaguijo"): [key("Ana Quintaguijo Montellana")]}
     assert list(attach([])) == []
     assert Name.of(key("D. Quintaguijo el Mozo")).key() == key("D. Quintaguijo el Mozo")
 
 
+def test_all_names_count():
+    """Companies that differ in the third partner, and persons in the fourth surname, are different."""
+    assert key("Compañía de Zarzafresno, Vela y Soto") != key("Compañía de Zarzafresno, Vela y Montes")
+    assert key("Ana Soto Vela Ruano Montes") != key("Ana Soto Vela Ruano Oliva")
+
+
+def groups(spark, rows):
+    df = spark.createDataFrame(rows, "nodo_id long, run_id string, persona string, frecuencia long")
+    return {r.nodo_id: r.canonica for r in linked_nodes(df, "nodo_id", "run_id", "persona", "frecuencia").collect()}
+
+
+def test_other_runs_change_nothing(spark):
+    mine = [(1, "r1", "Juan de Quintaguijo", 20), (2, "r1", "Juan de Quintagijo", 1), (3, "r1", "J. Quintaguijo", 1), (4, "r1", "Ana Zarzafresno", 20), (5, "r1", "Ana Zarzafrezno", 1)]
+    other = [(100 + k, f"s{k % 7}", f"Pedro de {a}{b}ero", 40) for k, (a, b) in enumerate(itertools.product(["Mon", "Val", "Cam", "Ribe", "Sal"], ["te", "ca", "mo", "lu", "ri", "pa"]))]
+    alone = groups(spark, mine)
+    assert alone[1] == alone[2] == alone[3] != alone[4] == alone[5]
+    more = groups(spark, mine + other)
+    assert {k: more[k] for k in alone} == alone
+
+
+def test_long_chains(spark):
+    """Links are followed to their end, however many there are."""
+    rows = [(k, "r", " ".join(["Ana", "Quintaguijo", *["Vela", "Ruano", "Montes", "Oliva", "Lobo", "Prado", "Salas", "Rojas", "Campos", "Torres", "Pinto"][:k]]), 3**k) for k in range(12)]
+    got = groups(spark, rows)
+    assert len(set(got.values())) == 1
+
+
 def test_frames(spark):
     people = {
         1: ["Juan de Quintaguijo", "Quintaguijo, Juan de", "J. Quintaguijo", "Juan de Quintagijo", '"Juan de Quintaguijo"'], 2: ["Ana Zarzafresno de Montellana", "Ana Zarzafresno"], 3: ["Ana Zarzafresno el Mozo"],

@@ -241,9 +241,9 @@ def volume_code(c: Column) -> Column:
     digits = F.regexp_extract(c, r"(\d+)$", 1)
     numeral = roman(F.substring_index(F.regexp_replace(c, " ", "_"), "_", -1))
     number = F.coalesce(F.nullif(digits, F.lit("")).try_cast("int"), numeral, F.lit(0))
-    return F.lpad(number.cast("string"), 2, "0")
+    return F.format_string("%02d", number)
 
 
 def record_code(number: Column, position: Column) -> Column:
-    """Four digits of a record: its number, else its place."""
-    return F.format_string("%04d", F.coalesce(number, position).cast("long"))
+    """At least four digits of a record: its number, else its place in its volume."""
+    return F.format_string("%04d", F.when(number >= 0, number).otherwise(position).cast("long"))

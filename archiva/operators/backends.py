@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from typing import Protocol
 
 import pyarrow as pa
@@ -38,8 +38,12 @@ class Stub:
 class Http:
     """A model behind a web address: one JSON request per input, the answer taken out of the reply."""
 
-    def __init__(self, url: str, body: Callable[[object], dict], read: Callable[[dict], str | None], check: str | None = None, seconds: float = 300.0) -> None:
-        self.url, self.body, self.read, self.check, self.seconds = url, body, read, check, seconds
+    def __init__(
+        self, url: str, body: Callable[[object], dict], read: Callable[[dict], str | None], check: str | None = None, seconds: float = 300.0, headers: Mapping[str, str] | None = None, key_variable: str | None = None
+    ) -> None:
+        """``headers`` go with each request; ``key_variable`` names the environment variable that holds a bearer key, which
+        is read where the request is made, so that no plan or log has it."""
+        self.url, self.body, self.read, self.check, self.seconds, self.headers, self.key_variable = url, body, read, check, seconds, dict(headers or {}), key_variable
 
     def available(self) -> bool:
         """Whether the check address answers within five seconds."""
@@ -53,18 +57,23 @@ class Http:
 
     def run(self, inputs: Sequence) -> list[str | None]:
         import json
+        import os
         from urllib.request import Request, urlopen
 
         out = []
         for x in inputs:
-            ask = Request(self.url, json.dumps(self.body(x)).encode(), {"Content-Type": "application/json"})
+            key = {"Authorization": f"Bearer {os.environ[self.key_variable]}"} if self.key_variable else {}
+            ask = Request(self.url, json.dumps(self.body(x)).encode(), {"Content-Type": "application/json", **self.headers, **key})
             with urlopen(ask, timeout=self.seconds) as r:
                 out.append(self.read(json.load(r)))
         return out
 
 
 def infer(df: DataFrame, inputs: str, factory: Callable[[], Backend], out: str, tries: int = 2) -> DataFrame:
-    """``df`` with the backend's answer to ``inputs``; null inputs are not sent, an error after ``tries`` gives null."""
+    """``df`` with the backend's answer to ``inputs``; null inputs are not sent.
+
+    If a batch fails, its inputs are sent one by one, each up to ``tries`` times; only those that fail then are null.
+    """
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -73,13 +82,17 @@ def infer(df: DataFrame, inputs: str, factory: Callable[[], Backend], out: str,
             xs = b.column(b.schema.names.index(inputs)).to_pylist()
             at = [i for i, x in enumerate(xs) if x is not None]
             answers: list[str | None] = [None] * len(xs)
-            for _ in range(tries):
-                try:
-                    for i, a in zip(at, model.run([xs[i] for i in at]), strict=True):
-                        answers[i] = a
-                    break
-                except Exception:  # noqa: BLE001 - a model may fail in any way; the rows stay unanswered
-                    continue
+            try:
+                for i, a in zip(at, model.run([xs[i] for i in at]), strict=True):
+                    answers[i] = a
+            except Exception:  # noqa: BLE001 - a model may fail in any way; what fails by itself stays unanswered
+                for i in at:
+                    for _ in range(tries):
+                        try:
+                            (answers[i],) = model.run([xs[i]])
+                            break
+                        except Exception:  # noqa: BLE001
+                            continue
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(answers, pa.string())], names=[*b.schema.names, out])
 
     return df.mapInArrow(run, f"{schema}, `{out}` string")

@@ -20,11 +20,13 @@ def first_of(df: DataFrame, key: str, order: str) -> DataFrame:
     return df.withColumn("_r", F.row_number().over(W.partitionBy(key).orderBy(order))).where("_r = 1").drop("_r")
 
 
-def compare(a: DataFrame, b: DataFrame, key: str, text: str = "text", seconds: str = "tiempo_s") -> DataFrame:
-    """A row per page of ``a``: figures of both outputs (v1_, v2_), their similarity and differences."""
+def compare(a: DataFrame, b: DataFrame, key: str, text: str = "text", seconds: str = "tiempo_s", similarity: bool = True) -> DataFrame:
+    """A row per page of ``a``: figures of both outputs (v1_, v2_), their differences and, if wanted, their similarity,
+    which takes time by the product of the lengths."""
     side = lambda d, s: d.select(key, F.col(text).alias(f"{s}_text"), F.col(seconds).alias(f"{s}_tiempo_s"), output_metrics(F.col(text)).alias(f"_{s}")).select(key, f"{s}_text", f"{s}_tiempo_s", *(F.col(f"_{s}.{c}").alias(f"{s}_{c}") for c in ("chars", "lineas", "ratio_alfa", "valido", "flags")))
     j = side(a, "v1").join(side(b, "v2"), key, "left")
-    return with_similarity(j, "v1_text", "v2_text", "similitud_v1_v2").withColumns({"delta_chars": F.col("v2_chars") - F.col("v1_chars"), "delta_tiempo": F.col("v2_tiempo_s") - F.col("v1_tiempo_s")}).drop("v1_text", "v2_text")
+    j = with_similarity(j, "v1_text", "v2_text", "similitud_v1_v2") if similarity else j
+    return j.withColumns({"delta_chars": F.col("v2_chars") - F.col("v1_chars"), "delta_tiempo": F.col("v2_tiempo_s") - F.col("v1_tiempo_s")}).drop("v1_text", "v2_text")
 
 
 def means(outputs: DataFrame, model: str = "modelo") -> DataFrame:

@@ -17,21 +17,30 @@ def islands(df: DataFrame, kind: str = "class_name", chunk: Sequence[str] = ("to
     """``df`` with ``island``, the number of the record of each box, from 1 in the order of ORDER.
 
     A continuation that is the first box of its page joins the record before it, also across volumes; every other box
-    begins one. The running number over the whole table is made of a count per page and the sum of the pages before,
-    so boxes are only sorted within their page; the sum runs over one row per page.
+    begins one. The running number over the whole table is made of a count per page, the sum of the pages before in the
+    volume and the sum of the volumes before, so boxes are only sorted within their page, and what runs over all is one row
+    per volume.
     """
-    joins = (F.coalesce(F.col(kind), F.lit("")) == "continuacion") & (F.col("sort_idx") == 1)
-    d = df.withColumn("_new", F.when(joins, 0).otherwise(1))
-    pages = d.groupBy(*chunk).agg(F.sum("_new").alias("_n"))
-    before = W.orderBy(*chunk).rowsBetween(W.unboundedPreceding, -1)
-    pages = pages.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
     # the very first box opens a record whatever it is
-    pages = pages.withColumn("_first", F.row_number().over(W.orderBy(*chunk)) == 1)
+    first = df.agg(F.min(F.struct(*chunk)).alias("_first"))
+    joins = (F.coalesce(F.col(kind), F.lit("")) == "continuacion") & (F.col("sort_idx") == 1) & ~F.struct(*chunk).eqNullSafe(F.col("_first"))
+    d = df.crossJoin(F.broadcast(first)).withColumn("_new", F.when(joins, 0).otherwise(1)).drop("_first")
+    pages = d.groupBy(*chunk).agg(F.sum("_new").alias("_n"))
+    # one row per page within a volume, one row per volume over all
+    volume, rest = chunk[0], list(chunk[1:])
+    volumes = pages.groupBy(volume).agg(F.sum("_n").alias("_v"))
+    volumes = volumes.select(F.col(volume).alias("_volume"), F.coalesce(F.sum("_v").over(W.orderBy(volume).rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("_volumes"))
+    if rest:
+        before = W.partitionBy(volume).orderBy(*rest).rowsBetween(W.unboundedPreceding, -1)
+        pages = pages.withColumn("_pages", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+    else:
+        pages = pages.withColumn("_pages", F.lit(0))
+    pages = pages.join(volumes, F.col(volume).eqNullSafe(F.col("_volume"))).select(*chunk, (F.col("_pages") + F.col("_volumes")).alias("_before"))
     within = W.partitionBy(*chunk).orderBy("sort_idx").rowsBetween(W.unboundedPreceding, 0)
     d = d.withColumn("_in", F.sum("_new").over(within))
     on = [F.col(f"d.{c}").eqNullSafe(F.col(f"p.{c}")) for c in chunk]
     j = d.alias("d").join(pages.alias("p"), on[0] & on[1] if len(on) > 1 else on[0])
-    return j.select("d.*", F.greatest(F.col("_before") + F.col("_in"), F.lit(1)).alias("island")).drop("_new", "_in")
+    return j.select("d.*", (F.col("_before") + F.col("_in")).alias("island")).drop("_new", "_in")
 
 
 def group_records(df: DataFrame, text: str = "ocr_text_clean", kind: str = "class_name") -> DataFrame:
@@ -54,7 +63,10 @@ def page_texts(df: DataFrame, text: str, sep: str = "\n") -> DataFrame:
 
 
 def stitch(pages: Column) -> Column:
-    """Ordered pages as one text: a word divided over a page end is made whole, an open sentence goes on, else a blank line."""
+    """Ordered pages as one text: a word divided over a page end is made whole, an open sentence goes on, else a blank line.
+
+    A single page stays as it is.
+    """
     full = F.filter(F.transform(pages, strip), lambda p: p != "")
 
     def step(acc: Column, p: Column) -> Column:
@@ -63,12 +75,13 @@ def stitch(pages: Column) -> Column:
         open_ = ~last.isin(".", "?", "!", ":", ";", ")")
         return F.when(acc == "", p).when(last == "-", F.concat(cut, p)).when(open_, F.concat(acc, F.lit(" "), p)).otherwise(F.concat(acc, F.lit("\n\n"), p))
 
-    return F.aggregate(full, F.lit(""), step)
+    return F.when(F.size(pages) == 1, F.element_at(pages, 1)).otherwise(F.aggregate(full, F.lit(""), step))
 
 
 def join_soft_breaks(c: Column) -> Column:
-    """Lines that are not blank joined by blanks; blank lines stay."""
-    return F.regexp_replace(F.regexp_replace(c, r"[ \t]*\n[ \t]*(?=\S)(?<!\n\n)", " "), r"(?<=\n) +", "")
+    """Lines that are not blank, stripped and joined by blanks; blank lines, also those that hold blanks, stay as empty ones."""
+    bare = F.array_join(F.transform(F.split(c, "\n"), strip), "\n")
+    return F.regexp_replace(bare, r"(?<=[^\n])\n(?=[^\n])", " ")
 
 
 def volume_texts(df: DataFrame, text: str) -> DataFrame:

@@ -22,6 +22,18 @@ def edges(df: DataFrame, persons: str = "personas") -> DataFrame:
     return two.groupBy("persona_a", "persona_b").agg(F.count("*").alias("peso"))
 
 
+def edge_records(df: DataFrame, key: str, persons: str = "personas") -> DataFrame:
+    """persona_a < persona_b and ``key``: where each edge comes from, a row per record that names both."""
+    p = df.select(key, F.array_sort(F.array_distinct(split_list(F.col(persons)))).alias("p")).where(F.size("p") > 1)
+    one = p.select(key, F.posexplode("p").alias("i", "persona_a"), F.col("p"))
+    return one.select("persona_a", F.explode(F.slice("p", F.col("i") + F.lit(2), F.size("p"))).alias("persona_b"), key)
+
+
+def top(n: DataFrame, by: str, k: int = 10) -> DataFrame:
+    """The k nodes with most of ``by``; ties by name."""
+    return n.orderBy(F.desc(by), "persona").limit(k)
+
+
 def degrees(e: DataFrame) -> DataFrame:
     """persona, grado, grado_ponderado."""
     ends = e.select(F.explode(F.array("persona_a", "persona_b")).alias("persona"), "peso")
@@ -38,11 +50,11 @@ def nodes(df: DataFrame, e: DataFrame) -> DataFrame:
     return j.select("persona", "frecuencia", "grado", "grado_ponderado", F.size("_t").alias("n_tomos"), F.array_join("_t", "; ").alias("tomos"), "anio_min", "anio_max")
 
 
-def components(vertices: DataFrame, e: DataFrame, every: int = 4, most: int = 60) -> DataFrame:
+def components(vertices: DataFrame, e: DataFrame, most: int = 60) -> DataFrame:
     """persona, componente (its least name): connected components by least labels with shortcuts.
 
     Each round takes the least label of the neighbours, then the label of that label, so long paths shrink fast; it
-    ends when nothing changes. The labels are checkpointed every few rounds, so a lost executor costs little.
+    ends when nothing changes. The labels are checkpointed each round, so a lost executor costs little.
     """
     both = e.select(F.col("persona_a").alias("a"), F.col("persona_b").alias("b")).union(e.select("persona_b", "persona_a")).distinct()
     both = checkpoint(both)

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from archiva.functions.text import blank, record_code, split_list, strip, volume_code
@@ -41,11 +44,38 @@ def attributes(c: Column) -> Column:
     return F.map_from_entries(last)
 
 
+def place_in(df: DataFrame, by: str, order: str, out: str = "orden", step: int = 10_000) -> DataFrame:
+    """``df`` with ``out``, the place of each row (from 1) among those of one value of ``by``, in ``order``.
+
+    ``order`` is a unique whole number. Ranges of ``step`` numbers are ranked by themselves, and what lies before a range
+    is added, so that a volume with a third of all rows is not sorted in one task. Null values of ``by`` are one.
+    """
+    d = df.withColumn("_part", F.floor(F.col(order) / step))
+    within = W.partitionBy(by, "_part").orderBy(order)
+    d = d.withColumn("_in", F.row_number().over(within))
+    sizes = d.groupBy(F.col(by).alias("_by"), F.col("_part").alias("_p")).agg(F.count("*").alias("_n"))
+    before = W.partitionBy("_by").orderBy("_p").rowsBetween(W.unboundedPreceding, -1)
+    sizes = sizes.select("_by", "_p", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    j = d.join(sizes, F.col(by).eqNullSafe(F.col("_by")) & F.col("_part").eqNullSafe(F.col("_p")))
+    return j.select(*df.columns, (F.col("_before") + F.col("_in")).alias(out))
+
+
+def project(df: DataFrame, columns: Sequence[str], default: object = "") -> DataFrame:
+    """The columns in this order; those that ``df`` lacks hold ``default``."""
+    return df.select(*((F.col(c) if c in df.columns else F.lit(default).alias(c)) for c in columns))
+
+
+def available(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Those of the columns that ``df`` has, in this order."""
+    return df.select(*(c for c in columns if c in df.columns))
+
+
 def panelize(df: DataFrame, order: str = "contrato_idx") -> DataFrame:
     """A row per entity of each record: persons, then ships, then places; a record without any gives one blank row.
 
     Adds contrato_idx of ``order``, tipo_entidad, pos_entidad (0 in blank rows), entidad, ATTRIBUTES and CODES; columns of these names
-    are replaced. Codes: volume (2), record (4, its number or its place in ``order``), entity in its kind (2).
+    are replaced. Codes: volume (2 digits or more), record (4 or more, its number or else its place among the records of
+    its volume in ``order``), entity in its kind (2 or more).
     """
     drop = {"tipo_entidad", "pos_entidad", "entidad", *ATTRIBUTES, *CODES}
     keep = [c for c in df.columns if c not in drop]
@@ -55,11 +85,11 @@ def panelize(df: DataFrame, order: str = "contrato_idx") -> DataFrame:
         return F.transform(split_list(F.col(column)), lambda x, i: F.struct(F.lit(kind).alias("tipo"), (i + 1).alias("pos"), x.alias("entidad")))
 
     per = [rows(k, c) for k, c in kinds]
-    d = df.withColumn("_attr", attributes(F.col("atributos"))).withColumn("_e", F.explode_outer(F.concat(*per)))
+    d = place_in(df, "tomo_id", order, "_orden").withColumn("_attr", attributes(F.col("atributos"))).withColumn("_e", F.explode_outer(F.concat(*per)))
     kind, ent = F.coalesce("_e.tipo", F.lit("")), F.coalesce("_e.entidad", F.lit(""))
     a = F.when(kind == "persona", F.try_element_at(F.col("_attr"), ent))
-    tomo, cont = volume_code(F.col("tomo_id")), record_code(F.col("id_num"), F.col(order))
-    both, number = F.concat(tomo, cont), F.lpad(F.coalesce("_e.pos", F.lit(0)).cast("string"), 2, "0")
+    tomo, cont = volume_code(F.col("tomo_id")), record_code(F.col("id_num"), F.col("_orden"))
+    both, number = F.concat(tomo, cont), F.format_string("%02d", F.coalesce("_e.pos", F.lit(0)))
     codes = {"idtomo": tomo, "idcont": cont, "idtomocont": both}
     for k, short in (("persona", "per"), ("nao", "nao"), ("lugar", "lug")):
         codes[f"id{short}"] = F.when(kind == k, number).otherwise("")

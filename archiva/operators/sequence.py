@@ -81,12 +81,13 @@ def repair(df: DataFrame, group: Sequence[str] = ("tomo_id",), pos: str = "pos",
     return kept.unionByName(lost, allowMissingColumns=True)
 
 
-def buried(df: DataFrame, group: Sequence[str] = ("tomo_id",), pos: str = "pos", number: str = "id_num", text: str = "texto_completo") -> DataFrame:
+def buried(df: DataFrame, group: Sequence[str] = ("tomo_id",), pos: str = "pos", number: str = "id_num", text: str = "texto_completo", every: bool = False) -> DataFrame:
     """Rows for records whose number was lost because their text stands in the record before: group, orden, sub, id_num,
     texto_completo and desde, where in the anchor's text (from 1) the text began.
 
     For each pair of anchors with more missing numbers than rows between, each missing number is looked for in the
-    first anchor's text as "88. Libro del a..."; of what is found, each reaches to the next.
+    first anchor's text as "88. Libro del a...". The first missing number that is found counts; with ``every`` all do, and
+    each reaches to the next.
     """
     d = anchors(df, group, pos, number)
     order = W.partitionBy(*group).orderBy(pos)
@@ -96,7 +97,8 @@ def buried(df: DataFrame, group: Sequence[str] = ("tomo_id",), pos: str = "pos",
     per = per.where(F.col("_b") - F.col("a.v") - 1 > F.col("_rows"))
     ids = F.sequence(F.col("a.v") + 1, F.col("_b") - 1)
     at = F.transform(ids, lambda i: F.struct(F.regexp_instr(F.coalesce(F.col("a.t"), F.lit("")), F.concat(F.lit(r"(?iUu)(?<!\d)"), i.cast("string"), F.lit(r"\s*\.?\s*-?\s*Libro\s+del\s+a"))).alias("desde"), i.alias("id")))
-    per = per.withColumn("_found", F.array_sort(F.filter(at, lambda x: x["desde"] > 0)))
+    hits = F.filter(at, lambda x: x["desde"] > 0)
+    per = per.withColumn("_found", F.array_sort(hits if every else F.slice(hits, 1, 1)))
     each = per.select(*group, F.col("a.p").alias("orden"), F.col("a.t").alias("_t"), "_found", F.posexplode("_found").alias("_i", "_x"))
     stop = F.coalesce(F.get(F.col("_found"), F.col("_i") + 1)["desde"], F.length("_t") + 1)
     return each.select(*group, "orden", (F.col("_i") + 2).alias("sub"), F.col("_x.id").alias(number), F.rtrim(F.substr("_t", F.col("_x.desde"), stop - F.col("_x.desde"))).alias(text), F.col("_x.desde").alias("desde"))

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from archiva.session import checkpoint
+
 # The figures that profiles are compared by.
 KEYS = ["ink_lt_128", "white_ge_240", "mean", "std", "p10", "p50", "p90"]
 
@@ -57,7 +59,7 @@ def grid(spark, entries: Sequence[Mapping[str, object]], base: Mapping[str, obje
 def with_profile(df: DataFrame, overrides: DataFrame, by: str, base: Mapping[str, object]) -> DataFrame:
     """``df`` with the parameters of its group's profile, or the base's, and profile_name."""
     o = overrides.select(by, *(F.col(k).alias(f"_o_{k}") for k in base if k in overrides.columns), F.lit(True).alias("_o"))
-    j = df.join(F.broadcast(o), by, "left")
+    j = df.join(o, by, "left")
     cols = {k: F.coalesce(F.col(f"_o_{k}"), F.lit(v)) if k in overrides.columns else F.lit(v) for k, v in base.items()}
     return j.select(*df.columns, *(c.alias(k) for k, c in cols.items()), F.when(F.col("_o"), F.col(by)).otherwise("default").alias("profile_name"))
 
@@ -71,10 +73,16 @@ def evenly(df: DataFrame, by: Sequence[str], order: str, k: int) -> DataFrame:
 
 
 def stride(df: DataFrame, order: str, most: int = 10) -> DataFrame:
-    """Every n-th row so that at most ``most`` are left."""
-    w = W.orderBy(order)
-    d = df.withColumn("_r", F.row_number().over(w) - 1).crossJoin(df.agg(F.greatest(F.lit(1), F.floor(F.count("*") / most)).alias("_s")))
-    return d.where(F.col("_r") % F.col("_s") == 0).orderBy(order).limit(most).drop("_r", "_s")
+    """Every n-th row so that at most ``most`` are left.
+
+    Rows are cut into ranges of ``order``, each range is ranked by itself, and the rows before it are added.
+    """
+    d = checkpoint(df.repartitionByRange(F.col(order)).withColumn("_p", F.spark_partition_id()))
+    sizes = d.groupBy("_p").agg(F.count("*").alias("_n"))
+    before = sizes.select("_p", F.coalesce(F.sum("_n").over(W.orderBy("_p").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
+    step = sizes.agg(F.greatest(F.lit(1), F.floor(F.sum("_n") / most)).alias("_s"))
+    d = d.withColumn("_r", F.row_number().over(W.partitionBy("_p").orderBy(order)) - 1).join(F.broadcast(before), "_p").crossJoin(F.broadcast(step))
+    return d.where((F.col("_r") + F.col("_before")) % F.col("_s") == 0).orderBy(order).limit(most).select(*df.columns)
 
 
 def seeded_sample(df: DataFrame, key: str, k: int, seed: int = 42) -> DataFrame:

@@ -35,13 +35,6 @@ def q_clamp(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_page_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders without lines get the whole page as a box."""
     pages = table(spark, sf_dir, "orders", F.col("o_orderkey").alias("image_path")).withColumns({"image_width": F.lit(100), "image_height": F.lit(80)})
-    b = _boxes(spark, sf_dir).where("class_id = 1").withColumn("class_name", F.lit("contrato"))
-    return layout.page_fallback(pages, b).groupBy("class_name").agg(F.count("*").alias("n"), F.sum("x2").alias("x2"))
-
-
-def q_page_fallback_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same with the boxes of all classes."""
-    pages = table(spark, sf_dir, "orders", F.col("o_orderkey").alias("image_path")).withColumns({"image_width": F.lit(100), "image_height": F.lit(80)})
     b = _boxes(spark, sf_dir).withColumn("class_name", F.lit("contrato"))
     return layout.page_fallback(pages, b).groupBy("class_name").agg(F.count("*").alias("n"), F.sum("x2").alias("x2"))
 
@@ -128,23 +121,22 @@ def q_sample_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tuning.evenly(table(spark, sf_dir, "documents", "doc_id", "source"), ["source"], "doc_id", 5)
 
 
-def q_ab_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Texts against their joined lines, as if by two recognisers."""
-    d = spread(table(spark, sf_dir, "documents", F.col("doc_id").alias("pagina"), "text"))
+def _two_sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Texts and their joined lines, as if by two recognisers."""
     from archiva.functions.text import join_lines
 
-    a = d.withColumn("tiempo_s", F.lit(1.0))
-    b = d.where("pagina % 3 > 0").select("pagina", join_lines(F.col("text")).alias("text"), F.lit(2.0).alias("tiempo_s"))
-    return compare.compare(a, b, "pagina").select("pagina", "v1_chars", "v2_chars", "v1_lineas", "v2_lineas", "v1_valido", "v2_valido", "delta_chars", "delta_tiempo")
+    a = spread(table(spark, sf_dir, "documents", F.col("doc_id").alias("pagina"), "text")).withColumn("tiempo_s", F.lit(1.0))
+    return a, a.select("pagina", join_lines(F.col("text")).alias("text"), F.lit(2.0).alias("tiempo_s"))
 
 
-def q_ab_compare_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All texts against their joined lines, with their similarity."""
-    from archiva.functions.text import join_lines
+def q_ab_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Figures of both sides of all texts and their differences."""
+    return compare.compare(*_two_sides(spark, sf_dir), "pagina", similarity=False).select("pagina", "v1_chars", "v2_chars", "v1_lineas", "v2_lineas", "v1_valido", "v2_valido", "delta_chars", "delta_tiempo")
 
-    a = spread(table(spark, sf_dir, "documents", F.col("doc_id").alias("pagina"), "text")).withColumn("tiempo_s", F.lit(1.0))
-    b = a.select("pagina", join_lines(F.col("text")).alias("text"), F.lit(2.0).alias("tiempo_s"))
-    return compare.compare(a, b, "pagina").select("pagina", "v1_chars", "v2_chars", "v1_lineas", "v2_lineas", "v1_valido", "v2_valido", "similitud_v1_v2", "delta_chars", "delta_tiempo")
+
+def q_ab_similarity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Similarity of both sides of all texts."""
+    return compare.compare(*_two_sides(spark, sf_dir), "pagina").select("pagina", "similitud_v1_v2", "delta_chars", "delta_tiempo")
 
 
 def q_type_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -167,7 +159,7 @@ def q_entities_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
     lst = lambda c: F.filter(F.split(F.coalesce(F.col(c), F.lit("")), ";"), lambda x: x != "")
     answer = F.concat(F.lit("Aquí está: "), F.to_json(F.struct(F.upper("tipo").alias("tipo"), *(lst(c).alias(c) for c in ("personas", "naos", "lugares")))), F.lit(" fin"))
     p = entities.normalize_payload(entities.json_in_prose(answer))
-    return entities.flatten_payload(d.select("contrato_idx", p.alias("p")), "p").drop("atributos")
+    return entities.flatten_payload(d.select("contrato_idx", p.alias("p")), "p")
 
 
 def q_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -186,7 +178,7 @@ def q_upcoming(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        q_box_rank, q_clamp, q_page_fallback, q_page_fallback_all, q_percent_boxes, q_label_tasks, q_obb_augment, q_gaps, q_segments, q_pixel_stats, q_tomo_summary, q_histogram_long, q_profile_distance, q_best_profile, q_sample_pages, q_ab_compare, q_ab_compare_all,
+        q_box_rank, q_clamp, q_page_fallback, q_percent_boxes, q_label_tasks, q_obb_augment, q_gaps, q_segments, q_pixel_stats, q_tomo_summary, q_histogram_long, q_profile_distance, q_best_profile, q_sample_pages, q_ab_compare, q_ab_similarity,
         q_type_rules, q_gazetteer, q_persons_rules, q_entities_normalize, q_resume, q_upcoming,
     )
 }
@@ -203,7 +195,7 @@ SQL = {
     "q_box_rank": f"""WITH {_B}, r AS (SELECT *, row_number() OVER (PARTITION BY image_path ORDER BY y1, x1, y2 - y1 DESC, x2 - x1 DESC, class_id, conf DESC) AS sort_idx FROM b)
   SELECT image_path, max(sort_idx)::int AS n, max(page_label || '_' || lpad(sort_idx::varchar, 4, '0')) AS ultimo, max_by(y1, sort_idx) AS y_ultimo FROM r GROUP BY 1""",
     "q_clamp": f"WITH {_B}, {_C} SELECT image_path, sum((cx2 - cx1) * (cy2 - cy1))::bigint AS area, min(cx2) AS x2_min, max(cy2) AS y2_max, count(*) FILTER (WHERE cx2 > cx1 AND cy2 > cy1) AS n FROM c GROUP BY 1",
-    "q_page_fallback": f"""WITH {_B}, j AS (SELECT o_orderkey, b.image_path, b.x2 FROM orders LEFT JOIN (SELECT * FROM b WHERE class_id = 1) b ON o_orderkey = b.image_path)
+    "q_page_fallback": f"""WITH {_B}, j AS (SELECT o_orderkey, b.image_path, b.x2 FROM orders LEFT JOIN b ON o_orderkey = b.image_path)
   SELECT CASE WHEN image_path IS NULL THEN 'page_fallback' ELSE 'contrato' END AS class_name, count(*) AS n, sum(CASE WHEN image_path IS NULL THEN 100 ELSE x2 END)::bigint AS x2 FROM j GROUP BY 1""",
     "q_percent_boxes": f"""WITH {_B} SELECT image_path, sum(trunc(100.0::double * x1 / w / 100.0 * w))::bigint AS x0, sum(trunc(100.0::double * y1 / h / 100.0 * h))::bigint AS y0,
   sum(trunc((100.0::double * x1 / w + 100.0::double * (x2 - x1) / w) / 100.0 * w))::bigint AS x1, sum(trunc((100.0::double * y1 / h + 100.0::double * (y2 - y1) / h) / 100.0 * h))::bigint AS y1 FROM b GROUP BY 1""",
@@ -214,7 +206,7 @@ SQL = {
     "q_tomo_summary": f"WITH {_PX} SELECT tomo, count(*) AS paginas, round_even(avg(list_avg(p)), 3) AS media, round_even(quantile_cont(list_aggregate(p, 'quantile_cont', 0.5), 0.5), 3) AS mediana FROM px GROUP BY 1",
     "q_sample_pages": """WITH r AS (SELECT doc_id, source, row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1 AS r, count(*) OVER (PARTITION BY source) AS n FROM documents)
   SELECT doc_id, source FROM r WHERE n <= 5 OR r IN (0, round_even((n - 1) / 4, 0), round_even(2 * (n - 1) / 4, 0), round_even(3 * (n - 1) / 4, 0), n - 1)""",
-    "q_ab_compare": f"""WITH a AS (SELECT doc_id AS pagina, text FROM documents), b AS (SELECT doc_id AS pagina, array_to_string({_LN.format("text")}, ' ') AS text FROM documents WHERE doc_id % 3 > 0)
+    "q_ab_compare": f"""WITH a AS (SELECT doc_id AS pagina, text FROM documents), b AS (SELECT doc_id AS pagina, array_to_string({_LN.format("text")}, ' ') AS text FROM documents)
   SELECT a.pagina, length({_ST.format("a.text")}) AS v1_chars, length({_ST.format("b.text")}) AS v2_chars, len({_LN.format("a.text")})::int AS v1_lineas, len({_LN.format("b.text")})::int AS v2_lineas, {_VALID.format("a.text", _ST.format("a.text"), _LN.format("a.text"))} AS v1_valido,
   CASE WHEN b.pagina IS NOT NULL THEN {_VALID.format("b.text", _ST.format("b.text"), _LN.format("b.text"))} END AS v2_valido, length({_ST.format("b.text")}) - length({_ST.format("a.text")}) AS delta_chars, CASE WHEN b.pagina IS NOT NULL THEN 1.0::double END AS delta_tiempo FROM a LEFT JOIN b ON a.pagina = b.pagina""",
     "q_gazetteer": "SELECT contrato_idx, array_to_string(list_sort(list_filter([{}], lambda k: contains(lower(coalesce(asunto, '')), lower(k)))), '; ') AS naos, array_to_string(list_sort(list_filter([{}], lambda k: contains(lower(coalesce(asunto, '')), lower(k)))), '; ') AS lugares FROM compilado".format(*(", ".join(f"'{x}'" for x in xs) for xs in (SHIPS, PLACES))),
@@ -224,4 +216,3 @@ SQL = {
 }
 _RULES = "CASE {} ELSE 'otros' END".format(" ".join(f"WHEN regexp_matches(coalesce(asunto, ''), '(?i){p}') THEN '{n}'" for n, p in entities.TYPES))
 SQL["q_type_rules"] = f"SELECT {_RULES} AS regla, count(*) AS n FROM compilado GROUP BY 1"
-SQL["q_page_fallback_all"] = SQL["q_page_fallback"].replace("(SELECT * FROM b WHERE class_id = 1) b", "b")

@@ -31,6 +31,12 @@ def q_volume_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return v.select("tomo", F.length("text").alias("n_chars"), F.md5("text").alias("huella"))
 
 
+def q_soft_breaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts with the lines of each paragraph joined."""
+    d = table(spark, sf_dir, "documents", "doc_id", "text")
+    return d.select("doc_id", contracts.join_soft_breaks(F.col("text")).alias("text"))
+
+
 def q_segment_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records found in the texts by their header lines."""
     return contracts.segment_by_headers(spread(table(spark, sf_dir, "compilado", "contrato_idx", "texto_completo")), "contrato_idx", "texto_completo")
@@ -93,7 +99,7 @@ def q_subregistros(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (q_group_contracts, q_page_text, q_volume_text, q_segment_text, q_parse_fields, q_parse_report, q_parse_agreement, q_anchors, q_sequence_repair, q_id_status_counts, q_buried, q_resegment, q_subregistros)
+    for f in (q_group_contracts, q_page_text, q_volume_text, q_soft_breaks, q_segment_text, q_parse_fields, q_parse_report, q_parse_agreement, q_anchors, q_sequence_repair, q_id_status_counts, q_buried, q_resegment, q_subregistros)
 }
 
 _BOXES = r"""boxes AS (SELECT tomo_id AS tomo, page_inicio AS page_num, row_number() OVER (PARTITION BY tomo_id, page_inicio ORDER BY contrato_idx) AS sort_idx, coalesce(class_origin, '') AS k,
@@ -118,6 +124,8 @@ fixed AS (SELECT run_id, tomo_id, pos AS orden, 1 AS sub, CASE WHEN fill THEN (v
   UNION ALL SELECT run_id, tomo_id, pb, 0, unnest(range((v + fits + 1)::bigint, vb)), NULL, 'perdido' FROM w4 WHERE a AND vb IS NOT NULL AND v + fits + 1 < vb)"""
 
 SQL = {
+    "q_soft_breaks": r"""SELECT doc_id, regexp_replace(regexp_replace(t, '([^\n])\n([^\n])', '\1 \2', 'g'), '([^\n])\n([^\n])', '\1 \2', 'g') AS text
+  FROM (SELECT doc_id, array_to_string(list_transform(string_split(text, chr(10)), lambda x: regexp_replace(x, '^\s+|\s+$', '', 'g')), chr(10)) AS t FROM documents)""",
     "q_group_contracts": rf"""WITH {_BOXES}, n AS (SELECT *, CASE WHEN k = 'continuacion' AND sort_idx = 1 THEN 0 ELSE 1 END AS nw FROM boxes),
   i AS (SELECT *, greatest(1, sum(nw) OVER (ORDER BY {_ORD} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))::bigint AS island FROM n),
   g AS (SELECT island, first(tomo ORDER BY {_ORD}) AS tomo, coalesce(string_agg(t, ' ' ORDER BY {_ORD}) FILTER (WHERE t <> ''), '') AS texto_completo, first(k ORDER BY {_ORD}) AS class_origin,

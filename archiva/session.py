@@ -45,12 +45,14 @@ def spread(df: DataFrame, *cols: str) -> DataFrame:
 def checkpoint(df: DataFrame) -> DataFrame:
     """Cut lineage through reliable storage.
 
-    The folder is the one the cluster names in ``spark.checkpoint.dir``; only where none is set, as in
-    tests, a folder of the warehouse is used.
+    The folder is the one the cluster names in ``spark.checkpoint.dir``; only where none is set and all runs on one
+    machine, as in tests, a folder of the warehouse is used.
     """
     sc = df.sparkSession.sparkContext
     if sc.getCheckpointDir() is None:
         at = df.sparkSession.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
+        if not at and not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         sc.setCheckpointDir(at or df.sparkSession.conf.get("spark.sql.warehouse.dir").removeprefix("file:") + "/checkpoints")
     return df.checkpoint()
 

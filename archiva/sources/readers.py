@@ -80,11 +80,18 @@ def records_json(spark: SparkSession, path: str) -> DataFrame:
 
 
 def extraction_chunk(spark: SparkSession, path: str) -> DataFrame:
-    """idx and payload of a JSON map of extractions; a file that is not JSON gives no row."""
+    """idx and payload of a JSON map of extractions; a file that is not JSON gives no row here but one in broken_chunks()."""
     d = spark.read.option("wholetext", True).text(path).select(F.from_json("value", f"map<string,struct<{_colons(PAYLOAD)}>>").alias("m"))
     return d.select(F.explode("m").alias("idx", "payload")).select(F.col("idx").try_cast("bigint").alias("idx"), "payload")
 
 
+def broken_chunks(spark: SparkSession, path: str) -> DataFrame:
+    """archivo and inicio (its first 200 characters) of each file that extraction_chunk() cannot read."""
+    d = spark.read.option("wholetext", True).text(path).select("value", F.col("_metadata.file_path").alias("archivo"))
+    ok = F.from_json("value", "map<string,variant>").isNotNull()
+    return d.where(~ok).select("archivo", F.substring("value", 1, 200).alias("inicio"))
+
+
 def _colons(ddl: str) -> str:
     """Field list of a struct type from a table's field list."""
     depth, out, part = 0, [], ""

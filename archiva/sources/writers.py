@@ -53,9 +53,10 @@ def report(stats: DataFrame, title: str) -> str:
 
 
 def combined_markdown(pages: DataFrame, label: str, text: str) -> DataFrame:
-    """All pages as one document with a heading each, in order."""
-    item = F.struct(label, F.concat(F.lit("## "), F.col(label), F.lit("\n\n"), F.coalesce(F.col(text), F.lit("")), F.lit("\n")).alias("t"))
-    return pages.agg(F.array_join(F.transform(F.sort_array(F.collect_list(item)), lambda x: x["t"]), "\n").alias("documento"))
+    """documento: the pages as one document, a row per page with its heading, sorted by ranges; written as text, the files
+    in order are the document, and no task holds all of it."""
+    part = F.concat(F.lit("## "), F.col(label), F.lit("\n\n"), F.coalesce(F.col(text), F.lit("")), F.lit("\n"))
+    return pages.orderBy(label).select(part.alias("documento"))
 
 
 def batch_log(done: DataFrame, valid: str = "valido") -> DataFrame:
@@ -64,9 +65,18 @@ def batch_log(done: DataFrame, valid: str = "valido") -> DataFrame:
 
 
 def append_parts(df: DataFrame, path: str, pos: str, size: int = 500) -> None:
-    """A table appended in parts of ``size`` by position, for a long job that may be cut off."""
-    d = df.withColumn("parte", F.floor((F.col(pos) - 1) / size))
-    d.write.mode("append").partitionBy("parte").parquet(path)
+    """A table appended in parts of ``size`` by position, one write each, so that a job that is cut off keeps those it
+    has written; called again it goes on with the parts that are not there."""
+    from pyspark.errors import AnalysisException
+
+    spark = df.sparkSession
+    d = df.withColumn("parte", F.floor((F.col(pos) - 1) / size).cast("int"))
+    try:
+        there = {r[0] for r in spark.read.parquet(path).select("parte").distinct().collect()}
+    except AnalysisException:  # nothing was written yet
+        there = set()
+    for part in sorted(r[0] for r in d.select("parte").distinct().collect() if r[0] not in there):
+        d.where(F.col("parte") == part).write.mode("append").partitionBy("parte").parquet(path)
 
 
 def profiles(df: DataFrame, path: str) -> None:
@@ -81,6 +91,12 @@ def run_summary(folder: str) -> list[tuple[str, int]]:
     return sorted((p.name, p.stat().st_size) for p in Path(folder).iterdir() if p.is_file())
 
 
-def parts_wide(df: DataFrame, key: str, pos: str, value: str, most: int) -> DataFrame:
-    """Parts of each key side by side as col_0 to col_(most - 1), for looking at them; later parts are left out."""
+def parts_wide(df: DataFrame, key: str, pos: str, value: str, most: int | None = None) -> DataFrame:
+    """Parts of each key side by side as col_0, col_1 and so on, for looking at them; as many columns as the key with most
+    parts needs, or ``most``, which is refused if some key has more."""
+    needed = (df.agg(F.max(pos)).collect()[0][0] if df.columns else None) or 0
+    if most is None:
+        most = int(needed) + 1
+    elif needed >= most:
+        raise ValueError(f"a key has {needed + 1} parts, not {most} at most")
     return df.groupBy(key).pivot(pos, list(range(most))).agg(F.first(value)).select(key, *(F.col(str(i)).alias(f"col_{i}") for i in range(most)))

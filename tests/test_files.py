@@ -38,6 +38,7 @@ def test_tables(spark, tmp_path):
     assert (r.idx, r.payload.personas, r.payload.atributos["A"].oficio) == (3, ["A"], "o")
     (tmp_path / "bad.json").write_text('{"3": ]')
     assert readers.extraction_chunk(spark, str(tmp_path / "bad.json")).count() == 0
+    assert [r.archivo.rsplit("/", 1)[1] for r in readers.broken_chunks(spark, str(tmp_path / "*.json")).collect()].count("bad.json") == 1
     (tmp_path / "lab").mkdir()
     (tmp_path / "lab" / "Tomo I_p0001_seg.txt").write_text("1 0.1 0.2 0.3 0.4\n0 1 2\n0 0.5 0.5 0.5 0.5")
     assert sorted((r.pagina, r["class"]) for r in readers.labels(spark, str(tmp_path / "lab")).collect()) == [("Tomo I_p0001", 0), ("Tomo I_p0001", 1)]
@@ -57,7 +58,7 @@ def test_writers(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "parts")).select("parte").distinct().count() == 3
     writers.texts(n, "persona", "persona", str(tmp_path / "txt"))
     assert spark.read.text(str(tmp_path / "txt")).count() == 2
-    md = writers.combined_markdown(n.withColumn("t", F.lit("hola")), "persona", "t").collect()[0].documento
+    md = "\n".join(r.documento for r in writers.combined_markdown(n.withColumn("t", F.lit("hola")), "persona", "t").collect())
     assert md.startswith("## A\n\nhola")
     writers.profiles(n, str(tmp_path / "prof"))
     assert spark.read.json(str(tmp_path / "prof")).count() == 2

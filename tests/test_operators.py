@@ -118,7 +118,7 @@ def test_panel(spark):
     assert got[1, "persona", "A"].ocupacion == "maestre"
     assert got[1, "persona", "B"].relacion == "hijo de C"
     assert got[1, "persona", "B"].idtomocontper == "02000502"
-    assert got[2, "", ""].idtomocont == "100002"
+    assert got[2, "", ""].idtomocont == "100001"  # the first of its volume
     s = panel.sheets(p)
     assert {(r.persona, r.tiene_nao) for r in s["persona"].where("contrato_idx = 1").collect()} == {("A", 1), ("B", 1)}
     assert panel.panelize(df.limit(0)).count() == 0
@@ -274,3 +274,61 @@ def test_tuning(spark):
     listed = spark.createDataFrame([("12; 30",), (None,)], "pags string")
     images = spark.createDataFrame([("T", 12), ("T", 13)], "tomo string, page_num int")
     assert compare.pages_with_problems(listed, "pags", images).count() == 1
+
+
+def test_codes_of_many_entities(spark):
+    """120 entities, volumes over 99 and records without a number keep different codes."""
+    names = ";".join(f"P{i}" for i in range(120))
+    rows = [(5, "Tomo_II", 7, names), (6, "Tomo_II", None, "A"), (20_009, "Tomo_II", None, "B"), (7, "Tomo_120", None, "C"), (8, None, None, "D")]
+    df = spark.createDataFrame(rows, "contrato_idx long, tomo_id string, id_num long, personas string").withColumns({c: F.lit(None).cast("string") for c in ("naos", "lugares", "atributos")})
+    got = {(r.contrato_idx, r.entidad): r for r in panel.panelize(df).collect()}
+    assert len({got[5, f"P{i}"].idtomocontper for i in range(120)}) == 120
+    assert (got[5, "P8"].idper, got[5, "P99"].idper, got[5, "P119"].idtomocontper) == ("09", "100", "020007120")
+    assert [got[k].idcont for k in ((6, "A"), (20_009, "B"), (7, "C"), (8, "D"))] == ["0002", "0003", "0001", "0001"]
+    assert (got[7, "C"].idtomo, got[8, "D"].idtomo) == ("120", "00")
+
+
+@pytest.mark.parametrize(("text", "want"), [
+    ("a\nb\nc", "a b c"), ("a\n \nb", "a\n\nb"), ("a\n\n  b", "a\n\nb"), (" a \n\n\nb\n", "a\n\n\nb\n"), ("\na", "\na"), ("", ""), (None, None),
+])
+def test_soft_breaks(spark, text, want):
+    assert one(spark, contracts.join_soft_breaks, text) == want
+
+
+def test_single_page_stays(spark):
+    assert one(spark, contracts.stitch, [" una página \n"], "array<string>") == " una página \n"
+    assert one(spark, contracts.stitch, [], "array<string>") == ""
+
+
+def test_first_box_opens_a_record(spark):
+    rows = [("T1", 1, 1, "continuacion", "a"), ("T1", 1, 2, "contrato", "b"), ("T2", 1, 1, "continuacion", "c")]
+    df = spark.createDataFrame(rows, "tomo string, page_num int, sort_idx int, class_name string, ocr_text_clean string")
+    assert {r.ocr_text_clean: r.island for r in contracts.islands(df).collect()} == {"a": 1, "b": 2, "c": 2}
+
+
+def test_one_bad_input(spark):
+    """One input that fails leaves the answers of the others."""
+
+    class Touchy:
+        def available(self):
+            return True
+
+        def run(self, inputs):
+            if "bad" in inputs:
+                raise OSError("no answer")
+            return [x.upper() for x in inputs]
+
+    df = spark.createDataFrame([("a",), ("bad",), ("c",), (None,)], "x string").coalesce(1)
+    assert [r.y for r in backends.infer(df, "x", Touchy, "y").collect()] == ["A", None, "C", None]
+
+
+def test_stride(spark):
+    df = spark.range(95).withColumn("k", (F.col("id") * 37) % 95).select("k")
+    assert [r.k for r in tuning.stride(df, "k", 10).collect()] == list(range(0, 90, 9))
+    assert tuning.stride(df.limit(0), "k").count() == 0
+
+
+def test_projection(spark):
+    df = spark.createDataFrame([(1, 2)], "a int, b int")
+    assert panel.project(df, ["b", "z"], "x").collect()[0].asDict() == {"b": 2, "z": "x"}
+    assert panel.available(df, ["z", "b"]).columns == ["b"]

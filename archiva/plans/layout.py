@@ -95,7 +95,8 @@ def _figures(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_tomo_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tuning.summary(_figures(spark, sf_dir), ["tomo"]).select("tomo", "paginas", F.bround("mean_mean", 3).alias("media"), F.bround("p50_median", 3).alias("mediana"))
+    d = tuning.summary(_figures(spark, sf_dir), ["tomo"])
+    return d.select("tomo", "paginas", *(F.bround(c, 3).alias(c) for c in d.columns if c not in ("tomo", "paginas")))
 
 
 def q_histogram_long(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -216,3 +217,19 @@ SQL = {
 }
 _RULES = "CASE {} ELSE 'otros' END".format(" ".join(f"WHEN regexp_matches(coalesce(asunto, ''), '(?i){p}') THEN '{n}'" for n, p in entities.TYPES))
 SQL["q_type_rules"] = f"SELECT {_RULES} AS regla, count(*) AS n FROM compilado GROUP BY 1"
+SQL["q_entities_normalize"] = SQL["q_entities_normalize"].replace(" AS lugares FROM l", " AS lugares, '' AS atributos FROM l")
+SQL["q_label_tasks"] = f"""WITH {_B}, t AS (SELECT image_path::varchar AS pagina, trunc(100.0::double * x1 / w / 100.0 * w)::int AS x0, trunc(100.0::double * y1 / h / 100.0 * h)::int AS y0,
+  trunc((100.0::double * x1 / w + 100.0::double * (x2 - x1) / w) / 100.0 * w)::int AS x1, trunc((100.0::double * y1 / h + 100.0::double * (y2 - y1) / h) / 100.0 * h)::int AS y1 FROM b)
+  SELECT pagina, row_number() OVER (PARTITION BY pagina ORDER BY y0, y1, x0, x1)::int AS segment_id, x0, y0, x1, y1, 'manual' AS source FROM t"""
+SQL["q_histogram_long"] = f"WITH {_PX} " + " UNION ALL ".join(f"SELECT tomo, '{n}' AS bin, round_even(avg(len(list_filter(p, lambda v: v >= {a} AND v <= {b})) / len(p)), 4) AS media FROM px GROUP BY tomo" for n, a, b in imaging.BINS)
+_FIGS = f"""{_PX}, f AS (SELECT tomo, len(list_filter(p, lambda v: v < 128)) / len(p) AS ink_lt_128, len(list_filter(p, lambda v: v >= 240)) / len(p) AS white_ge_240, list_avg(p) AS mean, list_aggregate(p, 'stddev_pop') AS std,
+  list_aggregate(p, 'quantile_cont', 0.1) AS p10, list_aggregate(p, 'quantile_cont', 0.5) AS p50, list_aggregate(p, 'quantile_cont', 0.9) AS p90 FROM px)"""
+_STAT = {"mean": "avg({})", "median": "quantile_cont({}, 0.5)", "std": "stddev_pop({})", "min": "min({})", "max": "max({})"}
+SQL["q_tomo_summary"] = f"WITH {_FIGS} SELECT tomo, count(*) AS paginas, " + ", ".join(f"round_even({x.format(k)}, 3) AS {k}_{n}" for k in tuning.KEYS for n, x in _STAT.items()) + " FROM f GROUP BY tomo"
+SQL["q_profile_distance"] = (
+    f"WITH {_FIGS}, s AS (SELECT tomo, "
+    + ", ".join(f"quantile_cont({k}, 0.5) AS {k}_m, stddev_pop({k}) AS {k}_s" for k in tuning.KEYS)
+    + " FROM f GROUP BY tomo), r AS (SELECT * FROM s WHERE tomo = 0) SELECT s.tomo, round_even(("
+    + " + ".join(f"abs(s.{k}_m - r.{k}_m) / greatest(r.{k}_s, 1e-6)" for k in tuning.KEYS)
+    + f") / {len(tuning.KEYS)}, 4) AS distancia FROM s, r"
+)

@@ -84,10 +84,25 @@ def join_soft_breaks(c: Column) -> Column:
     return F.regexp_replace(bare, r"(?<=[^\n])\n(?=[^\n])", " ")
 
 
-def volume_texts(df: DataFrame, text: str) -> DataFrame:
-    """tomo, text: the stitched pages of each volume."""
-    g = df.groupBy("tomo").agg(F.sort_array(F.collect_list(F.struct("page_num", F.coalesce(F.col(text), F.lit("")).alias("t")))).alias("b"))
-    return g.select("tomo", stitch(F.transform("b", lambda x: x["t"])).alias("text"))
+def volume_parts(df: DataFrame, text: str) -> DataFrame:
+    """tomo, page_num, parte: what each page adds to the text of its volume; the parts in order are what stitch() gives.
+
+    Only the neighbouring pages are looked at, so no task holds the text of a volume. Blank pages add nothing and are
+    left out; the only page of a volume stays as it is.
+    """
+    d = df.select("tomo", "page_num", F.coalesce(F.col(text), F.lit("")).alias("_raw"), F.count("*").over(W.partitionBy("tomo")).alias("_pages"))
+    d = d.withColumn("_t", strip(F.col("_raw"))).where((F.col("_t") != "") | (F.col("_pages") == 1))
+    order = W.partitionBy("tomo").orderBy("page_num")
+    last = F.right(F.lag("_t").over(order), F.lit(1))
+    cut = (F.right("_t", F.lit(1)) == "-") & F.lead("_t").over(order).isNotNull()
+    lead = F.when(last.isNull() | (last == "-"), "").when(last.isin(".", "?", "!", ":", ";", ")"), "\n\n").otherwise(" ")
+    body = F.when(cut, F.substr("_t", F.lit(1), F.length("_t") - 1)).otherwise(F.col("_t"))
+    return d.select("tomo", "page_num", F.when(F.col("_pages") == 1, F.col("_raw")).otherwise(F.concat(lead, body)).alias("parte"))
+
+
+def write_volumes(parts: DataFrame, path: str) -> None:
+    """The parts of volume_parts() as text, a folder per volume, the pages in order."""
+    parts.repartition("tomo").sortWithinPartitions("tomo", "page_num").select("tomo", F.col("parte").alias("value")).write.mode("overwrite").option("lineSep", "").partitionBy("tomo").text(path)
 
 
 def segment_by_headers(df: DataFrame, key: str, text: str) -> DataFrame:

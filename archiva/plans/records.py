@@ -26,9 +26,8 @@ def q_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_volume_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pages of each volume stitched."""
-    v = contracts.volume_texts(contracts.page_texts(boxes(spark, sf_dir), "ocr_text_clean"), "text")
-    return v.select("tomo", F.length("text").alias("n_chars"), F.md5("text").alias("huella"))
+    """Pages of each volume stitched: what each page adds to the volume's text."""
+    return contracts.volume_parts(contracts.page_texts(boxes(spark, sf_dir), "ocr_text_clean"), "text")
 
 
 def q_soft_breaks(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -132,6 +131,11 @@ SQL = {
     first(page_num ORDER BY {_ORD}) AS page_inicio, last(page_num ORDER BY {_ORD}) AS page_fin, count(*) AS n_crops FROM i GROUP BY island)
   SELECT island, replace(tomo, ' ', '_') AS tomo_id, TRY_CAST(nullif(regexp_extract(texto_completo, '^(\d+)\s+', 1), '') AS BIGINT) AS id_num, texto_completo, class_origin, page_inicio, page_fin, n_crops FROM g""",
     "q_page_text": f"WITH {_BOXES} SELECT tomo, page_num, coalesce(string_agg(t, chr(10) ORDER BY sort_idx) FILTER (WHERE t <> ''), '') AS text FROM boxes GROUP BY tomo, page_num",
+    "q_volume_text": rf"""WITH {_BOXES}, pages AS (SELECT tomo, page_num, coalesce(string_agg(t, chr(10) ORDER BY sort_idx) FILTER (WHERE t <> ''), '') AS raw FROM boxes GROUP BY tomo, page_num),
+  c AS (SELECT *, count(*) OVER (PARTITION BY tomo) AS n, regexp_replace(raw, '^\s+|\s+$', '', 'g') AS t FROM pages), k AS (SELECT * FROM c WHERE t <> '' OR n = 1),
+  w AS (SELECT *, right(lag(t) OVER o, 1) AS last, lead(t) OVER o IS NOT NULL AS more FROM k WINDOW o AS (PARTITION BY tomo ORDER BY page_num NULLS FIRST))
+  SELECT tomo, page_num, CASE WHEN n = 1 THEN raw ELSE CASE WHEN last IS NULL OR last = '-' THEN '' WHEN last IN ('.', '?', '!', ':', ';', ')') THEN chr(10) || chr(10) ELSE ' ' END
+    || CASE WHEN right(t, 1) = '-' AND more THEN left(t, length(t) - 1) ELSE t END END AS parte FROM w""",
     "q_anchors": f"WITH RECURSIVE {_ANCHORS} SELECT pos, a AS is_anchor FROM marked",
     "q_sequence_repair": f"{_REPAIR} SELECT * FROM fixed",
     "q_id_status_counts": f"{_REPAIR} SELECT id_status, count(*) AS n FROM fixed GROUP BY id_status",

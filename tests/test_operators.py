@@ -332,3 +332,14 @@ def test_projection(spark):
     df = spark.createDataFrame([(1, 2)], "a int, b int")
     assert panel.project(df, ["b", "z"], "x").collect()[0].asDict() == {"b": 2, "z": "x"}
     assert panel.available(df, ["z", "b"]).columns == ["b"]
+
+
+def test_volume_parts(spark):
+    """The parts together are the stitched pages."""
+    pages = {"A": ["pala-", "bra y", " ", "más.", None, "Fin"], "B": [" solo \n"], "C": ["uno:", "dos-"], "D": ["", ""]}
+    df = spark.createDataFrame([(t, i, x) for t, xs in pages.items() for i, x in enumerate(xs)], "tomo string, page_num int, text string")
+    got = dict.fromkeys(pages, "")
+    for r in contracts.volume_parts(df, "text").orderBy("tomo", "page_num").collect():
+        got[r.tomo] += r.parte
+    for t, xs in pages.items():
+        assert got[t] == one(spark, contracts.stitch, [x or "" for x in xs], "array<string>")

@@ -36,7 +36,7 @@ CHUNK = 50_000
 # Fixed value: more words than a text has, to keep passage and shift in one number.
 SHIFTS = 1 << 32
 
-BREAK = re.compile(r"(?<=[^\W\d_])[-‐‑–¬­]\s*\n\s*(?=[^\W\d_])")
+BREAK = re.compile(r"[-‐‑–¬­](?<=[^\W\d_].)\s*\n\s*(?=[^\W\d_])")  # the sign first, which is found fast
 TOKEN = re.compile(r"[^\W_]+(?:[.,]\d{3})*", re.UNICODE)
 # Signs a scan shows in place of letters.
 MISREAD = str.maketrans({"0": "o", "1": "l", "5": "s", "6": "b", "2": "z", "8": "b", "9": "g", "3": "e", "4": "a"})
@@ -248,13 +248,13 @@ def align(doc: np.ndarray, passage: np.ndarray, miss: float = 0.9, gap: float =
     score = np.zeros((n + 1, m + 1))
     equal = doc[:, None] == passage[None, :]
     step = np.where(equal, 1.0, -miss)
-    cols = np.arange(1, m + 1)
+    gaps = gap * np.arange(1, m + 1)
     for i in range(1, n + 1):
         up = score[i - 1]
-        row = np.maximum(0.0, np.maximum(up[:-1] + step[i - 1], up[1:] - gap))
+        row = np.maximum(up[:-1] + step[i - 1], up[1:] - gap)
+        np.maximum(row, 0.0, out=row)
         # gaps along the passage: running maximum of value plus gap so far
-        row = np.maximum(row, np.maximum.accumulate(row + gap * cols) - gap * cols)
-        score[i, 1:] = row
+        np.maximum(row, np.maximum.accumulate(row + gaps) - gaps, out=score[i, 1:])
     i, j = np.unravel_index(int(score.argmax()), score.shape)
     if score[i, j] <= 0:
         return []
@@ -341,7 +341,7 @@ def runs(index: Index, codes: np.ndarray, rule: Rule, text_of: np.ndarray) -> np
         enough = index.known_of(codes, text_of) > need
         near = enough[text_of[at], passage]
         passage, place, at = passage[near], place[near], at[near]
-        p, where, spot = index.told(codes)
+        p, where, spot = index.told(np.where(enough.any(axis=1)[text_of], codes, -1))
         near = enough[text_of[spot], p]
         p, where, spot = p[near], where[near], spot[near]
         tell = p * SHIFTS + spot - where + SHIFTS // 2

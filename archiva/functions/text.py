@@ -22,9 +22,13 @@ def let(c: Column, f: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(c), f), 1)
 
 
+#: What \\s stands for with Unicode classes.
+WHITE = "".join(map(chr, (*range(9, 14), 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)))
+
+
 def strip(c: Column) -> Column:
     """Without white space of any kind at both ends."""
-    return sub(c, r"^\s+|\s+\z")
+    return F.btrim(c, F.lit(WHITE))
 
 
 def blank(c: Column) -> Column:
@@ -204,8 +208,8 @@ def is_record_start(c: Column, target: str = "librodelano", most: int = 3, words
 
 
 def clean_value(c: Column) -> Column:
-    """Without separators at the ends, white space made one blank."""
-    return strip(sub(sub(sub(strip(c), r"^[\s.—–\-,;]+"), r"[\s.—–\-,;]+$"), r"\s+", " "))
+    """Without separators at the ends, white space made one blank. Single blanks, nearly all there is, are no match."""
+    return sub(F.btrim(c, F.lit(WHITE + ".—–-,;")), r" \s+|[^\S ]\s*", " ")
 
 
 def safe_name(c: Column) -> Column:

@@ -69,35 +69,52 @@ class Http:
         return out
 
 
-def infer(df: DataFrame, inputs: str, factory: Callable[[], Backend], out: str, tries: int = 2) -> DataFrame:
-    """``df`` with the backend's answer to ``inputs``; null inputs are not sent.
+def answer(model: Backend, xs: list, tries: int = 2) -> list[str | None]:
+    """The model's answers to a batch; null inputs are not sent.
 
     If a batch fails, its inputs are sent one by one, each up to ``tries`` times; only those that fail then are null.
     """
+    at = [i for i, x in enumerate(xs) if x is not None]
+    answers: list[str | None] = [None] * len(xs)
+    try:
+        for i, a in zip(at, model.run([xs[i] for i in at]), strict=True):
+            answers[i] = a
+    except Exception:  # noqa: BLE001 - a model may fail in any way; what fails by itself stays unanswered
+        for i in at:
+            for _ in range(tries):
+                try:
+                    (answers[i],) = model.run([xs[i]])
+                    break
+                except Exception:  # noqa: BLE001
+                    continue
+    return answers
+
+
+def infer(df: DataFrame, inputs: str, factory: Callable[[], Backend], out: str, tries: int = 2) -> DataFrame:
+    """``df`` with the backend's answer to ``inputs``, see answer()."""
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = factory()
         for b in batches:
-            xs = b.column(b.schema.names.index(inputs)).to_pylist()
-            at = [i for i, x in enumerate(xs) if x is not None]
-            answers: list[str | None] = [None] * len(xs)
-            try:
-                for i, a in zip(at, model.run([xs[i] for i in at]), strict=True):
-                    answers[i] = a
-            except Exception:  # noqa: BLE001 - a model may fail in any way; what fails by itself stays unanswered
-                for i in at:
-                    for _ in range(tries):
-                        try:
-                            (answers[i],) = model.run([xs[i]])
-                            break
-                        except Exception:  # noqa: BLE001
-                            continue
+            answers = answer(model, b.column(b.schema.names.index(inputs)).to_pylist(), tries)
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(answers, pa.string())], names=[*b.schema.names, out])
 
     return df.mapInArrow(run, f"{schema}, `{out}` string")
 
 
+def ask(c: Column, factory: Callable[[], Backend], tries: int = 2) -> Column:
+    """The backend's answer to a column, see answer(); in Arrow batches of this column alone, so other columns stay where they are."""
+
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        model = factory()
+        for b in batches:
+            yield pa.array(answer(model, b.to_pylist(), tries), pa.string())
+
+    # a call is dear: no plan may repeat or move it
+    return F.arrow_udf(run, "string").asNondeterministic()(c)
+
+
 def choose_attempt(attempts: Column, keep: str = "last") -> Column:
     """Of a page's outputs in the order of the attempts: the first valid one, else the last (or first) that is not blank."""
     valid = F.filter(attempts, lambda x: is_valid(output_flags(x)))
@@ -126,11 +143,11 @@ def extract_entities(df: DataFrame, pos: str, text: str, factory: Callable[[], B
     base = df.drop(*names)
     if not factory().available():
         return base.withColumns({c: F.lit("") for c in names})
-    asked = base.where(~blank(F.col(text))).select(pos, F.col(text).alias("_x"))
+    asked = ~blank(F.col(text))
     if most is not None:
-        asked = asked.orderBy(pos).limit(most)
-    answers = infer(asked, "_x", factory, "_answer")
+        first = base.where(asked).select(pos).orderBy(pos).limit(most)
+        base, asked = base.join(first.withColumn("_ask", F.lit(True)), pos, "left"), F.col("_ask")
+    answers = base.withColumn("_answer", ask(F.when(asked, F.col(text)), factory))
     payload = normalize_payload(json_in_prose(F.col("_answer")))
-    flat = flatten_payload(answers.withColumn("_p", payload), "_p").withColumn("tipo", F.when(F.col("_answer").isNull(), "").otherwise(F.col("tipo"))).drop("_x", "_answer")
-    j = base.join(flat, pos, "left")
-    return j.select(*base.columns, *(F.coalesce(strip(F.col(c)), F.lit("")).alias(c) for c in names))
+    flat = flatten_payload(answers.withColumn("_p", payload), "_p").withColumn("tipo", F.when(F.col("_answer").isNull(), "").otherwise(F.col("tipo")))
+    return flat.select(*(c for c in base.columns if c != "_ask"), *(F.coalesce(strip(F.col(c)), F.lit("")).alias(c) for c in names))

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from archiva.functions.text import blank, rx, strip
+from archiva.functions.text import blank, let, rx, strip
 
 # Kinds of record by the words that tell them, the first that matches holds.
 TYPES = [
@@ -80,22 +80,29 @@ def normalize_payload(c: Column) -> Column:
 
     A plain text as a person's attributes is the relation. Broken JSON gives otros and empty lists.
     """
-    d = F.coalesce(F.from_json(c, "map<string,string>"), F.create_map().cast("map<string,string>"))
-    get = lambda k: F.try_element_at(d, F.lit(k))
-    tipo = F.lower(strip(F.coalesce(get("tipo"), F.lit(""))))
-    people = _strings(get("personas"))
-    raw = F.coalesce(F.from_json(get("atributos"), "map<string,string>"), F.create_map().cast("map<string,string>"))
-
-    def attrs(p: Column) -> Column:
-        v = F.trim(F.coalesce(F.try_element_at(raw, p), F.lit("")))
-        nested = F.coalesce(F.from_json(v, "map<string,string>"), F.create_map().cast("map<string,string>"))
-        fields = [F.when(v.startswith("{"), strip(F.coalesce(F.try_element_at(nested, F.lit(f)), F.lit("")))).otherwise(strip(v) if f == "relacion" else F.lit("")).alias(f) for f in FIELDS]
-        return F.struct(*fields)
-
-    listed = F.filter(F.array_distinct(people), lambda p: F.map_contains_key(raw, p))
-    return F.struct(
-        F.when(tipo == "", "otros").otherwise(tipo).alias("tipo"), people.alias("personas"), _strings(get("naos")).alias("naos"), _strings(get("lugares")).alias("lugares"), F.map_from_arrays(listed, F.transform(listed, attrs)).alias("atributos")
-    )
+    none = F.create_map().cast("map<string,string>")
+
+    def whole(d: Column) -> Column:
+        get = lambda k: F.try_element_at(d, F.lit(k))
+        tipo = F.lower(strip(F.coalesce(get("tipo"), F.lit(""))))
+
+        def with_persons(people: Column) -> Column:
+            attributes = let(F.coalesce(F.from_json(get("atributos"), "map<string,string>"), none), lambda raw: of_persons(raw, people))
+            return F.struct(F.when(tipo == "", "otros").otherwise(tipo).alias("tipo"), people.alias("personas"), _strings(get("naos")).alias("naos"), _strings(get("lugares")).alias("lugares"), attributes.alias("atributos"))
+
+        return let(_strings(get("personas")), with_persons)
+
+    def of_persons(raw: Column, people: Column) -> Column:
+        def attrs(p: Column) -> Column:
+            v = F.trim(F.coalesce(F.try_element_at(raw, p), F.lit("")))
+            nested = F.coalesce(F.from_json(v, "map<string,string>"), none)
+            fields = [F.when(v.startswith("{"), strip(F.coalesce(F.try_element_at(nested, F.lit(f)), F.lit("")))).otherwise(strip(v) if f == "relacion" else F.lit("")).alias(f) for f in FIELDS]
+            return F.struct(*fields)
+
+        listed = F.filter(F.array_distinct(people), lambda p: F.map_contains_key(raw, p))
+        return F.map_from_arrays(listed, F.transform(listed, attrs))
+
+    return let(F.coalesce(F.from_json(c, "map<string,string>"), none), whole)
 
 
 def flatten_payload(df: DataFrame, payload: str) -> DataFrame:

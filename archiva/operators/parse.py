@@ -9,7 +9,8 @@ from archiva.functions.text import blank, clean_value, rx
 
 # Patterns of the start, the labels and the parts of a record, tolerant of misread letters.
 SEP = r"[\s.—–\-,;]"
-START = r"[\w.]{0,5}br[oió]\s+[d1.]*[elé!.]+\s+\.?\s*a[ñn—]+[oó]\s*[:.;]?\s*"
+START_CORE = r"br[oió]\s+[d1.]*[elé!.]+\s+\.?\s*a[ñn—]+[oó]\s*[:.;]?\s*"
+START = r"[\w.]{0,5}" + START_CORE
 START_LOOSE = r"\b[d1.][elé!.]+\s+\.?\s*a[ñn—]+[oó]\s*[:.;]?\s*"
 SUBJECT = SEP + r"+A[su][uú]n[^\s:;]{0,2}o\s*[;:]\s*"
 SUBJECT_LOOSE = SEP + r"+A[su][uú]n[^\s:;]{0,2}o\s+"
@@ -24,15 +25,26 @@ YEAR = r"\b(\d{4})\b"
 FIELDS = ["macrodatos", "anio", "oficio", "libro", "escribania", "folio", "fecha", "signatura", "asunto", "observaciones"]
 
 
-def _find(c: Column, pattern: str, loose: str | None = None) -> Column:
-    """start and end (0-based, end exclusive) of the first match, or of the looser pattern's; null without one."""
+def _match(c: Column, pattern: str) -> Column:
+    """The first match, '' without one."""
+    return F.regexp_extract(c, rx(pattern, "i"), 0)
 
-    def one(p: str) -> Column:
-        lit = F.lit(rx(p, "i"))
-        at = F.regexp_instr(c, lit)
-        return F.when(at > 0, F.struct((at - 1).alias("start"), (at - 1 + F.length(F.regexp_substr(c, lit))).alias("end")))
 
-    return F.coalesce(one(pattern), one(loose)) if loose else one(pattern)
+def _place(c: Column, match: Column) -> Column:
+    """start and end (0-based, end exclusive) of a match in ``c``; null for ''.
+
+    The pattern must look at nothing outside its match: then no equal text stands before the match, so it is found
+    by its text, and the pattern is tried once.
+    """
+    at = F.position(match, c)
+    return F.when(match != "", F.struct((at - 1).alias("start"), (at - 1 + F.length(match)).alias("end")))
+
+
+def _place_by_pattern(c: Column, pattern: str) -> Column:
+    """The like for a pattern that also looks at what stands before its match."""
+    lit = F.lit(rx(pattern, "i"))
+    at = F.regexp_instr(c, lit)
+    return F.when(at > 0, F.struct((at - 1).alias("start"), (at - 1 + F.length(F.regexp_substr(c, lit))).alias("end")))
 
 
 def _cut(c: Column, start: Column, end: Column | None = None) -> Column:
@@ -41,9 +53,9 @@ def _cut(c: Column, start: Column, end: Column | None = None) -> Column:
 
 
 def count_subrecords(c: Column) -> Column:
-    """Record starts in a text, one at least."""
-    strict, loose = (F.regexp_count(F.coalesce(c, F.lit("")), F.lit(rx(p, "i"))) for p in (START, START_LOOSE))
-    return F.greatest(F.lit(1), F.when(strict > 0, strict).otherwise(loose))
+    """Record starts in a text, one at least. What may stand before START_CORE changes no count."""
+    strict, loose = (F.regexp_count(F.coalesce(c, F.lit("")), F.lit(rx(p, "i"))) for p in (START_CORE, START_LOOSE))
+    return F.greatest(F.lit(1), strict, F.when(strict == 0, loose))
 
 
 def parse_text(df: DataFrame, text: str) -> DataFrame:
@@ -54,26 +66,29 @@ def parse_text(df: DataFrame, text: str) -> DataFrame:
     """
     keep = [c for c in df.columns if c not in {*FIELDS, "anio_num", "n_subregistros", "_parse_ok"}]
     t = F.coalesce(F.col(text).cast("string"), F.lit(""))
-    d = df.select(*keep, t.alias("_t")).withColumn("_s", _find(F.col("_t"), START, START_LOOSE))
+    d = df.select(*keep, t.alias("_t")).withColumn("_m", _match(F.col("_t"), START))
+    d = d.withColumn("_s", F.coalesce(_place(F.col("_t"), F.col("_m")), _place_by_pattern(F.col("_t"), START_LOOSE)))
     d = d.withColumn("_after", F.when(F.col("_s").isNotNull(), _cut(F.col("_t"), F.col("_s.end"))))
-    d = d.withColumn("_a", _find(F.col("_after"), SUBJECT, SUBJECT_LOOSE))
+    d = d.withColumn("_m", _match(F.col("_after"), SUBJECT))
+    d = d.withColumn("_m", F.when(F.col("_m") == "", _match(F.col("_after"), SUBJECT_LOOSE)).otherwise(F.col("_m")))
+    d = d.withColumn("_a", _place(F.col("_after"), F.col("_m")))
     d = d.withColumn("_head", F.when(F.col("_a").isNotNull(), F.substr("_after", F.lit(1), F.col("_a.start"))).otherwise(F.col("_after")))
     d = d.withColumn("_body", F.when(F.col("_a").isNotNull(), _cut(F.col("_after"), F.col("_a.end"))).otherwise(F.lit("")))
-    d = d.withColumn("_o", _find(F.col("_body"), NOTES))
-    found = F.array_compact(F.array(*(F.when(m.isNotNull(), F.struct(m["start"].alias("start"), m["end"].alias("end"), F.lit(n).alias("name"))) for n, p in LABELS.items() for m in [_find(F.col("_head"), p)])))
-    d = d.withColumn("_l", F.array_sort(found))
+    d = d.withColumns({"_m": _match(F.col("_body"), NOTES)} | {f"_m_{n}": _match(F.col("_head"), p) for n, p in LABELS.items()})
+    d = d.withColumns({"_o": _place(F.col("_body"), F.col("_m"))} | {f"_at_{n}": _place(F.col("_head"), F.col(f"_m_{n}")) for n in LABELS})
+    found = F.array_compact(F.array(*(F.when(m.isNotNull(), F.struct(m["start"].alias("start"), m["end"].alias("end"), F.lit(n).alias("name"))) for n in LABELS for m in [F.col(f"_at_{n}")])))
+    d = d.withColumn("_l", F.sort_array(found))
 
     def value(name: str) -> Column:
-        at = F.array_position(F.transform("_l", lambda x: x["name"]), name)
+        at = F.array_position(F.col("_l")["name"], name)
         stop = F.coalesce(F.get(F.col("_l"), at.cast("int"))["start"], F.length("_head"))
-        mine = F.get(F.col("_l"), (at - 1).cast("int"))
-        return F.when(at > 0, clean_value(_cut(F.col("_head"), mine["end"], stop))).otherwise(F.lit(""))
+        return F.when(at > 0, clean_value(_cut(F.col("_head"), F.col(f"_at_{name}")["end"], stop))).otherwise(F.lit(""))
 
     year = F.when(F.size("_l") > 0, F.substr("_head", F.lit(1), F.get(F.col("_l"), F.lit(0))["start"])).otherwise(F.col("_head"))
     ok = F.col("_s").isNotNull()
     d = d.withColumns({f"_{n}": value(n) for n in LABELS} | {"_year": clean_value(year)})
-    office = F.col("_oficio")
-    subbook = F.regexp_extract(office, rx(SUBBOOK, "i"), 1)
+    d = d.withColumn("_sub", F.regexp_extract("_oficio", rx(SUBBOOK, "i"), 1))
+    office, subbook = F.col("_oficio"), F.col("_sub")
     out = {
         "macrodatos": clean_value(F.substr("_t", F.col("_s.start") + 1, F.col("_s.end") - F.col("_s.start") + F.length("_head"))), "anio": F.col("_year"),
         "oficio": F.when(subbook != "", clean_value(F.regexp_replace(office, rx(SUBBOOK, "i"), ""))).otherwise(office), "libro": F.when(subbook != "", F.concat(F.lit("Libro "), subbook)).otherwise(F.lit("")),

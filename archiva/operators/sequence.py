@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -24,19 +24,25 @@ def anchors(df: DataFrame, group: Sequence[str], pos: str, number: str, max_step
     types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
 
     def run(batches):
+        import numpy as np
         import pyarrow as pa
 
         for b in batches:
-            at, places = [], []
-            for i, xs in enumerate(b.column(b.num_columns - 1).to_pylist()):
+            lists = b.column(b.num_columns - 1)
+            xs, ends = lists.flatten(), np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False))
+            p, v = (xs.field(k).to_numpy(zero_copy_only=False) for k in ("p", "v"))
+            at, places, begin = [], [], 0
+            for i, end in enumerate(ends):
                 last = None
-                for x in xs:
-                    if last is None or last < x["v"] < last + max_step:
-                        last = x["v"]
+                for k, x in enumerate(v[begin:end].tolist(), begin):
+                    if last is None or last < x < last + max_step:
+                        last = x
                         at.append(i)
-                        places.append(x["p"])
-            t = b.take(pa.array(at, pa.int64()))
-            yield pa.RecordBatch.from_arrays([*t.columns[:-1], pa.array(places, pa.int64())], names=[*group, "_p"])
+                        places.append(k)
+                begin = end
+            # the lists are left behind: taken along, each anchor had a copy of its group's list
+            keys = [c.take(pa.array(at, pa.int64())) for c in b.columns[:-1]]
+            yield pa.RecordBatch.from_arrays([*keys, pa.array(p[places], pa.int64())], names=[*group, "_p"])
 
     found = seen.select(*group, "_xs").mapInArrow(run, ", ".join([*(f"`{g}` {types[g]}" for g in group), "_p bigint"]))
     on = F.col(f"d.{pos}") == F.col("a._p")
@@ -81,6 +87,28 @@ def repair(df: DataFrame, group: Sequence[str] = ("tomo_id",), pos: str = "pos",
     return kept.unionByName(lost, allowMissingColumns=True)
 
 
+def gaps(df: DataFrame, group: Sequence[str], pos: str, number: str, *carry: str) -> DataFrame:
+    """Anchors that miss more numbers up to the next anchor than rows stand between: group, _p and _v (place and number),
+    _b (the next anchor's number) and the columns ``carry``."""
+    d = anchors(df, group, pos, number)
+    order = W.partitionBy(*group).orderBy(pos)
+    d = d.withColumn("_seg", F.count_if("is_anchor").over(order.rowsBetween(W.unboundedPreceding, 0))).where(F.col("_seg") > 0)
+    per = d.groupBy(*group, "_seg").agg(F.max(F.when(F.col("is_anchor"), F.struct(F.col(pos).alias("_p"), F.col(number).cast("bigint").alias("_v"), *carry))).alias("a"), F.count_if(~F.col("is_anchor")).alias("_rows"))
+    per = per.withColumn("_b", F.lead("a._v").over(W.partitionBy(*group).orderBy("_seg")))
+    return per.where(F.col("_b") - F.col("a._v") - 1 > F.col("_rows")).select(*group, "a._p", "a._v", "_b", *(f"a.{c}" for c in carry))
+
+
+def pieces(holes: DataFrame, group: Sequence[str], number: str, text: str, every: bool = False, carry: Sequence[str] = ()) -> DataFrame:
+    """Records found in the texts of the anchors of gaps(), see buried()."""
+    ids = F.sequence(F.col("_v") + 1, F.col("_b") - 1)
+    at = F.transform(ids, lambda i: F.struct(F.regexp_instr(F.coalesce(F.col(text), F.lit("")), F.concat(F.lit(r"(?iUu)(?<!\d)"), i.cast("string"), F.lit(r"\s*\.?\s*-?\s*Libro\s+del\s+a"))).alias("desde"), i.alias("id")))
+    hits = F.filter(at, lambda x: x["desde"] > 0)
+    per = holes.withColumn("_found", F.array_sort(hits if every else F.slice(hits, 1, 1)))
+    each = per.select(*group, *carry, F.col("_p").alias("orden"), F.col(text).alias("_t"), "_found", F.posexplode("_found").alias("_i", "_x"))
+    stop = F.coalesce(F.get(F.col("_found"), F.col("_i") + 1)["desde"], F.length("_t") + 1)
+    return each.select(*group, *carry, "orden", (F.col("_i") + 2).alias("sub"), F.col("_x.id").alias(number), F.rtrim(F.substr("_t", F.col("_x.desde"), stop - F.col("_x.desde"))).alias(text), F.col("_x.desde").alias("desde"))
+
+
 def buried(df: DataFrame, group: Sequence[str] = ("tomo_id",), pos: str = "pos", number: str = "id_num", text: str = "texto_completo", every: bool = False) -> DataFrame:
     """Rows for records whose number was lost because their text stands in the record before: group, orden, sub, id_num,
     texto_completo and desde, where in the anchor's text (from 1) the text began.
@@ -89,19 +117,12 @@ def buried(df: DataFrame, group: Sequence[str] = ("tomo_id",), pos: str = "pos",
     first anchor's text as "88. Libro del a...". The first missing number that is found counts; with ``every`` all do, and
     each reaches to the next.
     """
-    d = anchors(df, group, pos, number)
-    order = W.partitionBy(*group).orderBy(pos)
-    d = d.withColumn("_seg", F.count_if("is_anchor").over(order.rowsBetween(W.unboundedPreceding, 0))).where(F.col("_seg") > 0)
-    per = d.groupBy(*group, "_seg").agg(F.max(F.when(F.col("is_anchor"), F.struct(F.col(pos).alias("p"), F.col(number).cast("bigint").alias("v"), F.col(text).alias("t")))).alias("a"), F.count_if(~F.col("is_anchor")).alias("_rows"))
-    per = per.withColumn("_b", F.lead("a.v").over(W.partitionBy(*group).orderBy("_seg")))
-    per = per.where(F.col("_b") - F.col("a.v") - 1 > F.col("_rows"))
-    ids = F.sequence(F.col("a.v") + 1, F.col("_b") - 1)
-    at = F.transform(ids, lambda i: F.struct(F.regexp_instr(F.coalesce(F.col("a.t"), F.lit("")), F.concat(F.lit(r"(?iUu)(?<!\d)"), i.cast("string"), F.lit(r"\s*\.?\s*-?\s*Libro\s+del\s+a"))).alias("desde"), i.alias("id")))
-    hits = F.filter(at, lambda x: x["desde"] > 0)
-    per = per.withColumn("_found", F.array_sort(hits if every else F.slice(hits, 1, 1)))
-    each = per.select(*group, F.col("a.p").alias("orden"), F.col("a.t").alias("_t"), "_found", F.posexplode("_found").alias("_i", "_x"))
-    stop = F.coalesce(F.get(F.col("_found"), F.col("_i") + 1)["desde"], F.length("_t") + 1)
-    return each.select(*group, "orden", (F.col("_i") + 2).alias("sub"), F.col("_x.id").alias(number), F.rtrim(F.substr("_t", F.col("_x.desde"), stop - F.col("_x.desde"))).alias(text), F.col("_x.desde").alias("desde"))
+    return pieces(gaps(df, group, pos, number, text), group, number, text, every)
+
+
+def text_before(text: str, start: str) -> Column:
+    """What is left of a text when what begins at ``start`` (from 1) is taken out; the whole where that is null."""
+    return F.when(F.col(start).isNotNull(), F.regexp_replace(F.substr(F.col(text), F.lit(1), F.col(start) - 1), r"\s+$", "")).otherwise(F.col(text))
 
 
 def resegment(df: DataFrame, group: Sequence[str] = ("tomo_id",), pos: str = "pos", number: str = "id_num", text: str = "texto_completo") -> DataFrame:
@@ -113,7 +134,7 @@ def resegment(df: DataFrame, group: Sequence[str] = ("tomo_id",), pos: str = "po
     for g in group:
         on &= F.col(f"d.{g}").eqNullSafe(F.col(f"f.{g}"))
     cut = base.alias("d").join(first.alias("f"), on, "left").select("d.*", "f._cut")
-    cut = cut.withColumn(text, F.when(F.col("_cut").isNotNull(), F.regexp_replace(F.substr(F.col(text), F.lit(1), F.col("_cut") - 1), r"\s+$", "")).otherwise(F.col(text))).drop("_cut")
+    cut = cut.withColumn(text, text_before(text, "_cut")).drop("_cut")
     fresh = found.select(*group, F.col("orden").alias(pos), "sub", number, text, F.lit("resegmentado").alias("id_status"))
     both = cut.withColumn("sub", F.lit(1)).unionByName(fresh, allowMissingColumns=True)
     return parse_text(both, text)

@@ -12,7 +12,10 @@ from pyspark.sql import functions as F
 from archiva.functions.text import clean_ocr
 from archiva.operators import contracts, graph, panel, parse, sequence
 from archiva.operators.backends import Backend, Stub, extract_entities
-from archiva.session import checkpoint, table
+from archiva.session import stage, table
+
+#: So many gaps are sent to all tasks at most; more are joined by shuffle.
+FEW = 100_000
 
 
 @dataclass
@@ -30,31 +33,49 @@ def reclean(boxes: DataFrame) -> DataFrame:
 
 def run_pipeline(
     boxes: DataFrame, extractor: Callable[[], Backend] = lambda: Stub(lambda x: None, up=False), volumes: list[str] | None = None, only_text: bool = False, skip_entities: bool = False, skip_network: bool = False,
-    most_entities: int | None = None, resegment_first: bool = False, cut: Callable[[DataFrame], DataFrame] = checkpoint,
+    most_entities: int | None = None, resegment_first: bool = False, cut: Callable[[DataFrame], DataFrame] = stage,
 ) -> Result:
-    """Boxes with text, grouped into records, parsed, renumbered, lost ones recovered, entities extracted, panel and network.
+    """Boxes with text, grouped into records, renumbered, lost ones recovered, parsed, entities extracted, panel and network.
 
-    ``cut`` materialises the records after each step. With ``resegment_first`` buried records are looked
-    for before lost numbers become rows, which else hide the gaps.
+    Numbers are repaired on a few columns, in which src and piece name the text of a row, since a volume is one task
+    there; the texts are joined to them once, when all rows are known, and parsed once. ``cut`` materialises what is
+    read again. With ``resegment_first`` buried records are looked for before lost numbers become rows, which else hide
+    the gaps.
     """
     d = boxes.where(F.col("tomo").isin(volumes)) if volumes else boxes
-    records = parse.parse_text(contracts.group_records(d).withColumnRenamed("island", "pos"), "texto_completo")
+    texts = contracts.group_records(d).withColumnRenamed("island", "pos")
     if only_text:
-        return Result(records, None, None, None)
-    group = ["tomo_id"]
-
-    def recover(x: DataFrame) -> DataFrame:
-        return renumber(sequence.resegment(x, group).withColumn("orden", F.col("pos")))
+        return Result(parse.parse_text(texts, "texto_completo"), None, None, None)
+    texts = cut(texts)
+    group, parts = ["tomo_id"], texts.withColumnRenamed("pos", "src").withColumn("piece", F.lit(1)).drop("tomo_id", "id_num", "class_origin")
 
     def repair(x: DataFrame) -> DataFrame:
-        return renumber(sequence.repair(x, group))
+        return cut(renumber(sequence.repair(x, group)))
 
-    # windows and joins of one step are not planned again in the next
-    records = cut(records)
+    def recover(x: DataFrame) -> DataFrame:
+        nonlocal parts
+        holes = cut(sequence.gaps(x, group, "pos", "id_num", "src"))
+        few = F.broadcast if holes.count() <= FEW else lambda h: h
+        found = cut(sequence.pieces(parts.select("src", "texto_completo").join(few(holes), "src"), group, "id_num", "texto_completo", carry=["src"]).withColumnRenamed("sub", "piece"))
+        parts = parts.unionByName(found.select("src", "piece", "texto_completo"), allowMissingColumns=True)
+        first = found.groupBy("src").agg(F.min("desde").alias("_cut"))
+        base = x if "id_status" in x.columns else x.withColumn("id_status", F.lit(""))
+        new = found.select(*group, F.col("orden").alias("pos"), "piece", "id_num", "src", F.lit("resegmentado").alias("id_status")).withColumn("sub", F.col("piece"))
+        both = base.join(few(first), "src", "left").withColumn("sub", F.lit(1)).unionByName(new, allowMissingColumns=True)
+        return cut(renumber(both.withColumn("orden", F.col("pos"))))
+
+    rows = texts.select("pos", *group, "id_num", "class_origin", F.col("pos").alias("src"), F.lit(1).alias("piece"))
     for step in ((recover, repair) if resegment_first else (repair, recover)):
-        records = cut(step(records))
+        rows = step(rows)
+    # lost rows have no text; their own numbers keep them from meeting in one task
+    records = rows.withColumn("src", F.coalesce("src", -F.col("pos"))).join(parts, ["src", "piece"], "left")
+    records = parse.parse_text(records.withColumn("texto_completo", sequence.text_before("texto_completo", "_cut")).drop("src", "piece", "_cut"), "texto_completo")
+    if resegment_first:  # rows that came after the search have no fields
+        records = records.withColumns({c: F.when(F.col("id_status") != "perdido", F.col(c)) for c in (*parse.FIELDS, "anio_num", "n_subregistros", "_parse_ok")})
     blank = {c: F.lit("") for c in ("tipo", "personas", "naos", "lugares", "atributos")}
-    records = records.withColumns(blank) if skip_entities else cut(extract_entities(records, "pos", "asunto", extractor, most_entities))
+    if most_entities is not None and not skip_entities:
+        records = cut(records)
+    records = cut(records.withColumns(blank) if skip_entities else extract_entities(records, "pos", "asunto", extractor, most_entities))
     kept, _ = panel.split_headers(records)
     long = panel.panelize(kept.withColumn("contrato_idx", F.col("pos")))
     if skip_network:
@@ -64,8 +85,8 @@ def run_pipeline(
 
 
 def renumber(df: DataFrame) -> DataFrame:
-    """Places from 1 in the order of orden and sub, counted per volume and offset, so no volume waits for another."""
-    w = W.partitionBy("tomo_id").orderBy("orden", "sub")
+    """Places from 1 in the order of orden, sub and number, counted per volume and offset, so no volume waits for another."""
+    w = W.partitionBy("tomo_id").orderBy("orden", "sub", "id_num")
     n = df.groupBy("tomo_id").agg(F.count("*").alias("_n")).withColumn("_off", F.coalesce(F.sum("_n").over(W.orderBy("tomo_id").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)))
     d = df.withColumn("_r", F.row_number().over(w)).alias("d").join(n.alias("n"), F.col("d.tomo_id").eqNullSafe(F.col("n.tomo_id"))).select("d.*", "n._off")
     return d.withColumn("pos", (F.col("_off") + F.col("_r")).cast("bigint")).drop("_r", "_off", "orden", "sub")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import pickle
+import uuid
 
 from pyspark import cloudpickle
 from pyspark.core.broadcast import Broadcast
@@ -42,21 +43,39 @@ def spread(df: DataFrame, *cols: str) -> DataFrame:
     return df if df.rdd.getNumPartitions() >= n else df.repartition(n, *cols)
 
 
-def checkpoint(df: DataFrame) -> DataFrame:
-    """Cut lineage through reliable storage.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that the cluster names in ``spark.checkpoint.dir``.
 
-    The folder is the one the cluster names in ``spark.checkpoint.dir``; only where none is set and all runs on one
-    machine, as in tests, a folder of the warehouse is used.
+    Only where none is set and all runs on one machine, as in tests, a folder of the warehouse is used.
     """
-    sc = df.sparkSession.sparkContext
+    sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        at = df.sparkSession.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
+        at = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
         if not at and not sc.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        sc.setCheckpointDir(at or df.sparkSession.conf.get("spark.sql.warehouse.dir").removeprefix("file:") + "/checkpoints")
+        sc.setCheckpointDir(at or spark.conf.get("spark.sql.warehouse.dir").removeprefix("file:") + "/checkpoints")
+    return sc.getCheckpointDir()
+
+
+def checkpoint(df: DataFrame) -> DataFrame:
+    """Cut lineage through reliable storage, see shared_folder()."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()
 
 
+def stage(df: DataFrame) -> DataFrame:
+    """Cut lineage like checkpoint(), through parquet: compressed, and who reads it takes only the columns it needs.
+
+    The files stay until the application ends.
+    """
+    spark = df.sparkSession
+    at = f"{shared_folder(spark)}/{uuid.uuid4().hex}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(at)
+    path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).deleteOnExit(path)
+    df.write.parquet(at)
+    return spark.read.schema(df.schema).parquet(at)
+
+
 def share(spark: SparkSession, value: object) -> Broadcast:
     """A broadcast of any object, its classes by value, so that executors need no copy of the package."""
     return spark.sparkContext.broadcast(cloudpickle.dumps(value))

@@ -61,10 +61,12 @@ def repair(df: DataFrame, group: Sequence[str] = ("tomo_id",), pos: str = "pos",
     """
     d = anchors(df.drop("id_status", "id_num_original", "orden", "sub"), group, pos, number)
     order = W.partitionBy(*group).orderBy(pos)
-    so_far, ahead = order.rowsBetween(W.unboundedPreceding, 0), order.rowsBetween(0, W.unboundedFollowing)
+    so_far = order.rowsBetween(W.unboundedPreceding, 0)
+    # the next anchor is sought from the end: a frame that reaches to the end is summed up anew for each row
+    behind = W.partitionBy(*group).orderBy(F.desc(pos)).rowsBetween(W.unboundedPreceding, -1)
     num = F.col(number).cast("bigint")
     mine = F.when(F.col("is_anchor"), num)
-    d = d.withColumn("_a", F.last(mine, ignorenulls=True).over(so_far)).withColumn("_b", F.first(F.when(F.col("is_anchor"), num), ignorenulls=True).over(order.rowsBetween(1, W.unboundedFollowing)))
+    d = d.withColumn("_a", F.last(mine, ignorenulls=True).over(so_far)).withColumn("_b", F.last(mine, ignorenulls=True).over(behind))
     d = d.withColumn("_seg", F.count_if("is_anchor").over(so_far))
     inside = ~F.col("is_anchor") & F.col("_a").isNotNull() & F.col("_b").isNotNull()
     fits = inside & (num.isNotNull() | (F.coalesce(F.col(kind), F.lit("")) != "continuacion"))

@@ -1,12 +1,13 @@
 """Held-out passages that turn up in a corpus, whole or in part.
 
 The n-grams of the normalised passages are a broadcast hash table; a window slides over the words of the documents
-and looks them up, many documents at once. Where hits run along and a telling word of the passage stands among them,
-the words of the passage that could agree at all are counted; where these would satisfy the rule, a local alignment of
-the words decides, which forgives misread, added, lost and changed words. A running stretch counts if it is long
-enough, if enough of its words agree, and if enough of what tells it from sentences built alike does: its names and
-numbers, and words in whose place another passage built alike has a different one. No share of the passages decides what tells,
-so neither equal nor unrelated passages change what is found of one.
+and looks them up, many documents at once. Hits are counted by passage and range of shifts before any is looked at by
+itself. Where hits run along and a telling word of the passage stands among them, the words of the passage that could
+agree at all are counted; where these would satisfy the rule, a local alignment of the words decides, which forgives
+misread, added, lost and changed words. A running stretch counts if it is long enough, if enough of its words agree,
+and if enough of what tells it from sentences built alike does: its names and numbers, and words in whose place another
+passage built alike has a different one. No share of the passages decides what tells, so neither equal nor unrelated
+passages change what is found of one.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from __future__ import annotations
 import math
 import re
 from collections import defaultdict
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -32,12 +33,16 @@ MAX_PASSAGE_CHARS = 50_000_000
 ADDED = 4
 #: So many shifts are aligned at once, and so many words of texts are searched at once.
 WIDE = 256
-CHUNK = 50_000
+CHUNK = 25_000
 # Fixed value: more words than a text has, to keep passage and shift in one number.
 SHIFTS = 1 << 32
+# Fixed value: the most cells in which hits are counted before they are looked at one by one, a power of two.
+CELLS = 1 << 19
 
 BREAK = re.compile(r"[-‐‑–¬­](?<=[^\W\d_].)\s*\n\s*(?=[^\W\d_])")  # the sign first, which is found fast
-TOKEN = re.compile(r"[^\W_]+(?:[.,]\d{3})*", re.UNICODE)
+TOKEN = re.compile(r"[^\W_]++(?:[.,]\d{3})*+", re.UNICODE)
+PLAIN_TOKEN = re.compile(r"\w++(?:[.,]\d{3})*+", re.UNICODE)  # the same in a text without low lines, found faster
+NUMBER, NO_DIGIT = re.compile(r"\d+(?:[.,]\d{3})+"), re.compile(r"\D")
 # Signs a scan shows in place of letters.
 MISREAD = str.maketrans({"0": "o", "1": "l", "5": "s", "6": "b", "2": "z", "8": "b", "9": "g", "3": "e", "4": "a"})
 
@@ -64,13 +69,13 @@ def normal(token: str) -> str:
     token = token.translate(PLAIN)
     if token.isalpha():
         return token
-    if token.isdigit() or re.fullmatch(r"\d+(?:[.,]\d{3})+", token):
-        return re.sub(r"\D", "", token)
+    if token.isdigit() or NUMBER.fullmatch(token):
+        return NO_DIGIT.sub("", token)
     return token.translate(MISREAD)
 
 
 def tokens(text: str) -> list[str]:
-    return TOKEN.findall(prepared(text).lower())
+    return PLAIN_TOKEN.findall(prepared(text).lower().replace("_", " "))
 
 
 def words(text: str) -> list[str]:
@@ -130,17 +135,35 @@ class Postings:
         different, first = np.unique(keys[order], return_index=True)
         return cls(different, np.append(first, len(keys)).astype(np.int64), passages[order], places[order])
 
-    def find(self, keys: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Passage, place in it and ``at`` of each time one of ``keys``, which stands at ``at``, is known."""
-        none = np.zeros(0, np.int64)
+    def find(self, keys: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Number of the posting and ``at`` of each time one of ``keys``, which stands at ``at``, is known."""
         if not len(self.keys) or not len(keys):
-            return none, none, none
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
         k = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
         known = self.keys[k] == keys
         k, at = k[known], at[known]
         first, count = self.starts[k], self.starts[k + 1] - self.starts[k]
-        each = np.repeat(first - np.cumsum(count) + count, count) + np.arange(count.sum())
-        return self.passages[each], self.places[each], np.repeat(at, count)
+        each = np.repeat(first - np.cumsum(count) + count, count)
+        each += np.arange(len(each))
+        return each, np.repeat(at, count)
+
+    def cells(self, each: np.ndarray, at: np.ndarray, wide: int, stride: int, cells: int) -> np.ndarray:
+        """The cell of each posting: its passage and range of ``wide`` shifts, ``stride`` ranges from passage to passage.
+
+        ``cells``: a power of two. Several ranges may share a cell, which only makes what is counted in it more.
+        """
+        if len(each) > len(self.passages):
+            cell = (self.passages * (stride * wide) - self.places)[each]
+        else:
+            cell = self.passages[each] * (stride * wide) - self.places[each]
+        cell += at
+        cell //= wide
+        cell &= cells - 1
+        return cell
+
+    def shifts(self, each: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """Passage and shift of each posting in one number."""
+        return self.passages[each] * SHIFTS + at - self.places[each] + SHIFTS // 2
 
 
 @dataclass
@@ -155,12 +178,17 @@ class Index:
     n: int
     grams: Postings
     telling: Postings
+    tell_weights: np.ndarray
     flat: np.ndarray
     weights: np.ndarray
     any_tell: np.ndarray
     first: np.ndarray
     sizes: np.ndarray
+    tell_flat: np.ndarray
+    tell_first: np.ndarray
+    tell_sizes: np.ndarray
     fuzzy: dict[str, int] = field(default_factory=dict)
+    least: dict[Rule, np.ndarray] = field(default_factory=dict)
 
     @classmethod
     def build(cls, items: Sequence[tuple[int, str]], n: int = 2) -> Index:
@@ -187,37 +215,37 @@ class Index:
         grams = Postings.build(keys[whole[: len(keys)]], number[: len(keys)][whole[: len(keys)]], place[: len(keys)][whole[: len(keys)]])
         weights = np.concatenate([np.zeros(0), *tells])
         tell = weights > 0
-        return cls([i for i, _ in items], passages, tells, vocabulary, dict(deletes), n, grams, Postings.build(flat[tell], number[tell], place[tell]), flat, weights, np.bincount(flat, tell, len(vocabulary)) > 0, np.cumsum(sizes) - sizes, sizes)
+        telling = Postings.build(flat[tell], number[tell], place[tell])
+        first = np.cumsum(sizes) - sizes
+        tell_sizes = np.bincount(number[tell], minlength=len(sizes))
+        return cls([i for i, _ in items], passages, tells, vocabulary, dict(deletes), n, grams, telling, weights[first[telling.passages] + telling.places], flat, weights, np.bincount(flat, tell, len(vocabulary)) > 0, first, sizes, np.flatnonzero(tell), np.cumsum(tell_sizes) - tell_sizes, tell_sizes)
 
-    def hits(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Passage and place in it of every n-gram of the codes that is in the index, and where in the codes it stands."""
+    def hits(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Posting of every n-gram of the codes that is in the index, and where in the codes it stands."""
         keys = rolled(codes, self.n, len(self.vocabulary) + 1)
         bad = np.concatenate([[0], np.cumsum(codes < 0)])  # words that no passage has
         at = np.flatnonzero(bad[self.n : self.n + len(keys)] == bad[: len(keys)])
         return self.grams.find(keys[at], at)
 
-    def known_of(self, codes: np.ndarray, text_of: np.ndarray) -> np.ndarray:
-        """For each text and passage how much it tells that the text has, each place of the passage once."""
-        at = np.flatnonzero(codes >= 0)
-        at = at[self.any_tell[codes[at]]]
-        pair = np.unique(text_of[at] * len(self.any_tell) + codes[at])
-        each, text = pair % len(self.any_tell), pair // len(self.any_tell)
-        n, texts = len(self.sizes), int(text_of.max(initial=-1)) + 1
-        p, where, spot = self.telling.find(each, np.arange(len(each)))
-        return np.bincount(text[spot] * n + p, self.weights[self.first[p] + where], texts * n).reshape(texts, n)
-
-    def told(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def told(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The same of every telling word."""
         at = np.flatnonzero(codes >= 0)
         at = at[self.any_tell[codes[at]]]
         return self.telling.find(codes[at], at)
 
+    def least_told(self, rule: Rule) -> np.ndarray:
+        """Rule.told() of each passage."""
+        if rule not in self.least:
+            self.least[rule] = np.array([rule.told(t) for t in self.tells])
+        return self.least[rule]
+
     def code_all(self, found: Sequence[str]) -> np.ndarray:
         """Numbers of the words of a text."""
         got = list(map(self.fuzzy.get, found))
-        if None in got:
-            got = [self.code(w) if k is None else k for k, w in zip(got, found, strict=True)]
-        return np.array(got, np.int64)
+        try:
+            return np.fromiter(got, np.int64, len(got))
+        except TypeError:  # a word not seen before
+            return np.array([self.code(w) if k is None else k for k, w in zip(got, found, strict=True)], np.int64)
 
     def code(self, word: str) -> int:
         """Number of a word; misread words get that of the passage word one letter away; others -1."""
@@ -230,9 +258,11 @@ class Index:
             self.fuzzy[raw] = best
             return best
         if len(word) > 3 and not word.isdigit() and len(word) < 40:
-            near: set[str] = set()
-            for d in {word[:k] + word[k + 1 :] for k in range(len(word))} | {word}:
-                near.update(self.deletes.get(d, ()))
+            near = set(self.deletes.get(word, ()))
+            for k in range(len(word)):
+                d = word[:k] + word[k + 1 :]
+                if d in self.deletes:
+                    near.update(self.deletes[d])
             hits = [w for w in near if close(w, word, 1)] or [w for w in near if len(w) > 6 and close(w, word, 2)]
             if hits:
                 best = self.vocabulary[min(hits)]
@@ -241,36 +271,44 @@ class Index:
         return best
 
 
-def align(doc: np.ndarray, passage: np.ndarray, miss: float = 0.9, gap: float = 0.7) -> list[tuple[int, int, int, int, np.ndarray]]:
+def align(doc: np.ndarray, passage: np.ndarray, hit: int = 10, miss: int = 9, gap: int = 7) -> list[tuple[int, int, int, int, np.ndarray]]:
     """The best local alignment: doc start, doc end, passage start, passage end (ends exclusive) and for each word of
-    the passage the word of the doc that agrees with it, or -1. One element, or none if no word agrees."""
-    n, m = len(doc), len(passage)
-    score = np.zeros((n + 1, m + 1))
-    equal = doc[:, None] == passage[None, :]
-    step = np.where(equal, 1.0, -miss)
-    gaps = gap * np.arange(1, m + 1)
-    for i in range(1, n + 1):
-        up = score[i - 1]
-        row = np.maximum(up[:-1] + step[i - 1], up[1:] - gap)
-        np.maximum(row, 0.0, out=row)
-        # gaps along the passage: running maximum of value plus gap so far
-        np.maximum(row, np.maximum.accumulate(row + gaps) - gaps, out=score[i, 1:])
-    i, j = np.unravel_index(int(score.argmax()), score.shape)
+    the passage the word of the doc that agrees with it, or -1. One element, or none if no word agrees.
+
+    Whole numbers, so that equal scores are equal. A score is kept with ``gap`` added for each step down and to the right,
+    by which gaps cost nothing, and those along a row are a running maximum.
+    """
+    turned = len(doc) > len(passage)  # the longer side is done at once
+    across, along = (doc, passage) if turned else (passage, doc)
+    n, m = len(along), len(across)
+    equal = along[:, None] == across[None, :]
+    step = np.where(equal, hit + 2 * gap, 2 * gap - miss).astype(np.int32)
+    zero = gap * np.add.outer(np.arange(n + 1, dtype=np.int32), np.arange(m + 1, dtype=np.int32))
+    score = zero.copy()
+    row = np.empty(m, np.int32)
+    for up, add, none, out in zip(score[:-1], step, zero[1:, 1:], score[1:, 1:], strict=True):
+        np.add(up[:-1], add, out=row)
+        np.maximum(row, up[1:], out=row)
+        np.maximum(row, none, out=row)
+        np.maximum.accumulate(row, out=out)
+    score -= zero
+    if turned:
+        score, equal = score.T, equal.T
+    i, j = (int(x) for x in np.unravel_index(int(score.argmax()), score.shape))
     if score[i, j] <= 0:
         return []
-    end_i, end_j = int(i), int(j)
-    agrees = np.full(m, -1, np.int64)
-    while i > 0 and j > 0 and score[i, j] > 1e-9:
-        s = score[i, j]
-        if abs(s - (score[i - 1, j - 1] + step[i - 1, j - 1])) < 1e-6:
+    end_i, end_j = i, j
+    agrees = np.full(len(passage), -1, np.int64)
+    while i > 0 and j > 0 and (s := int(score[i, j])) > 0:
+        if s == score[i - 1, j - 1] + (hit if equal[i - 1, j - 1] else -miss):
             if equal[i - 1, j - 1]:
                 agrees[j - 1] = i - 1
             i, j = i - 1, j - 1
-        elif abs(s - (score[i - 1, j] - gap)) < 1e-6:
+        elif s == score[i - 1, j] - gap:
             i -= 1
         else:
             j -= 1
-    return [(int(i), end_i, int(j), end_j, agrees)]
+    return [(i, end_i, j, end_j, agrees)]
 
 
 @dataclass(frozen=True)
@@ -324,32 +362,51 @@ class Rule:
         return best
 
 
-def runs(index: Index, codes: np.ndarray, rule: Rule, text_of: np.ndarray) -> np.ndarray:
+def around(count: np.ndarray) -> np.ndarray:
+    """For each cell its count and those of the cells beside it."""
+    total = count.copy()
+    total[1:] += count[:-1]
+    total[:-1] += count[1:]
+    total[0] += count[-1]
+    total[-1] += count[0]
+    return total
+
+
+def runs(index: Index, codes: np.ndarray, rule: Rule) -> np.ndarray:
     """Rows of passage, least and highest shift of hits that run along, with names and numbers enough among them.
 
-    ``text_of``: number of the text of each code. Of a text that has too few of the names and numbers of a passage, no
-    hit is looked at; else those count that lie within the band of shifts. Wide rows are cut into rows that overlap by a
-    band, so that what is aligned at once stays small.
+    Hits, and names and numbers, are first counted by passage and range of shifts at least as wide as the band. What lies
+    within the band of a hit lies in its cell or in one beside it, so where these hold too little, the hit is left out
+    before anything is sorted; the rest is counted by exact shifts. Wide rows are cut into rows that overlap by a band, so
+    that what is aligned at once stays small.
     """
     none = np.zeros((0, 3), np.int64)
     least, band = rule.seeds(index.n)
-    passage, place, at = index.hits(codes)
-    if len(passage) < least:
+    hit, at = index.hits(codes)
+    if len(hit) < least:
         return none
+    wide = 1 << band.bit_length()
+    stride = (len(codes) + int(index.sizes.max())) // wide + 3
+    cells = min(CELLS, 1 << (len(index.sizes) * stride).bit_length())
+    cell = index.grams.cells(hit, at, wide, stride, cells)
+    many = (around(np.minimum(np.bincount(cell, minlength=cells), least).astype(np.int32)) >= least)[cell]
+    hit, at, cell = hit[many], at[many], cell[many]
     if rule.min_telling > 0:
-        need = np.array([rule.told(t) for t in index.tells]) - 1e-6
-        enough = index.known_of(codes, text_of) > need
-        near = enough[text_of[at], passage]
-        passage, place, at = passage[near], place[near], at[near]
-        p, where, spot = index.told(np.where(enough.any(axis=1)[text_of], codes, -1))
-        near = enough[text_of[spot], p]
-        p, where, spot = p[near], where[near], spot[near]
-        tell = p * SHIFTS + spot - where + SHIFTS // 2
-        order = np.argsort(tell)
-        tell, sure = tell[order], np.concatenate([[0.0], np.cumsum(index.weights[index.first[p] + where][order])])
-    key = np.sort(passage * SHIFTS + at - place + SHIFTS // 2)
+        need = index.least_told(rule) - 1e-6
+        tell, spot = index.told(codes)
+        of = index.telling.cells(tell, spot, wide, stride, cells)
+        enough = around(np.bincount(of, index.tell_weights[tell], cells).astype(np.float32))[cell] > need[index.grams.passages[hit]] - 1e-3
+        hit, at, cell = hit[enough], at[enough], cell[enough]
+        near = np.zeros(cells, bool)
+        near[cell] = near[cell - 1] = near[(cell + 1) & (cells - 1)] = True
+        some = near[of]
+        tell, spot = tell[some], spot[some]
+        by_shift = index.telling.shifts(tell, spot)
+        order = np.argsort(by_shift)
+        by_shift, sure = by_shift[order], np.concatenate([[0.0], np.cumsum(index.tell_weights[tell][order])])
+    key = np.sort(index.grams.shifts(hit, at))
     if rule.min_telling > 0:
-        key = key[sure[np.searchsorted(tell, key + band, "right")] - sure[np.searchsorted(tell, key - band)] > need[key // SHIFTS]]
+        key = key[sure[np.searchsorted(by_shift, key + band, "right")] - sure[np.searchsorted(by_shift, key - band)] > need[key // SHIFTS]]
     if len(key) < least:
         return none
     dense = np.flatnonzero(key[least - 1 :] - key[: len(key) - least + 1] <= band)
@@ -366,27 +423,61 @@ def runs(index: Index, codes: np.ndarray, rule: Rule, text_of: np.ndarray) -> np
     return np.stack([low // SHIFTS, low % SHIFTS - SHIFTS // 2, high - low // SHIFTS * SHIFTS - SHIFTS // 2], axis=1)
 
 
-def possible(index: Index, codes: np.ndarray, rule: Rule, text_of: np.ndarray | None = None) -> list[tuple[int, int, int]]:
+def laid(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For rows of these sizes laid one after another: where each begins, and the place of each element in its row."""
+    at = np.cumsum(rows) - rows
+    return at, np.arange(rows.sum()) - np.repeat(at, rows)
+
+
+def ranked(gain: np.ndarray, at: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Running sums of rows of numbers from -1 to 1, each from a zero of its own and lower than all of the rows before, so
+    that none takes the least sum of another; and where each row begins among them."""
+    total = np.concatenate([[0.0], np.cumsum(gain)])
+    start, j = laid(size + 1)
+    row = np.repeat(np.arange(len(size)), size + 1)
+    return total[j + at[row]] - total[at[row]] - row * float(2 * size.max(initial=0) + 4), start
+
+
+def could_tell(index: Index, stand: Callable, found: np.ndarray, rule: Rule) -> np.ndarray:
+    """Which rows have a stretch of any length whose names and numbers would do, by ``stand`` alone."""
+    number = found[:, 0]
+    size = index.tell_sizes[number]
+    at, j = laid(size)
+    flat = index.tell_flat[np.repeat(index.tell_first[number], size) + j]
+    weight = index.weights[flat]
+    could = stand(index.flat[flat], flat - np.repeat(index.first[number], size), size)
+    drop, start = ranked(weight * (could - rule.min_telling), at, size)
+    # what agrees rises along a row, and lies higher than in all rows before
+    row = np.repeat(np.arange(len(size)), size + 1)
+    sure = np.concatenate([[0.0], np.cumsum(weight * could)])[np.arange(len(drop)) - row] + row
+    least = index.least_told(rule)[number]
+    last = np.searchsorted(sure, sure - least[row] + 2e-6, "right") - 1  # the last start that leaves enough
+    ok = (last >= start[row]) & (np.minimum.accumulate(drop)[last] < drop + 1e-5)
+    return np.bincount(row[ok], minlength=len(size)) > 0
+
+
+def possible(index: Index, codes: np.ndarray, rule: Rule) -> list[tuple[int, int, int]]:
     """Those of runs() where some stretch would count if all words of the passage agreed that stand in the text near them."""
-    found = runs(index, codes, rule, np.zeros(len(codes), np.int64) if text_of is None else text_of)
+    found = runs(index, codes, rule)
     if not len(found):
         return []
     band = rule.seeds(index.n)[1]
-    number, lo, hi = found.T
-    size = index.sizes[number]
-    at = np.cumsum(size) - size
-    j = np.arange(size.sum()) - np.repeat(at, size)
-    word = index.flat[np.repeat(index.first[number], size) + j]
     known = np.flatnonzero(codes >= 0)
     key = np.append(np.sort(codes[known] * SHIFTS + known), np.iinfo(np.int64).max)
-    low = word * SHIFTS + np.maximum(0, j + np.repeat(lo - band, size))
-    could = key[np.searchsorted(key, low)] <= word * SHIFTS + j + np.repeat(hi + band, size)
-    # the share alone first, for all at once; each run lies lower than those before, so none takes the start of another
-    gain = np.concatenate([[0.0], np.cumsum(could - rule.min_share)])
-    whole = size + 1
-    start = np.cumsum(whole) - whole
-    each = np.arange(whole.sum()) - np.repeat(start, whole) + np.repeat(at, whole)
-    drop = gain[each] - np.repeat(np.arange(len(size)), whole) * float(4 * len(j) + 4)
+
+    def stand(word: np.ndarray, j: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """Whether these words at places ``j`` of a passage stand in the text at the shifts of their row of ``found``."""
+        low = word * SHIFTS + np.maximum(0, j + np.repeat(found[:, 1] - band, size))
+        return key[np.searchsorted(key, low)] <= word * SHIFTS + j + np.repeat(found[:, 2] + band, size)
+
+    # names and numbers first, which are few, then the share alone, each for all at once
+    if rule.min_telling > 0:
+        found = found[could_tell(index, stand, found, rule)]
+    number = found[:, 0]
+    size = index.sizes[number]
+    at, j = laid(size)
+    could = stand(index.flat[np.repeat(index.first[number], size) + j], j, size)
+    drop, start = ranked(could - rule.min_share, at, size)
     w = rule.min_words
     if len(drop) <= w:
         return []
@@ -446,12 +537,11 @@ def scan(texts: Sequence[str | None], index: Index, rule: Rule) -> Iterator[tupl
     def search() -> None:
         parts, start = [], []
         at = 0
-        text_of = np.repeat(np.arange(len(waiting)), [b - a + gap for _, _, a, b in waiting])
         for _, codes, a, b in waiting:
             start.append(at)
             parts += [codes[a:b], np.full(gap, -1, np.int64)]
             at += b - a + gap
-        for i, lo, hi in possible(index, np.concatenate(parts), rule, text_of):
+        for i, lo, hi in possible(index, np.concatenate(parts), rule):
             # shifts may lie before the first word of their text, but by less than the gap
             w = int(np.searchsorted(start, lo + index.sizes[i] + rule.seeds(index.n)[1], "right")) - 1
             k, codes, a, _ = waiting[w]

@@ -3,7 +3,8 @@ import random
 import numpy as np
 import pytest
 
-from archiva.llm.leaks import Index, align, clean_leaks, find_leaks, words
+from archiva.llm import leaks
+from archiva.llm.leaks import Index, Rule, align, clean_leaks, find_leaks, words
 
 random.seed(5)
 VOCABULARY = [a + b + c for a in "bcdfgjlmnprstvz" for b in ("ala", "ero", "ino", "usa", "embo", "igra") for c in ("ta", "mo", "ces", "lu", "rin", "das", "pel")]
@@ -129,3 +130,50 @@ def test_query(spark, sf):
 
     assert p6_found(spark, sf).columns == ["doc_id", "item_id"]
     assert p6_clean(spark, sf).count() == spark.read.parquet(f"{sf}/documents.parquet").count()
+
+
+@pytest.mark.parametrize("shape", [(14, 11), (11, 14), (9, 9)])
+def test_align_takes_the_first_of_equal_scores(shape):
+    """Scores in tenths are whole, so which of several equal alignments is taken depends on no rounding, nor on which side is longer."""
+    rng = np.random.default_rng(3)
+    for _ in range(200):
+        a, b = rng.integers(0, 4, shape[0]), rng.integers(0, 4, shape[1])
+        s = np.zeros((len(a) + 1, len(b) + 1), int)
+        for i in range(1, len(a) + 1):
+            for j in range(1, len(b) + 1):
+                s[i, j] = max(0, s[i - 1, j - 1] + (10 if a[i - 1] == b[j - 1] else -9), s[i - 1, j] - 7, s[i, j - 1] - 7)
+        if s.max() > 0:
+            _, hi, _, d, at = align(a, b)[0]
+            assert (hi, d) == np.unravel_index(s.argmax(), s.shape)
+            assert all(b[j] == a[at[j]] for j in np.flatnonzero(at >= 0))
+
+
+@pytest.mark.parametrize("cells", [16, 1 << 10])
+def test_cells_that_passages_share(spark, monkeypatch, cells):
+    """Counting hits in few cells, shared by many passages and shifts, loses nothing and finds nothing more."""
+    docs = [f"{FILLER} {' '.join(t.split()[a : a + n])} {FILLER}" for _, t in ITEMS for a, n in ((0, 60), (7, 20), (30, 19), (40, 20))]
+    docs += [ALIKE.format(*x) for x in PEOPLE]
+    index, rule = Index.build(ITEMS + [(50 + k, ALIKE.format(*x)) for k, x in enumerate(PEOPLE)]), Rule()
+    want = list(leaks.leaked(docs, index, rule))
+    assert {(k, i) for k, i, *_ in want} == {(4 * i + c, i) for i, _ in ITEMS for c in (0, 1, 3)} | {(120 + k, 50 + k) for k in range(3)}
+    monkeypatch.setattr(leaks, "CELLS", cells)
+    assert list(leaks.leaked(docs, index, rule)) == want
+
+
+def test_few_hits_are_sorted(monkeypatch):
+    """Texts that share turns of phrase and first names with many passages, but no passage, are left out by counts."""
+    rng = random.Random(1)
+    given, family = VOCABULARY[:12], VOCABULARY[12:400]
+    turn = "y dijo que {} {} fue a la villa de {} con el maestre de la nao y que no vio a {} {} en la plaza de la villa".format
+
+    def passage() -> str:
+        return ". ".join(turn(*(rng.choice(x).title() for x in (given, family, family, given, family))) for _ in range(4))
+
+    index = Index.build([(k, passage()) for k in range(200)])
+    texts = [" ".join(rng.choice(["de la villa", "y dijo que", "en la plaza", "mar", "sol", "luna", rng.choice(given)]) for _ in range(90)) for _ in range(40)]
+    hits = sum(len(index.hits(index.code_all(leaks.tokens(t)))[0]) for t in texts)
+    sorted_ = []
+    shifts = leaks.Postings.shifts
+    monkeypatch.setattr(leaks.Postings, "shifts", lambda self, each, at: (self is index.grams and sorted_.append(len(each)), shifts(self, each, at))[1])
+    assert not list(leaks.leaked(texts, index, Rule()))
+    assert hits > 100_000 and sum(sorted_) < hits / 4
